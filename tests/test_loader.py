@@ -1,0 +1,297 @@
+"""Loads of small frames and files: edge cases, chained runs, plans."""
+
+from __future__ import annotations
+
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+import tidemark as tm
+import tidemark.plans.loader as loader_module
+
+NTZ = "timestamp_ntz"
+
+
+def incremental(spark, column, offset, **options):
+    return tm.loader(spark).options(partitionColumn=column, offset=offset, **options)
+
+
+def full(spark, column=None, **options):
+    return tm.loader(spark).options(loadType="full", partitionColumn=column, **options)
+
+
+def values(df, column="k"):
+    return sorted(
+        (r[column] for r in df.select(column).collect()), key=lambda v: (v is not None, v)
+    )
+
+
+def plan_of(df, capsys):
+    capsys.readouterr()
+    df.explain("formatted")
+    return capsys.readouterr().out
+
+
+@pytest.fixture
+def null_key(spark):
+    return spark.createDataFrame([(1, 5), (2, None), (3, 9), (4, None), (5, 7)], "id long, k long")
+
+
+@pytest.fixture
+def folder(tmp_path):
+    return str(tmp_path / uuid.uuid4().hex)
+
+
+def moments(spark, *texts):
+    return spark.createDataFrame([(t,) for t in texts], "t string").select(
+        F.col("t").cast(NTZ).alias("k")
+    )
+
+
+@pytest.mark.parametrize("layout", ["scan", "stride"])
+def test_full_load_keeps_missing_values(spark, null_key, layout):
+    loaded = full(spark, "k", layout=layout, numPartitions=2).load(null_key)
+    assert sorted(map(tuple, loaded.df.collect())) == sorted(map(tuple, null_key.collect()))
+    assert loaded.next_offset == "9"
+
+
+def test_incremental_load_drops_missing_values(spark, null_key):
+    loaded = incremental(spark, "k", "5").load(null_key)
+    assert values(loaded.df) == [7, 9]
+
+
+@pytest.mark.parametrize("layout", ["scan", "stride"])
+def test_only_missing_values(spark, layout):
+    rows = spark.createDataFrame([(1, None), (2, None)], "id long, k long")
+    assert full(spark, "k", layout=layout).load(rows).df.count() == 2
+    loaded = incremental(spark, "k", "5", layout=layout).load(rows)
+    assert loaded.df.count() == 0 and loaded.next_offset == "5"
+
+
+@pytest.mark.parametrize("layout", ["scan", "stride"])
+def test_empty_table_keeps_schema(spark, layout):
+    empty = spark.createDataFrame([], "id long, k timestamp_ntz")
+    for load in (incremental(spark, "k", "2024-01-01", layout=layout), full(spark, "k", layout=layout)):
+        loaded = load.load(empty)
+        assert loaded.df.dtypes == empty.dtypes and loaded.df.count() == 0
+        assert loaded.range.is_empty and loaded.strides is None
+
+
+def test_empty_increment_folds_away(spark, sf_dir, capsys):
+    loaded = incremental(spark, "ts", "2030-01-01 00:00:00").load(f"{sf_dir}/events.parquet")
+    assert loaded.next_offset == "2030-01-01 00:00:00"
+    plan = plan_of(loaded.df, capsys)
+    assert "LocalTableScan" in plan and "Scan parquet" not in plan
+
+
+def test_bootstrap_has_no_offset(spark, null_key):
+    loaded = tm.loader(spark).load(null_key)
+    assert loaded.df.count() == 5
+    assert loaded.next_offset is None and loaded.range is None
+
+
+def test_offset_is_exact_to_the_microsecond(spark):
+    rows = moments(spark, "2020-08-24 18:18:07", "2020-08-24 18:18:07.000001", "2020-08-24 18:18:07.1")
+    loaded = incremental(spark, "k", "2020-08-24T18:18:07.0").load(rows)
+    assert loaded.df.count() == 2 and loaded.next_offset == "2020-08-24 18:18:07.1"
+    assert incremental(spark, "k", loaded.next_offset).load(rows).df.count() == 0
+
+
+def test_date_offset(spark):
+    rows = spark.createDataFrame([("2020-08-24",), ("2020-08-25",)], "d string").select(
+        F.col("d").cast("date").alias("k")
+    )
+    loaded = incremental(spark, "k", "2020-08-24").load(rows)
+    assert loaded.df.count() == 1 and loaded.next_offset == "2020-08-25"
+
+
+@pytest.mark.parametrize(
+    "column_type, offset",
+    [
+        ("bigint", "12.5"),
+        ("bigint", "2020-08-24"),
+        ("bigint", "9223372036854775808"),
+        ("bigint", "1_000"),
+        ("date", "2020-02-30"),
+        ("date", "4345454"),
+        ("date", "2020-08-24 10:00:00"),
+        ("timestamp_ntz", "2020-07-12T41:31:32"),
+        ("timestamp_ntz", "2020-07-12 10:00:00.1234567"),
+        ("timestamp_ntz", "2020-07-12 10:00:00Z"),
+        ("timestamp", "yesterday"),
+    ],
+)
+def test_malformed_offset(spark, column_type, offset):
+    rows = spark.createDataFrame([], f"k {column_type}")
+    with pytest.raises(tm.OptionError):
+        incremental(spark, "k", offset).load(rows)
+
+
+@pytest.mark.parametrize("column_type", ["double", "string", "decimal(10,2)", "boolean"])
+def test_column_that_cannot_drive_a_range(spark, column_type):
+    rows = spark.createDataFrame([], f"k {column_type}")
+    with pytest.raises(tm.OptionError, match="whole number, date or timestamp"):
+        full(spark, "k").load(rows)
+
+
+def test_offset_wider_than_a_narrow_column(spark):
+    rows = spark.createDataFrame([(1,), (2,)], "k int")
+    assert incremental(spark, "k", str(2**40)).load(rows).df.count() == 0
+    assert incremental(spark, "k", str(-(2**40))).load(rows).df.count() == 2
+
+
+def test_column_name_in_any_case_and_with_odd_characters(spark):
+    rows = spark.createDataFrame([(1,), (2,)], "`Order.No` int")
+    loaded = incremental(spark, "order.no", "1", numPartitions=3, layout="stride").load(rows)
+    assert [tuple(r) for r in loaded.df.collect()] == [(2,)] and loaded.df.columns == ["Order.No"]
+
+
+def test_chained_runs_neither_skip_nor_repeat(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    horizons = ["2024-01-05", "2024-01-05 00:00:00.5", "2024-01-05 00:00:00.5", "2024-01-20 12:00:00", "2024-02-01"]
+    offset, seen = "2023-12-31 00:00:00", []
+    for horizon in horizons:
+        arrived = events.where(F.col("ts") <= F.lit(horizon).cast(NTZ))
+        loaded = incremental(spark, "ts", offset).load(arrived)
+        seen += [r.event_id for r in loaded.df.select("event_id").collect()]
+        offset = loaded.next_offset
+    assert sorted(seen) == values(events, "event_id")
+
+
+def test_rows_that_arrive_after_the_range_are_left_to_the_next_run(spark, folder):
+    spark.range(0, 10).withColumnRenamed("id", "k").write.parquet(folder)
+    view = f"arrivals_{uuid.uuid4().hex}"
+    spark.read.parquet(folder).createOrReplaceTempView(view)
+    first = incremental(spark, "k", "4").load(view)
+    late = spark.read.parquet(folder).union(spark.range(10, 15))
+    late.createOrReplaceTempView(view)
+    assert values(first.df) == [5, 6, 7, 8, 9] and first.next_offset == "9"
+    assert values(incremental(spark, "k", first.next_offset).load(view).df) == [10, 11, 12, 13, 14]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+@pytest.mark.parametrize("column_type", ["timestamp", NTZ])
+def test_bounds_do_not_depend_on_the_session_time_zone(spark, zone, column_type):
+    # One moment per minute over the hour in which New York sets its clocks back.
+    before = spark.conf.get("spark.sql.session.timeZone")
+    start = 1_730_606_400  # 2024-11-03 04:00:00 UTC
+    wall_clock = "timestamp_ntz'2024-11-03 04:00:00' + make_dt_interval(0, 0, id, 0)"
+    instant = f"timestamp_seconds({start} + id * 60)"
+    moment = instant if column_type == "timestamp" else wall_clock
+    rows = spark.range(240).selectExpr(f"{moment} AS k", "id")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        seen = []
+        offset = "2024-11-02 00:00:00"
+        for last in (30, 95, 150, 240):
+            loaded = incremental(spark, "k", offset, layout="stride", numPartitions=7).load(
+                rows.where(F.col("id") < last)
+            )
+            seen += [r.id for r in loaded.df.select("id").collect()]
+            offset = loaded.next_offset
+        assert sorted(seen) == list(range(240))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+# --- plans ------------------------------------------------------------------
+
+
+def test_filters_and_columns_reach_the_scan(spark, sf_dir, capsys):
+    loaded = incremental(spark, "ts", "2024-01-10 00:00:00").load(f"{sf_dir}/events.parquet")
+    plan = plan_of(loaded.df.where("user_id = 7").select("value"), capsys)
+    assert "GreaterThan(ts,2024-01-10T00:00)" in plan
+    assert "LessThanOrEqual(ts," in plan and "EqualTo(user_id,7)" in plan
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,value:double>" in plan
+    assert "Exchange" not in plan
+
+
+def test_range_reads_one_column(spark, sf_dir, capsys):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    assert "ReadSchema: struct<o_orderkey:bigint>" in plan_of(tm.range_frame(orders, "o_orderkey"), capsys)
+
+
+def test_range_filter_forms(spark, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    forms = ["o_custkey > 500", " WHERE o_custkey > 500 ", F.col("o_custkey") > 500]
+    assert len({tuple(tm.range_frame(orders, "o_orderdate", p).first()) for p in forms}) == 1
+
+
+# --- footers ----------------------------------------------------------------
+
+
+def test_footers_agree_with_the_scan(spark, folder):
+    rows = spark.range(0, 1000, 1, 7).select(
+        F.col("id").cast("int").alias("k"), F.expr("date_add(date'2020-01-01', cast(id as int))").alias("d")
+    )
+    rows.write.parquet(folder)
+    for column, offset, past in (("k", "400", "1000"), ("d", "2021-01-01", "2030-01-01")):
+        for wanted in (offset, past):
+            scanned = incremental(spark, column, wanted).load(folder)
+            footers = incremental(spark, column, wanted, footerStats=True).load(folder)
+            assert values(scanned.df) == values(footers.df)
+            assert scanned.next_offset == footers.next_offset
+        everything = full(spark, column, footerStats=True).load(folder)
+        assert everything.df.count() == 1000
+        assert everything.range == full(spark, column).load(folder).range
+
+
+def test_file_that_arrives_while_footers_are_read(spark, folder, monkeypatch):
+    spark.range(10).withColumnRenamed("id", "k").write.parquet(folder)
+    read_footers = loader_module.footer_range
+
+    def arrive_before(*args):
+        spark.range(10, 20).withColumnRenamed("id", "k").write.mode("append").parquet(folder)
+        return read_footers(*args)
+
+    monkeypatch.setattr(loader_module, "footer_range", arrive_before)
+    loaded = incremental(spark, "k", "4", footerStats=True).load(folder)
+    assert values(loaded.df) == list(range(5, 20)) and loaded.next_offset == "19"
+
+
+def test_footers_leave_the_session_alone(spark, folder):
+    spark.range(10).withColumnRenamed("id", "k").write.parquet(folder)
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    full(spark, "k", footerStats=True).load(folder)
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+
+
+# --- stride layout ----------------------------------------------------------
+
+
+def partitions(df, plan):
+    return (
+        df.groupBy(F.spark_partition_id().alias("p"))
+        .agg(F.count("*").alias("n"), F.collect_set(tm.stride_id(plan)).alias("strides"))
+        .collect()
+    )
+
+
+@pytest.mark.parametrize("hot", ["one key", "copies of one row", "missing"])
+def test_hot_stride_is_split(spark, hot):
+    key = {"one key": "42", "copies of one row": "42", "missing": "NULL"}[hot]
+    other = "0" if hot == "copies of one row" else "id"
+    rows = spark.range(0, 30_000, 1, 16).selectExpr(
+        f"CASE WHEN id % 3 = 0 THEN {key} ELSE id END AS k",
+        f"CASE WHEN id % 3 = 0 THEN {other} ELSE id END AS v",
+    )
+    loaded = full(spark, "k", layout="stride", numPartitions=10).load(rows)
+    found = partitions(loaded.df, loaded.strides)
+    assert all(len(r.strides) == 1 for r in found)
+    assert sum(r.n for r in found) == 30_000 and max(r.n for r in found) <= 6_000
+    assert loaded.df.exceptAll(rows).count() == 0
+
+
+def test_partition_size_limit_splits_strides(spark):
+    rows = spark.range(0, 10_000, 1, 8).withColumnRenamed("id", "k")
+    load = full(spark, "k", layout="stride", numPartitions=4, maxPartitionRows=500)
+    loaded = load.load(rows)
+    found = partitions(loaded.df, loaded.strides)
+    assert all(len(r.strides) == 1 for r in found) and max(r.n for r in found) < 800
+    assert values(loaded.df) == list(range(10_000))
+
+
+def test_layout_with_a_map_column(spark):
+    rows = spark.range(100).selectExpr("id AS k", "map('a', id) AS m")
+    assert full(spark, "k", layout="stride", numPartitions=3).load(rows).df.count() == 100

@@ -1,0 +1,256 @@
+"""Dedup, profile, provenance, text functions and sinks against plain Python."""
+
+from __future__ import annotations
+
+import base64
+import random
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+import tidemark as tm
+from tidemark.sinks.staging import fresh_path, shared_dir
+
+
+@pytest.fixture
+def folder(tmp_path):
+    return str(tmp_path / uuid.uuid4().hex)
+
+
+@pytest.fixture(scope="module")
+def versions():
+    draw = random.Random(7)
+    pick = lambda *choices: draw.choice(choices)
+    return [
+        (pick(1, 2, 3, None), pick("a", "b", None), pick(1, 2, 3, None), pick("x", "y", None), draw.random())
+        for _ in range(400)
+    ]
+
+
+SCHEMA = "id long, part string, seen long, note string, v double"
+
+
+def nulls_low(row):
+    return tuple((x is not None, x) for x in row)
+
+
+def test_latest_wins(spark, versions):
+    rows = spark.createDataFrame(versions, SCHEMA).repartition(5)
+    best = {}
+    for row in versions:
+        key, rank = row[:2], nulls_low((row[2], row[3], row[4]))
+        if key not in best or rank > nulls_low(best[key][2:]):
+            best[key] = row
+    kept = tm.dedup_latest(rows, ["id", "part"], "seen")
+    assert kept.columns == rows.columns
+    assert sorted(map(tuple, kept.collect()), key=nulls_low) == sorted(best.values(), key=nulls_low)
+
+
+@pytest.mark.parametrize("columns", [["id", "part", "seen", "note", "v"], ["id", "part", "seen", "v"], ["id", "part"]])
+def test_any_survivor(spark, versions, columns):
+    rows = spark.createDataFrame(versions, SCHEMA).select(*columns)
+    kept = [tuple(r) for r in tm.dedup_any(rows, ["ID", "part"]).collect()]
+    given = {tuple(r) for r in rows.collect()}
+    assert set(kept) <= given
+    assert sorted((r[:2] for r in kept), key=nulls_low) == sorted({r[:2] for r in given}, key=nulls_low)
+
+
+def test_latest_with_array_and_map_values(spark):
+    rows = spark.sql(
+        "SELECT 1 AS id, 5 AS seen, map('a', 1) AS m, array(1, 2) AS l "
+        "UNION ALL SELECT 1, 5, map('a', 2), array(1, 2) UNION ALL SELECT 1, 4, map('z', 9), array(9)"
+    )
+    assert tm.dedup_latest(rows, ["id"], "seen").first().m == {"a": 2}
+
+
+def test_dedup_sends_one_row_per_key_and_task(spark, versions, capsys):
+    rows = spark.createDataFrame(versions, SCHEMA)
+    for kept in (tm.dedup_latest(rows, ["id"], "seen"), tm.dedup_any(rows, ["id"])):
+        capsys.readouterr()
+        kept.explain()
+        plan = capsys.readouterr().out
+        assert plan.count("WindowGroupLimit") == 2 and plan.count("Exchange") == 1
+        assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+
+
+def test_keys_must_exist(spark, versions):
+    rows = spark.createDataFrame(versions, SCHEMA)
+    with pytest.raises(tm.OptionError):
+        tm.dedup_any(rows, [])
+    with pytest.raises(Exception, match="UNRESOLVED_COLUMN"):
+        tm.dedup_latest(rows, ["nothing"], "seen")
+
+
+def test_load_deduplicated(spark, versions):
+    rows = spark.createDataFrame(versions, SCHEMA)
+    load = tm.loader(spark).options(partitionColumn="seen", offset="1")
+    latest = load.load_deduplicated(["id"], rows)
+    past = rows.where("seen > 1")
+    assert latest.next_offset == "3"
+    assert latest.df.exceptAll(tm.dedup_latest(past, ["id"], "seen")).count() == 0
+    assert latest.df.count() == past.select("id").distinct().count()
+    assert load.load_deduplicated(["id"], rows, keep="any").df.count() == latest.df.count()
+    assert tm.loader(spark).load_deduplicated(["id"], rows).df.count() == 4
+    untouched = tm.loader(spark).option("loadType", "full").load_deduplicated(["id"], rows)
+    assert untouched.df.count() == len(versions)
+
+
+def test_key_check(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (1, "a"), (None, "a")], "id long, p string")
+    assert tuple(tm.key_check(rows, ["id"]).first()) == (5, 1, 1, 2, False)
+    assert tuple(tm.key_check(rows, ["id", "p"]).first()) == (5, 1, 1, 1, False)
+    assert tuple(tm.key_check(rows.where("p = 'b'"), ["id"]).first()) == (1, 0, 0, 0, True)
+    assert tuple(tm.key_check(rows.limit(0), ["id"]).first()) == (0, 0, 0, 0, True)
+
+
+def test_field_profile(spark):
+    rows = spark.createDataFrame([(None, b"x", None), (None, None, None)], "a decimal(12,3), `b.c` binary, d tinyint")
+    assert [tuple(r) for r in tm.field_profile(rows).collect()] == [
+        ("a", "decimal(12,3)", 12, 3, False, 2),
+        ("b.c", "binary", None, None, False, 1),
+        ("d", "tinyint", 3, 0, True, 2),
+    ]
+
+
+def test_record_count(spark):
+    spark.range(12).createOrReplaceTempView("twelve")
+    assert tuple(tm.record_count(spark, "SELECT count(*) AS n, 'x' AS y FROM twelve").first()) == (12,)
+    assert tm.record_count(spark, "SELECT '7' AS n").first().record_count == 7
+
+
+def test_avg_row_size(spark):
+    rows = spark.createDataFrame([("äb", 1, [1, 2]), (None, None, None)], "s string, i int, l array<long>")
+    assert tm.avg_row_size(rows).first().avg_row_size == (4 + 3 + 16 + 4) // 2
+    assert tm.avg_row_size(rows.limit(0)).first().avg_row_size == 5000
+    nested = spark.sql(
+        "SELECT named_struct('a', 'xyz', 'b', 1) AS s, array('aa', NULL, 'b') AS l, "
+        "map('k', 2L) AS m, CAST(1 AS DECIMAL(20,0)) AS d"
+    )
+    assert tm.avg_row_size(nested).first().avg_row_size == 7 + 3 + 9 + 16
+
+
+def test_base64(spark):
+    values = [None, b"", b"\x00\xff", bytes(range(256)) * 3]
+    rows = spark.createDataFrame(
+        [(v, i, v) for i, v in enumerate(values)],
+        T.StructType(
+            [
+                T.StructField("b 1", T.BinaryType(), True, {"note": "kept"}),
+                T.StructField("x", T.IntegerType()),
+                T.StructField("b2", T.BinaryType()),
+            ]
+        ),
+    )
+    encoded = tm.base64_binary_columns(rows)
+    assert encoded.dtypes == [("b 1", "string"), ("x", "int"), ("b2", "string")]
+    assert encoded.schema["b 1"].metadata == {"note": "kept"}
+    want = [None if v is None else base64.b64encode(v).decode() for v in values]
+    assert [r["b2"] for r in encoded.orderBy("x").collect()] == want
+    assert tm.base64_binary_columns(encoded) is encoded
+
+
+@pytest.mark.parametrize(
+    "text, moment",
+    [
+        ("2020-08-24 18:18:07", "2020-08-24 18:18:07"),
+        ("2020-08-24T18:18:07.5", "2020-08-24 18:18:07.5"),
+        ("2020-08-24 18:18:07.123456", "2020-08-24 18:18:07.123456"),
+        ("2020-08-24", "2020-08-24 00:00:00"),
+        ("2020-08-24 18:18:07.", None),
+        ("2020-08-24 18:18:07.1234567", None),
+        ("2020-07-12T41:31:32", None),
+        ("2020-02-30", None),
+        ("2020-08-24 18:18", None),
+        ("2020-08-24 18:18:07Z", None),
+        ("4345454", None),
+        (" 2020-08-24", None),
+        ("2020-08-24\n", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_normalise_timestamp(spark, text, moment):
+    row = spark.createDataFrame([(text,)], "t string").select(
+        tm.normalise_timestamp(F.col("t")).cast("string").alias("m")
+    )
+    assert row.first().m == moment
+
+
+# --- provenance -------------------------------------------------------------
+
+
+def test_provenance_is_kept_and_merged(spark, folder):
+    rows = spark.range(5).select(F.col("id").alias("k", metadata={"comment": "own"}), "id")
+    loaded = tm.loader(spark).options(partitionColumn="k", offset="2", numPartitions=4).load(rows)
+    loaded.df.where("id > 0").write.parquet(folder)
+    for frame in (loaded.df, loaded.df.groupBy("k").count().select("k"), spark.read.parquet(folder)):
+        assert frame.schema["k"].metadata == {
+            "comment": "own",
+            "tableName": "dataframe",
+            "loadType": "incremental",
+            "lastOffset": "2",
+            "numPartitions": 4,
+            "sparkApplicationId": spark.sparkContext.applicationId,
+            "partitionColumn": "k",
+        }
+    listed = tm.provenance_rows(loaded.df)
+    assert listed.count() == 12
+    assert tuple(listed.where("column = 'id' AND key = 'lastOffset'").first()) == ("id", "lastOffset", "2", 2)
+    assert tm.provenance_rows(rows).count() == 0
+
+
+# --- sinks ------------------------------------------------------------------
+
+
+def test_write_files_formats_and_modes(spark, folder):
+    rows = spark.range(20).selectExpr("id", "id % 3 AS g", "CAST(id AS string) AS s")
+    tm.write_files(rows, folder)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        tm.write_files(rows, folder)
+    tm.write_files(rows, folder, mode="append")
+    assert spark.read.parquet(folder).count() == 40
+    tm.write_files(rows, folder, mode="ignore")
+    assert spark.read.parquet(folder).count() == 40
+    tm.write_files(rows, folder, format="csv", mode="overwrite", header="true")
+    assert spark.read.csv(folder, header=True).count() == 20
+
+
+@pytest.mark.parametrize("rebalance", [False, True])
+def test_write_files_partitioned(spark, folder, rebalance):
+    rows = spark.range(0, 200, 1, 8).selectExpr("id", "id % 3 AS g")
+    tm.write_files(rows, folder, partition_by=["g"], rebalance=rebalance)
+    back = spark.read.parquet(folder)
+    assert back.count() == 200 and back.where("g = 1").count() == 67
+    # One file per task and directory, or merged into one task's worth.
+    assert len(back.inputFiles()) == (3 if rebalance else 24)
+
+
+def test_stage_reads_its_own_copy(spark, folder):
+    view = f"staged_{uuid.uuid4().hex}"
+    spark.range(10).selectExpr("id AS k", "id * 2 AS v").createOrReplaceTempView(view)
+    from_table, from_query = tm.stage_table(spark, view, folder), tm.stage_query(spark, f"SELECT k FROM {view} WHERE k > 4", folder)
+    spark.range(1).selectExpr("id AS k", "id AS v").createOrReplaceTempView(view)
+    assert from_table.count() == 10 and from_query.count() == 5
+    assert all(folder in f for f in from_table.inputFiles())
+
+
+def test_stage_keeps_provenance(spark, folder):
+    loaded = tm.loader(spark).load(spark.range(3))
+    assert tm.stage(loaded.df, folder).schema["id"].metadata["loadType"] == "incremental"
+
+
+class Session:
+    def __init__(self, **conf):
+        self.conf = {f"spark.{k}": v for k, v in conf.items()}
+
+
+def test_shared_dir_comes_from_the_session():
+    given = Session(master="yarn")
+    given.conf["spark.checkpoint.dir"] = "hdfs://cluster/checkpoints/"
+    assert shared_dir(given) == "hdfs://cluster/checkpoints"
+    assert fresh_path(given) != fresh_path(given)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session(master="yarn"))
+    assert "tidemark-" in shared_dir(Session(master="local[2]"))

@@ -121,6 +121,10 @@ def _load_frame(
     past_offset = c > offset_literal(spec.offset, field.dataType) if spec.is_incremental else None
     if _footers_suffice(spark, spec, field.dataType):
         found = footer_range(spark, spec.table, field, spec.offset or None)
+        # List the files again, after their footers were read: a file that came in
+        # between is cut off by the range, where the older listing would miss it
+        # while the next offset is already past it.
+        df = open_frame(spark, spec)
     else:
         found = column_range(df, field.name, past_offset)
 

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from tidemark.functions.types import quoted
+
 
 def write_files(
     df: DataFrame,
@@ -13,9 +15,18 @@ def write_files(
     format: str = "parquet",
     mode: str = "error",
     partition_by: Sequence[str] = (),
+    rebalance: bool = False,
     **options: str,
 ) -> None:
-    """Write in any file format and save mode, optionally into partition directories."""
+    """Write in any file format and save mode, optionally into partition directories.
+
+    As it stands each task writes a file into every directory it has rows for, and
+    nothing is shuffled.  ``rebalance`` trades one shuffle for fewer, evenly sized
+    files; Spark then merges small partitions and splits large ones, so a directory
+    that holds most of the rows is still written by many tasks.
+    """
+    if rebalance:
+        df = df.hint("rebalance", *[quoted(c) for c in partition_by])
     writer = df.write.format(format).mode(mode).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -23,6 +23,10 @@ from tidemark.sources.spec import LoadSpec
 # URL prefixes of databases that quote names with backticks.
 BACKTICK_URLS = ("jdbc:mysql:", "jdbc:mariadb:")
 
+# Rows per network round trip unless the caller says otherwise: most drivers would
+# by default hold a whole stride in memory.
+FETCH_SIZE = "10000"
+
 
 def quote_name(url: str, name: str) -> str:
     """A column name quoted the way the database at ``url`` quotes names."""
@@ -76,25 +80,30 @@ def offset_sql(text: str, dtype: T.DataType) -> str:
     return f"{{d '{text}'}}"
 
 
-def jdbc_predicates(
-    spec: LoadSpec, field: T.StructField, found: ColumnRange
-) -> list[str]:
+def jdbc_predicates(spec: LoadSpec, field: T.StructField, found: ColumnRange) -> list[str]:
+    """One condition per parallel query; a full load also takes rows without a value."""
     plan = plan_strides(found, spec.num_partitions)
     name = quote_name(spec.url, field.name)
     return stride_predicates(plan, name, keep_nulls=not spec.is_incremental)
 
 
+def read_properties(spec: LoadSpec) -> dict[str, str]:
+    """Spark's JDBC properties: the caller's own, and a fetch size if there is none."""
+    given = dict(spec.reader_options)
+    if not any(k.lower() == "fetchsize" for k in given):
+        given["fetchsize"] = FETCH_SIZE
+    return given
+
+
 def open_jdbc(spark: SparkSession, spec: LoadSpec) -> tuple[DataFrame, ColumnRange | None]:
     """The load as a lazy DataFrame with one partition per stride, and its range."""
+    properties = read_properties(spec)
     if not spec.partition_column:
-        plain = spark.read.format("jdbc").option("url", spec.url).options(**spec.reader_options)
-        return plain.option("dbtable", spec.table).load(), None
+        return spark.read.jdbc(spec.url, spec.table, properties=properties), None
     field = jdbc_field(spark, spec)
     found = jdbc_range(spark, spec, field)
     predicates = jdbc_predicates(spec, field, found)
-    frame = spark.read.jdbc(
-        spec.url, spec.table, predicates=predicates, properties=dict(spec.reader_options)
-    )
+    frame = spark.read.jdbc(spec.url, spec.table, predicates=predicates, properties=properties)
     return frame, found
 
 
