@@ -183,6 +183,10 @@ def field_profile(spark, sf_dir):
     return tm.field_profile(_orders_nulled(spark, sf_dir))
 
 
+def field_profile_footers(spark, sf_dir):
+    return tm.field_profile(tm.footer_frame(spark, _path(sf_dir, "customer")))
+
+
 def avg_row_size(spark, sf_dir):
     return tm.avg_row_size(spark.read.parquet(_path(sf_dir, "orders")))
 
@@ -275,6 +279,7 @@ def queries() -> dict[str, Query]:
         provenance_rows,
         record_count,
         field_profile,
+        field_profile_footers,
         avg_row_size,
         key_check,
         normalise_timestamps,
@@ -340,16 +345,26 @@ def oracle_sql() -> dict[str, str]:
             FROM orders WHERE o_orderkey > 2000"""
         for c in order_columns
     )
-    profile = " UNION ALL ".join(
-        f"""SELECT '{name}' AS name, '{kind}' AS type, CAST({precision} AS INTEGER) AS precision,
-                   CAST({scale} AS INTEGER) AS scale, {splittable} AS splittable,
-                   count(*) FILTER (WHERE {name} IS NULL) AS null_count FROM t"""
-        for name, kind, precision, scale, splittable in (
-            ("k", "bigint", 19, 0, "true"),
-            ("o_custkey", "bigint", 19, 0, "true"),
-            ("o_orderstatus", "string", "NULL", "NULL", "false"),
-            ("o_totalprice", "double", "NULL", "NULL", "false"),
+    def profile(*columns: tuple[str, str, str, str, str]) -> str:
+        return " UNION ALL ".join(
+            f"""SELECT '{name}' AS name, '{kind}' AS type, CAST({precision} AS INTEGER) AS precision,
+                       CAST({scale} AS INTEGER) AS scale, {splittable} AS splittable,
+                       count(*) FILTER (WHERE {name} IS NULL) AS null_count FROM t"""
+            for name, kind, precision, scale, splittable in columns
         )
+
+    nulled_profile = profile(
+        ("k", "bigint", "19", "0", "true"),
+        ("o_custkey", "bigint", "19", "0", "true"),
+        ("o_orderstatus", "string", "NULL", "NULL", "false"),
+        ("o_totalprice", "double", "NULL", "NULL", "false"),
+    )
+    customer_profile = profile(
+        ("c_custkey", "bigint", "19", "0", "true"),
+        ("c_name", "string", "NULL", "NULL", "false"),
+        ("c_nationkey", "int", "10", "0", "true"),
+        ("c_acctbal", "double", "NULL", "NULL", "false"),
+        ("c_mktsegment", "string", "NULL", "NULL", "false"),
     )
     stride_columns = (
         "stride_id, count(*) AS row_count, min(v) AS min_value, max(v) AS max_value"
@@ -407,7 +422,8 @@ def oracle_sql() -> dict[str, str]:
             FROM ({column_counts}), (VALUES {provenance}) AS p(key, value)
         """,
         "record_count": "SELECT count(*) AS record_count FROM lineitem WHERE l_quantity > 25",
-        "field_profile": f"WITH t AS ({nulled}) {profile}",
+        "field_profile": f"WITH t AS ({nulled}) {nulled_profile}",
+        "field_profile_footers": f"WITH t AS (SELECT * FROM customer) {customer_profile}",
         "avg_row_size": """
             SELECT CAST(sum(32 + strlen(o_orderstatus) + strlen(o_orderpriority)) // count(*)
                         AS BIGINT) AS avg_row_size

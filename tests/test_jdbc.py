@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 import tidemark as tm
 from tidemark.sources.jdbc import quote_name, range_query
-from tidemark.sources.spec import LoadSpec
 
 MYSQL = "jdbc:mysql://localhost/test?user=fred&password=secret"
 
@@ -160,14 +159,43 @@ def test_missing_column_and_wrong_type(session):
 def test_quoting(spark, session):
     assert quote_name(MYSQL, "a`b") == "`a``b`"
     assert quote_name("jdbc:postgresql://h/d", 'a"b') == '"a""b"'
-    field = spark.table("booking").schema["day"]
-    spec = LoadSpec.of({"url": "jdbc:postgresql://h/d", "partitionColumn": "day", "offset": "2020-01-01"}, "booking")
-    assert range_query(spec, field) == (
-        'SELECT min("day") AS min_value, max("day") AS max_value FROM booking '
-        "WHERE \"day\" > {d '2020-01-01'}"
+    assert range_query("jdbc:postgresql://h/d", "booking", "day", " where day > 3") == (
+        'SELECT min("day") AS min_value, max("day") AS max_value FROM booking WHERE day > 3'
     )
 
 
+def test_table_facts_computed_by_the_database(session):
+    everything = tm.jdbc_column_range(session, MYSQL, "booking", "booking_id")
+    assert (everything.low, everything.high) == (1, 998)
+    filtered = tm.jdbc_column_range(session, MYSQL, "booking", "day", "where booking_id < 10")
+    assert (filtered.low_text, filtered.high_text) == ("2020-08-02", "2020-08-09")
+    count = tm.jdbc_record_count(session, MYSQL, "SELECT count(*) AS n FROM booking WHERE amount < 10")
+    assert count.first().record_count == 10
+
+
+@pytest.mark.parametrize("load_type, offset", [("full", ""), ("incremental", "2020-08-20")])
+def test_salted_strides(spark, session, load_type, offset):
+    options = {"loadType": load_type, "offset": offset, "partitionColumn": "day", "numPartitions": 5}
+    loaded = load(session, saltColumn="booking_id", saltBuckets=4, **options).load("booking")
+    want = load(session, **options).load("booking").df
+    assert loaded.df.count() == want.count() and loaded.df.exceptAll(want).count() == 0
+    assert len(session.log[2]["predicates"]) == 20
+
+
+def test_salt_of_negative_numbers(spark, session):
+    spark.range(-20, 20).selectExpr("id AS k", "id").createOrReplaceTempView("signed")
+    options = {"loadType": "full", "partitionColumn": "k", "numPartitions": 2}
+    loaded = load(session, saltColumn="id", saltBuckets=3, **options).load("signed")
+    assert sorted(r.id for r in loaded.df.collect()) == list(range(-20, 20))
+
+
+def test_salt_must_be_a_whole_number(session):
+    with pytest.raises(tm.OptionError, match="whole number"):
+        load(
+            session, loadType="full", partitionColumn="day", saltColumn="amount", saltBuckets=2
+        ).load("booking")
+
+
 def test_writer_gets_mode_and_properties():
     class Writer:
         def jdbc(self, *args, **kwargs):

@@ -250,6 +250,14 @@ def test_file_that_arrives_while_footers_are_read(spark, folder, monkeypatch):
     assert values(loaded.df) == list(range(5, 20)) and loaded.next_offset == "19"
 
 
+def test_footer_facts_read_no_column_data(spark, sf_dir, capsys):
+    orders = tm.footer_frame(spark, f"{sf_dir}/orders.parquet")
+    assert "PushedAggregation: [MIN(o_orderkey), MAX(o_orderkey)]" in plan_of(
+        tm.range_frame(orders, "o_orderkey"), capsys
+    )
+    assert "COUNT(o_orderpriority)]" in plan_of(tm.field_profile(orders), capsys)
+
+
 def test_footers_leave_the_session_alone(spark, folder):
     spark.range(10).withColumnRenamed("id", "k").write.parquet(folder)
     before = spark.conf.get("spark.sql.sources.useV1SourceList")

@@ -17,6 +17,7 @@ from tidemark.plans.loader import Loader, LoadResult, loader
 from tidemark.plans.ranges import (
     ColumnRange,
     column_range,
+    footer_frame,
     footer_range,
     next_offset_frame,
     range_frame,
@@ -29,6 +30,7 @@ from tidemark.plans.strides import (
     stride_summary,
 )
 from tidemark.sinks import stage, stage_query, stage_table, write_files, write_jdbc
+from tidemark.sources.jdbc import jdbc_column_range, jdbc_record_count
 
 __all__ = [
     "ColumnRange",
@@ -43,8 +45,11 @@ __all__ = [
     "dedup_any",
     "dedup_latest",
     "field_profile",
+    "footer_frame",
     "footer_range",
     "is_splittable",
+    "jdbc_column_range",
+    "jdbc_record_count",
     "key_check",
     "loader",
     "next_offset_frame",

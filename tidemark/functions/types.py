@@ -44,17 +44,20 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def splittable_field(df: DataFrame, column: str) -> T.StructField:
-    """The field Spark resolves ``column`` to; an error unless it is splittable."""
-    field = df.select(quoted(column)).schema[0]
+def require_splittable(field: T.StructField) -> T.StructField:
     if not is_splittable(field.dataType):
         raise OptionError(
-            f"column {column!r} has type {field.dataType.simpleString()}; a range needs "
+            f"column {field.name!r} has type {field.dataType.simpleString()}; a range needs "
             "a whole number, date or timestamp column"
         )
     return field
 
 
+def splittable_field(df: DataFrame, column: str) -> T.StructField:
+    """The field Spark resolves ``column`` to; an error unless it is splittable."""
+    return require_splittable(df.select(quoted(column)).schema[0])
+
+
 def number_literal(n: int) -> Column:
     """A whole-number literal; beyond the long range it becomes a decimal."""
     if LONG_MIN <= n <= LONG_MAX:

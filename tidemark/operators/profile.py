@@ -34,8 +34,12 @@ DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
 
 def record_count(spark: SparkSession, query: str) -> DataFrame:
     """One row ``record_count``: first column of the query's first row, as a bigint."""
-    result = spark.sql(query)
-    return result.select(quoted(result.columns[0]).cast("bigint").alias("record_count")).limit(1)
+    return first_as_count(spark.sql(query))
+
+
+def first_as_count(result: DataFrame) -> DataFrame:
+    count = quoted(result.columns[0]).cast("bigint")
+    return result.select(count.alias("record_count")).limit(1)
 
 
 def field_profile(df: DataFrame) -> DataFrame:

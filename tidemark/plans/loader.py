@@ -102,8 +102,7 @@ def loader(spark: SparkSession) -> Loader:
 
 def _load(spark: SparkSession, spec: LoadSpec) -> LoadResult:
     if spec.is_jdbc:
-        df, found = open_jdbc(spark, spec)
-        strides = plan_strides(found, spec.num_partitions) if found else None
+        df, found, strides = open_jdbc(spark, spec)
     else:
         df, found, strides = _load_frame(spark, spec)
     next_offset = found.next_offset(spec.offset or None) if found else None
@@ -120,7 +119,7 @@ def _load_frame(
     c = quoted(field.name)
     past_offset = c > offset_literal(spec.offset, field.dataType) if spec.is_incremental else None
     if _footers_suffice(spark, spec, field.dataType):
-        found = footer_range(spark, spec.table, field, spec.offset or None)
+        found = footer_range(spark, spec.table, field.name, spec.offset or None)
         # List the files again, after their footers were read: a file that came in
         # between is cut off by the range, where the older listing would miss it
         # while the next offset is already past it.

@@ -48,13 +48,16 @@ class ColumnRange:
         return previous if self.is_empty else self.high_text
 
 
+def bare_condition(text: str) -> str:
+    """A filter as text, given with or without a leading ``where``."""
+    text = text.strip()
+    return text[6:] if text[:6].lower() == "where " else text
+
+
 def _filtered(df: DataFrame, predicate: Column | str | None) -> DataFrame:
     if predicate is None:
         return df
-    if isinstance(predicate, str):
-        text = predicate.strip()
-        return df.where(text[6:] if text[:6].lower() == "where " else text)
-    return df.where(predicate)
+    return df.where(bare_condition(predicate) if isinstance(predicate, str) else predicate)
 
 
 def range_frame(df: DataFrame, column: str, predicate: Column | str | None = None) -> DataFrame:
@@ -66,12 +69,12 @@ def range_frame(df: DataFrame, column: str, predicate: Column | str | None = Non
 def read_range(extremes: DataFrame, column: str, dtype: T.DataType) -> ColumnRange:
     """Bring the one row of :func:`range_frame` to the driver."""
     low, high = F.col("min_value"), F.col("max_value")
-    row = extremes.select(
+    (row,) = extremes.select(
         axis(low, dtype).alias("low"),
         axis(high, dtype).alias("high"),
         offset_text(low, dtype).alias("low_text"),
         offset_text(high, dtype).alias("high_text"),
-    ).first()
+    ).collect()
     return ColumnRange(
         column,
         dtype,
@@ -90,20 +93,32 @@ def column_range(
     return read_range(range_frame(df, field.name, predicate), field.name, field.dataType)
 
 
-def footer_range(
-    spark: SparkSession, path: str, field: T.StructField, offset: str | None = None
-) -> ColumnRange:
-    """Range of Parquet files from their footers alone, without reading column data.
+def footer_frame(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet files as a frame whose whole-table facts are read from file footers.
 
-    Spark pushes min and max of whole numbers and dates into the Parquet reader.
-    The two settings this takes live in a session of their own, so the caller's
-    session stays as it is.  With an offset only the top is known: it is the
-    top of the table, if that is past the offset.
+    For ``range_frame`` (whole numbers and dates), ``field_profile`` and plain counts
+    of all rows: Spark pushes those aggregates into the Parquet reader, and no column
+    data is read.  Anything else scans as usual.  The two settings this takes live in
+    a session of the frame's own, so the caller's session stays as it is; do not
+    combine the frame with frames of other sessions.
     """
     footers = spark.newSession()
     footers.conf.set("spark.sql.sources.useV1SourceList", "")
     footers.conf.set("spark.sql.parquet.aggregatePushdown", "true")
-    extremes = range_frame(footers.read.parquet(path), field.name)
+    return footers.read.parquet(path)
+
+
+def footer_range(
+    spark: SparkSession, path: str, column: str, offset: str | None = None
+) -> ColumnRange:
+    """Range of a column of Parquet files, from :func:`footer_frame`.
+
+    With an offset only the top is known: it is the top of the table, if that is
+    past the offset.
+    """
+    df = footer_frame(spark, path)
+    field = splittable_field(df, column)
+    extremes = range_frame(df, field.name)
     if offset is not None:
         top = F.col("max_value")
         extremes = extremes.select(

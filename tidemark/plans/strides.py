@@ -127,6 +127,17 @@ def stride_predicates(plan: StridePlan | None, name: str, keep_nulls: bool) -> l
     return predicates
 
 
+def salted_predicates(predicates: list[str], name: str, buckets: int) -> list[str]:
+    """Split each condition ``buckets`` ways by a second, whole-number column.
+
+    For strides that hold most of the table: a hot value cannot be cut by range.
+    Every row falls in one bucket; rows without a value fall in the first.
+    """
+    split = [f"ABS(MOD({name}, {buckets})) = {i}" for i in range(buckets)]
+    split[0] += f" OR {name} IS NULL"
+    return [f"({p}) AND ({s})" for p in predicates for s in split]
+
+
 def sql_literal(n: int, dtype: T.DataType) -> str:
     """An axis position as SQL text; the braces are the JDBC standard's own escapes."""
     if is_number(dtype):

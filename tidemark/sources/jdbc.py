@@ -6,18 +6,21 @@ tasks query the database at the same time and each streams its own rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import types as T
 
 from tidemark.errors import LoadError, OptionError
 from tidemark.functions.types import (
     is_number,
-    is_splittable,
     is_timestamp,
     offset_literal,
+    require_splittable,
 )
-from tidemark.plans.ranges import ColumnRange, read_range
-from tidemark.plans.strides import plan_strides, stride_predicates
+from tidemark.operators.profile import first_as_count
+from tidemark.plans.ranges import ColumnRange, bare_condition, read_range
+from tidemark.plans.strides import StridePlan, plan_strides, salted_predicates, stride_predicates
 from tidemark.sources.spec import LoadSpec
 
 # URL prefixes of databases that quote names with backticks.
@@ -34,39 +37,53 @@ def quote_name(url: str, name: str) -> str:
     return mark + name.replace(mark, mark * 2) + mark
 
 
-def jdbc_field(spark: SparkSession, spec: LoadSpec) -> T.StructField:
-    """The partition column's field.
-
-    Timestamps are asked for without a zone: bounds must be the database's own
-    wall-clock values, whatever the zones of this session and of the driver.
-    """
-    schema = _reader(spark, spec).option("dbtable", spec.table).load().schema
-    wanted = spec.partition_column.lower()
-    found = [f for f in schema if f.name == spec.partition_column] or [
-        f for f in schema if f.name.lower() == wanted
+def table_field(schema: T.StructType, table: str, column: str) -> T.StructField:
+    """The field of ``column``, by its exact name or else in any case."""
+    found = [f for f in schema if f.name == column] or [
+        f for f in schema if f.name.lower() == column.lower()
     ]
     if len(found) != 1:
-        raise LoadError(f"could not find column {spec.partition_column} in {spec.table}")
-    if not is_splittable(found[0].dataType):
-        raise OptionError(
-            f"column {found[0].name!r} has type {found[0].dataType.simpleString()}; a range "
-            "needs a whole number, date or timestamp column"
-        )
+        raise LoadError(f"could not find column {column} in {table}")
     return found[0]
 
 
-def jdbc_range(spark: SparkSession, spec: LoadSpec, field: T.StructField) -> ColumnRange:
-    """Range of the rows past the offset, computed by the database."""
-    query = range_query(spec, field)
-    return read_range(_reader(spark, spec).option("query", query).load(), field.name, field.dataType)
+def table_schema(spark: SparkSession, url: str, table: str, options: Mapping[str, str]) -> T.StructType:
+    return _reader(spark, url, options).option("dbtable", table).load().schema
 
 
-def range_query(spec: LoadSpec, field: T.StructField) -> str:
-    name = quote_name(spec.url, field.name)
-    query = f"SELECT min({name}) AS min_value, max({name}) AS max_value FROM {spec.table}"
-    if spec.offset:
-        query += f" WHERE {name} > {offset_sql(spec.offset, field.dataType)}"
-    return query
+def range_query(url: str, table: str, column: str, where: str | None = None) -> str:
+    name = quote_name(url, column)
+    query = f"SELECT min({name}) AS min_value, max({name}) AS max_value FROM {table}"
+    return f"{query} WHERE {bare_condition(where)}" if where else query
+
+
+def jdbc_column_range(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    column: str,
+    where: str | None = None,
+    **options: str,
+) -> ColumnRange:
+    """Range of a column, over the rows that pass ``where``, computed by the database.
+
+    Spark would fetch the column to find its range, so the aggregate is sent as a
+    query.  Timestamps are asked for without a zone: bounds must be the database's
+    own wall-clock values, whatever the zones of this session and of the driver.
+    """
+    field = table_field(table_schema(spark, url, table, options), table, column)
+    return _range(spark, url, table, require_splittable(field), where, options)
+
+
+def _range(spark, url, table, field, where, options) -> ColumnRange:
+    query = range_query(url, table, field.name, where)
+    extremes = _reader(spark, url, options).option("query", query).load()
+    return read_range(extremes, field.name, field.dataType)
+
+
+def jdbc_record_count(spark: SparkSession, url: str, query: str, **options: str) -> DataFrame:
+    """One row ``record_count``: the scalar a query run by the database returns."""
+    return first_as_count(_reader(spark, url, options).option("query", query).load())
 
 
 def offset_sql(text: str, dtype: T.DataType) -> str:
@@ -80,11 +97,15 @@ def offset_sql(text: str, dtype: T.DataType) -> str:
     return f"{{d '{text}'}}"
 
 
-def jdbc_predicates(spec: LoadSpec, field: T.StructField, found: ColumnRange) -> list[str]:
+def load_predicates(
+    spec: LoadSpec, field: T.StructField, salt: T.StructField | None, plan: StridePlan | None
+) -> list[str]:
     """One condition per parallel query; a full load also takes rows without a value."""
-    plan = plan_strides(found, spec.num_partitions)
     name = quote_name(spec.url, field.name)
-    return stride_predicates(plan, name, keep_nulls=not spec.is_incremental)
+    predicates = stride_predicates(plan, name, keep_nulls=not spec.is_incremental)
+    if salt is None:
+        return predicates
+    return salted_predicates(predicates, quote_name(spec.url, salt.name), spec.salt_buckets)
 
 
 def read_properties(spec: LoadSpec) -> dict[str, str]:
@@ -95,23 +116,29 @@ def read_properties(spec: LoadSpec) -> dict[str, str]:
     return given
 
 
-def open_jdbc(spark: SparkSession, spec: LoadSpec) -> tuple[DataFrame, ColumnRange | None]:
-    """The load as a lazy DataFrame with one partition per stride, and its range."""
+def open_jdbc(
+    spark: SparkSession, spec: LoadSpec
+) -> tuple[DataFrame, ColumnRange | None, StridePlan | None]:
+    """The load as a lazy DataFrame with one partition per condition, its range and strides."""
     properties = read_properties(spec)
     if not spec.partition_column:
-        return spark.read.jdbc(spec.url, spec.table, properties=properties), None
-    field = jdbc_field(spark, spec)
-    found = jdbc_range(spark, spec, field)
-    predicates = jdbc_predicates(spec, field, found)
+        return spark.read.jdbc(spec.url, spec.table, properties=properties), None, None
+    schema = table_schema(spark, spec.url, spec.table, spec.reader_options)
+    field = require_splittable(table_field(schema, spec.table, spec.partition_column))
+    salt = table_field(schema, spec.table, spec.salt_column) if spec.salt_column else None
+    if salt is not None and not is_number(salt.dataType):
+        raise OptionError(f"saltColumn {salt.name!r} is not a whole number column")
+    where = None
+    if spec.offset:
+        where = f"{quote_name(spec.url, field.name)} > {offset_sql(spec.offset, field.dataType)}"
+    found = _range(spark, spec.url, spec.table, field, where, spec.reader_options)
+    plan = plan_strides(found, spec.num_partitions)
+    predicates = load_predicates(spec, field, salt, plan)
     frame = spark.read.jdbc(spec.url, spec.table, predicates=predicates, properties=properties)
-    return frame, found
+    return frame, found, plan
 
 
-def _reader(spark: SparkSession, spec: LoadSpec):
-    options = {k: v for k, v in spec.reader_options.items() if k.lower() != "prefertimestampntz"}
-    return (
-        spark.read.format("jdbc")
-        .option("url", spec.url)
-        .options(**options)
-        .option("preferTimestampNTZ", "true")
-    )
+def _reader(spark: SparkSession, url: str, options: Mapping[str, str]) -> DataFrameReader:
+    kept = {k: v for k, v in options.items() if k.lower() != "prefertimestampntz"}
+    reader = spark.read.format("jdbc").option("url", url).options(**kept)
+    return reader.option("preferTimestampNTZ", "true")

@@ -20,6 +20,7 @@ DEFAULT_NUM_PARTITIONS = 100
 
 # Options of this library.
 LAYOUT, FOOTER_STATS, MAX_PARTITION_ROWS = "layout", "footerStats", "maxPartitionRows"
+SALT_COLUMN, SALT_BUCKETS = "saltColumn", "saltBuckets"
 SCAN, STRIDE = "scan", "stride"
 
 OWN_OPTIONS = (
@@ -34,6 +35,8 @@ OWN_OPTIONS = (
     LAYOUT,
     FOOTER_STATS,
     MAX_PARTITION_ROWS,
+    SALT_COLUMN,
+    SALT_BUCKETS,
 )
 CREDENTIALS = ("user", "password")
 
@@ -53,6 +56,8 @@ class LoadSpec:
     layout: str = SCAN
     footer_stats: bool = False
     max_partition_rows: int | None = None
+    salt_column: str = ""
+    salt_buckets: int = 1
     reader_options: Mapping[str, str] = field(default_factory=dict)
 
     @property
@@ -109,6 +114,13 @@ class LoadSpec:
         if layout == STRIDE and not column:
             raise OptionError("the stride layout needs a partitionColumn")
 
+        salt_column = option(SALT_COLUMN)
+        salt_buckets = _positive(SALT_BUCKETS, option(SALT_BUCKETS))
+        if bool(salt_column) != bool(salt_buckets):
+            raise OptionError("saltColumn and saltBuckets go together")
+        if salt_column and (url is None or not column):
+            raise OptionError("saltColumn is for JDBC loads with a partitionColumn")
+
         if url is not None and any(name in given for name in CREDENTIALS):
             warnings.warn("user and password are ignored; put them in the url", stacklevel=3)
         known = {name.lower() for name in (*OWN_OPTIONS, *CREDENTIALS)}
@@ -124,6 +136,8 @@ class LoadSpec:
             layout=layout,
             footer_stats=_flag(FOOTER_STATS, option(FOOTER_STATS)),
             max_partition_rows=_positive(MAX_PARTITION_ROWS, option(MAX_PARTITION_ROWS)),
+            salt_column=salt_column,
+            salt_buckets=salt_buckets or 1,
             reader_options={k: _text(v) for k, v in options.items() if k.lower() not in known},
         )
 
