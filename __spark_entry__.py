@@ -117,6 +117,15 @@ def incr_chain(spark, sf_dir):
     return first.df.unionByName(second.df)
 
 
+def incr_into(spark, sf_dir):
+    """Two runs written to one place, each in one pass over its source."""
+    events, path = spark.read.parquet(_path(sf_dir, "events")), fresh_path(spark)
+    at_first = events.where(F.col("ts") <= F.lit("2024-01-20 06:00:00").cast("timestamp_ntz"))
+    offset = _incremental(spark, "ts", "2024-01-10 00:00:00").load_into(path, at_first)
+    _incremental(spark, "ts", offset).load_into(path, events)
+    return spark.read.parquet(path)
+
+
 # --- ranges and strides -----------------------------------------------------
 
 
@@ -269,6 +278,7 @@ def queries() -> dict[str, Query]:
         incr_empty_count,
         incr_pushdown,
         incr_chain,
+        incr_into,
         range_full,
         range_filtered,
         next_offset,
@@ -389,6 +399,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT event_id, ts, value FROM ({past_events}) WHERE event_type = 'click'
         """,
         "incr_chain": past_events,
+        "incr_into": past_events,
         "range_full": """
             SELECT min(o_orderkey) AS min_value, max(o_orderkey) AS max_value FROM orders
         """,

@@ -195,6 +195,61 @@ def test_bounds_do_not_depend_on_the_session_time_zone(spark, zone, column_type)
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
+# --- load into files --------------------------------------------------------
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("column_type", ["bigint", "date", "timestamp", NTZ])
+def test_load_into_agrees_with_load(spark, folder, zone, column_type):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        start = "timestamp_ntz'2024-11-03 00:00:00'"
+        moment = {
+            "bigint": "id",
+            "date": "date_add(date'2024-11-03', cast(id as int))",
+            "timestamp": "timestamp_seconds(1730606400 + id * 60)",
+            NTZ: f"{start} + make_dt_interval(0, 0, id, 0.25)",
+        }[column_type]
+        rows = spark.range(300).selectExpr(f"IF(id % 7 = 0, NULL, {moment}) AS k", "id")
+        offset = {"bigint": "20", "date": "2024-11-20"}.get(column_type, "2024-11-03 00:20:00")
+        for load in (incremental(spark, "k", offset), full(spark, "k")):
+            loaded = load.load(rows)
+            assert load.load_into(folder, rows, mode="overwrite") == loaded.next_offset
+            written = spark.read.parquet(folder)
+            assert written.count() == loaded.df.count() and written.exceptAll(loaded.df).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_load_into_chained_and_empty(spark, folder):
+    arrived, offset = spark.range(0), "4"
+    for last in (10, 10, 25):
+        arrived = spark.range(last).withColumnRenamed("id", "k")
+        offset = incremental(spark, "k", offset).load_into(folder, arrived, partition_by=[])
+    assert offset == "24" and values(spark.read.parquet(folder)) == list(range(5, 25))
+    assert incremental(spark, "k", "24").load_into(folder, arrived) == "24"
+
+
+def test_load_into_without_a_range_or_with_strides(spark, folder):
+    rows = spark.range(10).selectExpr("id AS k", "id % 2 AS g")
+    assert tm.loader(spark).load_into(folder, rows) is None
+    strided = full(spark, "k", layout="stride", numPartitions=3)
+    assert strided.load_into(folder, rows, mode="overwrite", partition_by=["g"]) == "9"
+    assert spark.read.parquet(folder).count() == 10
+
+
+def test_load_into_reads_the_source_once(spark, folder, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")  # a job of its own, for the schema
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("one pass", "load_into")
+    try:
+        incremental(spark, "ts", "2024-01-10").load_into(folder, events)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(tracker.getJobIdsForGroup("one pass")) == 1
+
+
 # --- plans ------------------------------------------------------------------
 
 

@@ -8,23 +8,25 @@ arrive later are left to the next run, and none is skipped or read twice.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import Any
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.errors import LoadError
-from tidemark.functions.types import offset_literal, quoted, splittable_field
+from tidemark.errors import LoadError, OptionError
+from tidemark.functions.types import offset_literal, offset_text, quoted, splittable_field
 from tidemark.operators.dedup import dedup_any, dedup_latest
 from tidemark.operators.layout import MAX_PARTITION_ROWS, stride_layout
 from tidemark.operators.provenance import PROVENANCE_KEYS, with_provenance
 from tidemark.plans.ranges import FOOTER_TYPES, ColumnRange, column_range, footer_range
 from tidemark.plans.strides import StridePlan, plan_strides
+from tidemark.sinks.files import write_files
 from tidemark.sources.frames import is_catalog_table, open_frame
 from tidemark.sources.jdbc import open_jdbc
 from tidemark.sources.spec import STRIDE, LoadSpec
@@ -66,11 +68,7 @@ class Loader:
 
     def load(self, source: str | DataFrame | None = None) -> LoadResult:
         """Load a table name, a path or a DataFrame."""
-        spec = LoadSpec.of(self._options, source)
-        try:
-            return _load(self._spark, spec)
-        except (PySparkException, Py4JJavaError) as cause:
-            raise LoadError(f"load of {spec.table_name} failed") from cause
+        return self._load(LoadSpec.of(self._options, source))
 
     def load_deduplicated(
         self,
@@ -84,9 +82,9 @@ class Loader:
         ``keep="any"`` an arbitrary one, as does a load without partition column.
         """
         if keep not in ("latest", "any"):
-            raise ValueError(f"keep is latest or any, not {keep!r}")
-        loaded = self.load(source)
+            raise OptionError(f"keep is latest or any, not {keep!r}")
         spec = LoadSpec.of(self._options, source)
+        loaded = self._load(spec)
         if not spec.is_incremental:
             return loaded
         if keep == "latest" and spec.partition_column:
@@ -95,6 +93,43 @@ class Loader:
             df = dedup_any(loaded.df, primary_keys)
         return LoadResult(df, loaded.next_offset, loaded.range, loaded.strides)
 
+    def load_into(
+        self,
+        path: str,
+        source: str | DataFrame | None = None,
+        format: str = "parquet",
+        mode: str = "append",
+        partition_by: Sequence[str] = (),
+    ) -> str | None:
+        """Load straight into files and return the offset for the next run.
+
+        The source is read once: the next offset is the largest value among the rows
+        written, observed while they are written, so no range is looked up first.
+        (JDBC and stride-layout loads need their range beforehand and do look it up.)
+        """
+        spec = LoadSpec.of(self._options, source)
+        if spec.is_jdbc or spec.layout == STRIDE or not spec.partition_column:
+            loaded = self._load(spec)
+            write_files(loaded.df, path, format, mode, partition_by)
+            return loaded.next_offset
+        seen = Observation()
+        with _load_errors(spec):
+            rows = _observed(self._spark, spec, seen)
+        write_files(rows, path, format, mode, partition_by)
+        return seen.get["next_offset"] or spec.offset or None
+
+    def _load(self, spec: LoadSpec) -> LoadResult:
+        with _load_errors(spec):
+            return _load(self._spark, spec)
+
+
+@contextmanager
+def _load_errors(spec: LoadSpec) -> Iterator[None]:
+    try:
+        yield
+    except (PySparkException, Py4JJavaError) as cause:
+        raise LoadError(f"load of {spec.table_name} failed") from cause
+
 
 def loader(spark: SparkSession) -> Loader:
     return Loader(spark)
@@ -117,7 +152,7 @@ def _load_frame(
         return df, None, None
     field = splittable_field(df, spec.partition_column)
     c = quoted(field.name)
-    past_offset = c > offset_literal(spec.offset, field.dataType) if spec.is_incremental else None
+    past_offset = _past_offset(spec, field)
     if _footers_suffice(spark, spec, field.dataType):
         found = footer_range(spark, spec.table, field.name, spec.offset or None)
         # List the files again, after their footers were read: a file that came in
@@ -127,7 +162,7 @@ def _load_frame(
     else:
         found = column_range(df, field.name, past_offset)
 
-    if spec.is_incremental:
+    if past_offset is not None:
         within = F.lit(False) if found.is_empty else past_offset & (c <= found.high_literal())
     else:
         # A full load keeps the rows without a value.
@@ -139,6 +174,21 @@ def _load_frame(
     return rows, found, strides
 
 
+def _observed(spark: SparkSession, spec: LoadSpec, seen: Observation) -> DataFrame:
+    df = open_frame(spark, spec)
+    field = splittable_field(df, spec.partition_column)
+    past_offset = _past_offset(spec, field)
+    rows = df if past_offset is None else df.where(past_offset)
+    top = offset_text(F.max(quoted(field.name)), field.dataType)
+    return with_provenance(rows, _details(spark, spec)).observe(seen, top.alias("next_offset"))
+
+
+def _past_offset(spec: LoadSpec, field: T.StructField) -> Column | None:
+    if not spec.is_incremental:
+        return None
+    return quoted(field.name) > offset_literal(spec.offset, field.dataType)
+
+
 def _footers_suffice(spark: SparkSession, spec: LoadSpec, dtype: T.DataType) -> bool:
     """May the range come from Parquet footers?  Only on request, and only for a path.
 
