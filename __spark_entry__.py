@@ -162,6 +162,21 @@ def stride_date(spark, sf_dir):
     return _summary(_full(spark, "d", 12).load(dated))
 
 
+def stride_predicates(spark, sf_dir):
+    """Rows each condition of a parallel read selects, counted in one pass."""
+    orders = spark.read.parquet(_path(sf_dir, "orders"))
+    loaded = _full(spark, "o_custkey", 9).load(orders)
+    conditions = tm.stride_predicates(loaded.strides, "`o_custkey`", keep_nulls=True)
+    counts = [
+        F.struct(
+            F.lit(i).cast("bigint").alias("stride_id"),
+            F.count_if(F.expr(condition)).alias("row_count"),
+        )
+        for i, condition in enumerate(conditions)
+    ]
+    return orders.agg(F.array(*counts).alias("counts")).select(F.inline("counts"))
+
+
 def stride_layout(spark, sf_dir):
     """Rows per stride, counted from the partitions of the stride layout."""
     load = _full(spark, "k", 8).option("layout", "stride")
@@ -285,6 +300,7 @@ def queries() -> dict[str, Query]:
         stride_numeric,
         stride_timestamp,
         stride_date,
+        stride_predicates,
         stride_layout,
         provenance_rows,
         record_count,
@@ -426,6 +442,10 @@ def oracle_sql() -> dict[str, str]:
             12,
         )
         + f"SELECT {stride_columns} FROM s GROUP BY stride_id",
+        "stride_predicates": _number_strides(
+            "SELECT o_custkey AS x, o_custkey AS v FROM orders", 9
+        )
+        + "SELECT stride_id, count(*) AS row_count FROM s GROUP BY stride_id",
         "stride_layout": _number_strides(f"SELECT k AS x, k AS v FROM ({nulled})", 8)
         + "SELECT stride_id, count(*) AS row_count, true AS unmixed FROM s GROUP BY stride_id",
         "provenance_rows": f"""

@@ -250,6 +250,31 @@ def test_load_into_reads_the_source_once(spark, folder, sf_dir):
     assert len(tracker.getJobIdsForGroup("one pass")) == 1
 
 
+def test_load_into_keeps_the_latest_of_each_key(spark, folder):
+    rows = spark.range(100).selectExpr("id AS k", "id % 10 AS key")
+    load = incremental(spark, "k", "49")
+    assert load.load_into(folder, rows, primary_keys=["key"]) == "99"
+    assert values(spark.read.parquet(folder)) == list(range(90, 100))
+    assert load.option("layout", "stride").load_into(folder, rows, mode="overwrite", primary_keys=["key"]) == "99"
+    assert values(spark.read.parquet(folder)) == list(range(90, 100))
+
+
+@pytest.mark.parametrize("name", ["orc", "json", "csv"])
+def test_other_file_formats(spark, folder, name):
+    rows = spark.range(20).selectExpr("id AS k", "CAST(id AS string) AS s")
+    rows.write.format(name).option("header", True).save(folder)
+    load = incremental(spark, "k", "11").format(name).options(header=True, inferSchema=True)
+    loaded = load.load(folder)
+    assert sorted(int(v) for v in values(loaded.df)) == list(range(12, 20)) and loaded.next_offset == "19"
+
+
+def test_name_that_is_no_table_is_a_path(spark, folder):
+    path = f"{folder}-with-dashes"
+    spark.range(3).write.parquet(path)
+    assert tm.loader(spark).load(path).df.count() == 3
+    assert tm.loader(spark).load(f"file:{path}").df.count() == 3
+
+
 # --- plans ------------------------------------------------------------------
 
 
@@ -346,6 +371,20 @@ def test_hot_stride_is_split(spark, hot):
     assert loaded.df.exceptAll(rows).count() == 0
 
 
+def test_layout_is_the_same_when_it_runs_again(spark, folder):
+    rows = spark.range(0, 5_000, 1, 8).selectExpr("id % 50 AS k", "id")
+    loaded = full(spark, "k", layout="stride", numPartitions=5, maxPartitionRows=300).load(rows)
+    placed = loaded.df.select("id", F.spark_partition_id().alias("p"))
+    first, second = ({r.id: r.p for r in placed.collect()} for _ in range(2))
+    assert first == second and len(first) == 5_000
+
+
+def test_value_outside_the_range_goes_to_the_nearest_stride(spark):
+    plan = tm.plan_strides(tm.column_range(spark.range(10, 20), "id"), 3)
+    ids = spark.range(0, 30).select(tm.stride_id(plan).alias("s")).collect()
+    assert [r.s for r in ids] == [0] * 13 + [1] * 3 + [2] * 14
+
+
 def test_partition_size_limit_splits_strides(spark):
     rows = spark.range(0, 10_000, 1, 8).withColumnRenamed("id", "k")
     load = full(spark, "k", layout="stride", numPartitions=4, maxPartitionRows=500)

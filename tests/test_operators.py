@@ -201,6 +201,17 @@ def test_provenance_is_kept_and_merged(spark, folder):
     assert tm.provenance_rows(rows).count() == 0
 
 
+def test_provenance_changes_neither_types_nor_order(spark):
+    rows = spark.sql(
+        "SELECT map('a', 1) AS m, named_struct('x', array(named_struct('y', 1))) AS `s.t`, "
+        "CAST(1 AS DECIMAL(9,2)) AS D, INTERVAL '1' DAY AS i, CAST(NULL AS TINYINT) AS n"
+    )
+    described = tm.with_provenance(rows, {"loadType": "full"})
+    assert described.dtypes == rows.dtypes
+    assert [f.nullable for f in described.schema] == [f.nullable for f in rows.schema]
+    assert described.collect() == rows.collect()
+
+
 # --- sinks ------------------------------------------------------------------
 
 

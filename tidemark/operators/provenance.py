@@ -26,6 +26,7 @@ def with_provenance(df: DataFrame, details: Mapping[str, str | int]) -> DataFram
     Metadata follows a column through later projections and into Parquet files, so
     ``details`` must hold no credentials.
     """
+    # An alias per column, and not ``DataFrame.to``, whose metadata is lost on write.
     return df.select(
         *[quoted(f.name).alias(f.name, metadata={**f.metadata, **details}) for f in df.schema]
     )

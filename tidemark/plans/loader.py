@@ -85,12 +85,7 @@ class Loader:
             raise OptionError(f"keep is latest or any, not {keep!r}")
         spec = LoadSpec.of(self._options, source)
         loaded = self._load(spec)
-        if not spec.is_incremental:
-            return loaded
-        if keep == "latest" and spec.partition_column:
-            df = dedup_latest(loaded.df, primary_keys, spec.partition_column)
-        else:
-            df = dedup_any(loaded.df, primary_keys)
+        df = _deduplicated(loaded.df, spec, primary_keys, keep)
         return LoadResult(df, loaded.next_offset, loaded.range, loaded.strides)
 
     def load_into(
@@ -100,21 +95,27 @@ class Loader:
         format: str = "parquet",
         mode: str = "append",
         partition_by: Sequence[str] = (),
+        primary_keys: Sequence[str] = (),
     ) -> str | None:
         """Load straight into files and return the offset for the next run.
 
+        With ``primary_keys`` an increment keeps the latest row of each key.
+
         The source is read once: the next offset is the largest value among the rows
-        written, observed while they are written, so no range is looked up first.
+        loaded, observed while they are written, so no range is looked up first.
         (JDBC and stride-layout loads need their range beforehand and do look it up.)
         """
         spec = LoadSpec.of(self._options, source)
         if spec.is_jdbc or spec.layout == STRIDE or not spec.partition_column:
             loaded = self._load(spec)
-            write_files(loaded.df, path, format, mode, partition_by)
+            rows = _deduplicated(loaded.df, spec, primary_keys) if primary_keys else loaded.df
+            write_files(rows, path, format, mode, partition_by)
             return loaded.next_offset
         seen = Observation()
         with _load_errors(spec):
             rows = _observed(self._spark, spec, seen)
+        if primary_keys:
+            rows = _deduplicated(rows, spec, primary_keys)
         write_files(rows, path, format, mode, partition_by)
         return seen.get["next_offset"] or spec.offset or None
 
@@ -174,6 +175,16 @@ def _load_frame(
     return rows, found, strides
 
 
+def _deduplicated(
+    df: DataFrame, spec: LoadSpec, primary_keys: Sequence[str], keep: str = "latest"
+) -> DataFrame:
+    if not spec.is_incremental:
+        return df
+    if keep == "latest" and spec.partition_column:
+        return dedup_latest(df, primary_keys, spec.partition_column)
+    return dedup_any(df, primary_keys)
+
+
 def _observed(spark: SparkSession, spec: LoadSpec, seen: Observation) -> DataFrame:
     df = open_frame(spark, spec)
     field = splittable_field(df, spec.partition_column)

@@ -81,9 +81,10 @@ def stride_id(plan: StridePlan) -> Column:
         steps = _whole_steps(F.unix_date(c).cast("bigint") - F.lit(plan.low), plan.step)
     else:
         steps = _whole_steps(*_number_distance(c, plan))
-    # ``least`` skips NULL, so a missing value has to be settled before it.
-    last = F.lit(plan.count - 1).cast("bigint")
-    return F.when(c.isNull(), F.lit(0).cast("bigint")).otherwise(F.least(last, steps))
+    # ``least`` skips NULL, so a missing value has to be settled before it.  A value
+    # outside the range, which a changing source may hold, goes to the nearest stride.
+    first, last = F.lit(0).cast("bigint"), F.lit(plan.count - 1).cast("bigint")
+    return F.when(c.isNull(), first).otherwise(F.greatest(first, F.least(last, steps)))
 
 
 def _whole_steps(distance: Column, step: int | Column) -> Column:

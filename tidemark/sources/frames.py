@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import ParseException
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.errors import LoadError
@@ -20,11 +21,9 @@ def open_frame(spark: SparkSession, spec: LoadSpec) -> DataFrame:
 
 
 def is_catalog_table(spark: SparkSession, spec: LoadSpec) -> bool:
-    name = spec.table
-    # A path is never a table name, and the catalog would fail to parse it.
-    return (
-        isinstance(name, str)
-        and "/" not in name
-        and ":" not in name
-        and spark.catalog.tableExists(name)
-    )
+    if not isinstance(spec.table, str) or "/" in spec.table:
+        return False
+    try:
+        return spark.catalog.tableExists(spec.table)
+    except ParseException:  # no table name, so a path
+        return False
