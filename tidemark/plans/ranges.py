@@ -68,7 +68,7 @@ def range_frame(df: DataFrame, column: str, predicate: Column | str | None = Non
 
 def read_range(extremes: DataFrame, column: str, dtype: T.DataType) -> ColumnRange:
     """Bring the one row of :func:`range_frame` to the driver."""
-    low, high = F.col("min_value"), F.col("max_value")
+    low, high = F.col("min_value").cast(dtype), F.col("max_value").cast(dtype)
     (row,) = extremes.select(
         axis(low, dtype).alias("low"),
         axis(high, dtype).alias("high"),
