@@ -236,6 +236,7 @@ def test_load_into_without_a_range_or_with_strides(spark, folder):
     assert tm.loader(spark).load_into(folder, rows) is None
     strided = full(spark, "k", layout="stride", numPartitions=3)
     assert strided.load_into(folder, rows, mode="overwrite", partition_by=["g"]) == "9"
+    assert full(spark, "k").load_into(folder, rows, mode="overwrite", rebalance=True) == "9"
     assert spark.read.parquet(folder).count() == 10
 
 

@@ -47,7 +47,10 @@ class LoadResult:
 
 
 class Loader:
-    """Option builder; option names are case-insensitive, as in Spark's readers."""
+    """Option builder; option names are case-insensitive, as in Spark's readers.
+
+    Every call returns a new loader, so a common one can be kept and varied.
+    """
 
     def __init__(self, spark: SparkSession, options: dict[str, Any] | None = None):
         self._spark = spark
@@ -95,28 +98,32 @@ class Loader:
         format: str = "parquet",
         mode: str = "append",
         partition_by: Sequence[str] = (),
+        rebalance: bool = False,
         primary_keys: Sequence[str] = (),
     ) -> str | None:
         """Load straight into files and return the offset for the next run.
 
-        With ``primary_keys`` an increment keeps the latest row of each key.
+        The file arguments are those of ``write_files``.  With ``primary_keys`` an
+        increment keeps the latest row of each key.
 
         The source is read once: the next offset is the largest value among the rows
         loaded, observed while they are written, so no range is looked up first.
         (JDBC and stride-layout loads need their range beforehand and do look it up.)
+        A source that changes while it is read, so that a retried task could see other
+        rows, should be loaded with ``load`` or staged first.
         """
         spec = LoadSpec.of(self._options, source)
         if spec.is_jdbc or spec.layout == STRIDE or not spec.partition_column:
             loaded = self._load(spec)
             rows = _deduplicated(loaded.df, spec, primary_keys) if primary_keys else loaded.df
-            write_files(rows, path, format, mode, partition_by)
+            write_files(rows, path, format, mode, partition_by, rebalance)
             return loaded.next_offset
         seen = Observation()
         with _load_errors(spec):
             rows = _observed(self._spark, spec, seen)
         if primary_keys:
             rows = _deduplicated(rows, spec, primary_keys)
-        write_files(rows, path, format, mode, partition_by)
+        write_files(rows, path, format, mode, partition_by, rebalance)
         return seen.get["next_offset"] or spec.offset or None
 
     def _load(self, spec: LoadSpec) -> LoadResult:
