@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
@@ -43,7 +44,10 @@ def stride_layout(
 
 
 def _per_stride(values: list[int], stride: Column) -> Column:
-    return F.element_at(F.lit(values), (stride + 1).cast("int"))
+    # One text literal, which Spark folds into an array; a literal per value would
+    # take seconds to build for thousands of strides.
+    lookup = F.from_json(F.lit(json.dumps(values)), "array<int>")
+    return F.element_at(lookup, (stride + 1).cast("int"))
 
 
 def _row_salt(df: DataFrame) -> Column:
