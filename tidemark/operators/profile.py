@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.types import is_splittable, quoted
+from tidemark.operators.columns import column_facts
 from tidemark.operators.dedup import resolve_keys
 
 # Fixed value: the row size reported when there is nothing to measure.
@@ -44,23 +45,23 @@ def first_as_count(result: DataFrame) -> DataFrame:
 
 def field_profile(df: DataFrame) -> DataFrame:
     """One row per column: name, type, precision, scale, splittable, null_count."""
-    total = F.count("*")
     facts = [
-        F.struct(
-            F.lit(f.name).alias("name"),
-            F.lit(f.dataType.simpleString()).alias("type"),
-            _whole(_precision(f.dataType)).alias("precision"),
-            _whole(_scale(f.dataType)).alias("scale"),
-            F.lit(is_splittable(f.dataType)).alias("splittable"),
-            (total - F.count(quoted(f.name))).alias("null_count"),
-        )
-        for f in df.schema
+        {
+            "at": i,
+            "name": f.name,
+            "type": f.dataType.simpleString(),
+            "precision": _precision(f.dataType),
+            "scale": _scale(f.dataType),
+            "splittable": is_splittable(f.dataType),
+        }
+        for i, f in enumerate(df.schema)
     ]
-    return df.agg(F.array(*facts).alias("facts")).select(F.inline("facts"))
-
-
-def _whole(n: int | None) -> Column:
-    return F.lit(n).cast("int")
+    fields = "name: string, type: string, precision: int, scale: int, splittable: boolean"
+    return (
+        column_facts(df, facts, fields)
+        .withColumn("null_count", F.col("row_count") - F.col("value_count"))
+        .drop("row_count", "value_count")
+    )
 
 
 def _precision(dtype: T.DataType) -> int | None:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemark.functions.types import quoted
+from tidemark.operators.columns import column_facts
 
 # The provenance keys.
 PROVENANCE_KEYS = (
@@ -38,17 +38,9 @@ def provenance_rows(df: DataFrame) -> DataFrame:
     ``value_count`` is the number of non-NULL values the load put in the column.
     """
     facts = [
-        F.struct(
-            F.lit(f.name).alias("column"),
-            F.lit(key).alias("key"),
-            F.lit(str(f.metadata[key])).alias("value"),
-            F.count(quoted(f.name)).alias("value_count"),
-        )
-        for f in df.schema
+        {"at": i, "column": f.name, "key": key, "value": str(f.metadata[key])}
+        for i, f in enumerate(df.schema)
         for key in PROVENANCE_KEYS
         if key in f.metadata
     ]
-    if not facts:
-        empty = "column string, key string, value string, value_count bigint"
-        return df.sparkSession.createDataFrame([], empty)
-    return df.agg(F.array(*facts).alias("facts")).select(F.inline("facts"))
+    return column_facts(df, facts, "column: string, key: string, value: string").drop("row_count")
