@@ -10,15 +10,19 @@ import re
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import tidemark as tm
-from tidemark.sources.jdbc import quote_name, range_query
+from tidemark.sources.jdbc import offset_sql, quote_name, range_query
 
 MYSQL = "jdbc:mysql://localhost/test?user=fred&password=secret"
+OTHER = "jdbc:other://localhost/test"
+LONG, DATE, NTZ, ZONED = T.LongType(), T.DateType(), T.TimestampNTZType(), T.TimestampType()
 
 
 def spark_sql(text):
-    """JDBC escapes as Spark literals."""
+    """JDBC escapes, quoted names and MySQL's text type in Spark's form."""
+    text = re.sub(r'"([^"]*)"', r"`\1`", text).replace(" AS CHAR)", " AS STRING)")
     text = re.sub(r"\{ts '([^']*)'\}", r"TIMESTAMP_NTZ'\1'", text)
     return re.sub(r"\{d '([^']*)'\}", r"DATE'\1'", text)
 
@@ -85,15 +89,17 @@ CASES = [
 
 
 @pytest.mark.parametrize("column, offset, condition, top", CASES)
-@pytest.mark.parametrize("strides", [1, 10])
-def test_incremental(spark, session, column, offset, condition, top, strides):
-    loaded = load(session, partitionColumn=column, offset=offset, numPartitions=strides).load("booking")
+@pytest.mark.parametrize("strides, url", [(1, MYSQL), (10, MYSQL), (10, OTHER)])
+def test_incremental(spark, session, column, offset, condition, top, strides, url):
+    options = {"url": url, "partitionColumn": column, "offset": offset, "numPartitions": strides}
+    loaded = tm.loader(session).options(**options).load("booking")
     want = spark.table("booking").where(condition)
     assert loaded.df.count() == want.count() and loaded.df.exceptAll(want).count() == 0
     assert loaded.next_offset == top
     scan = session.log[-1]
-    assert len(scan["predicates"]) == strides and scan["url"] == MYSQL
-    assert all(f"`{column}`" in p for p in scan["predicates"])
+    assert len(scan["predicates"]) == strides and scan["url"] == url
+    name = f"`{column}`" if url == MYSQL else f'"{column}"'
+    assert all(name in p for p in scan["predicates"])
 
 
 @pytest.mark.parametrize("column", ["booking_id", "last_updated", "day"])
@@ -159,9 +165,52 @@ def test_missing_column_and_wrong_type(session):
 def test_quoting(spark, session):
     assert quote_name(MYSQL, "a`b") == "`a``b`"
     assert quote_name("jdbc:postgresql://h/d", 'a"b') == '"a""b"'
-    assert range_query("jdbc:postgresql://h/d", "booking", "day", " where day > 3") == (
+    fields = spark.table("booking").schema
+    assert range_query("jdbc:postgresql://h/d", "booking", fields["day"], " where day > 3") == (
         'SELECT min("day") AS min_value, max("day") AS max_value FROM booking WHERE day > 3'
     )
+    assert range_query(MYSQL, "booking", fields["last_updated"]) == (
+        "SELECT CAST(min(`last_updated`) AS CHAR) AS min_value, "
+        "CAST(max(`last_updated`) AS CHAR) AS max_value FROM booking"
+    )
+
+
+@pytest.mark.parametrize(
+    "url, dtype, text, sql",
+    [
+        (MYSQL, NTZ, "2020-08-24T18:18:07.5", "'2020-08-24 18:18:07.5'"),
+        (MYSQL, NTZ, "2020-08-24", "'2020-08-24 00:00:00'"),
+        (OTHER, NTZ, "2020-08-24T18:18:07.5", "{ts '2020-08-24 18:18:07.5'}"),
+        (OTHER, ZONED, "2020-08-24 18:18:07+05:30", "'2020-08-24 18:18:07+05:30'"),
+        (OTHER, DATE, "2020-08-24", "{d '2020-08-24'}"),
+        (MYSQL, LONG, "+4345454", "4345454"),
+    ],
+)
+def test_offset_text(url, dtype, text, sql):
+    assert offset_sql(url, text, dtype) == sql
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("url", [MYSQL, OTHER])
+def test_column_read_as_an_instant(spark, zone, url):
+    """The hour in which New York sets its clocks back, as an instant."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        # The stand-in database keeps the time of the session, as MySQL's connections do.
+        start = 1_730_606_400 if url == OTHER else 1_730_563_200
+        rows = spark.range(240).selectExpr(f"timestamp_seconds({start} + id * 60) AS t", "id")
+        rows.createOrReplaceTempView("instants")
+        session, seen, offset = StandInSession(spark), [], "2024-11-01 00:00:00"
+        for last in (40, 130, 240):
+            rows.where(F.col("id") < last).createOrReplaceTempView("instants")
+            options = {"url": url, "partitionColumn": "t", "offset": offset, "numPartitions": 6}
+            loaded = tm.loader(session).options(**options).load("instants")
+            seen += [r.id for r in loaded.df.collect()]
+            offset = loaded.next_offset
+        assert sorted(seen) == list(range(240))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_table_facts_computed_by_the_database(session):

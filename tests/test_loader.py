@@ -299,6 +299,17 @@ def test_range_filter_forms(spark, sf_dir):
     assert len({tuple(tm.range_frame(orders, "o_orderdate", p).first()) for p in forms}) == 1
 
 
+@pytest.mark.parametrize("footers", [False, True])
+def test_directory_column_prunes_directories(spark, folder, capsys, footers):
+    rows = spark.range(100).selectExpr("id", "date_add(date'2024-01-01', cast(id div 10 as int)) AS day")
+    rows.write.partitionBy("day").parquet(folder)
+    loaded = incremental(spark, "day", "2024-01-07", footerStats=footers).load(folder)
+    assert values(loaded.df, "id") == list(range(70, 100)) and loaded.next_offset == "2024-01-10"
+    plan = plan_of(loaded.df, capsys)
+    assert "(day#" in plan[plan.index("PartitionFilters") :].split("\n")[0]
+    assert incremental(spark, "day", "2024-01-10", footerStats=footers).load(folder).df.count() == 0
+
+
 # --- footers ----------------------------------------------------------------
 
 

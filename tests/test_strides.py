@@ -141,6 +141,12 @@ def test_sql_text():
     moment = tm.plan_strides(found(1, 1, NTZ), 9)
     at = "{ts '1970-01-01 00:00:00.000001'}"
     assert tm.stride_predicates(moment, "t", keep_nulls=False) == [f"t >= {at} AND t <= {at}"]
+    at = "'1970-01-01 00:00:00.000001'"
+    plain = tm.stride_predicates(moment, "t", keep_nulls=False, plain_timestamps=True)
+    assert plain == [f"t >= {at} AND t <= {at}"]
+    instant = tm.plan_strides(found(1, 1, ZONED), 9)
+    at = "'1970-01-01 00:00:00.000001+00:00'"
+    assert tm.stride_predicates(instant, "t", keep_nulls=False) == [f"t >= {at} AND t <= {at}"]
 
 
 @settings(max_examples=200, deadline=None)

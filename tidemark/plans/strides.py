@@ -110,18 +110,21 @@ def stride_summary(df: DataFrame, plan: StridePlan) -> DataFrame:
     )
 
 
-def stride_predicates(plan: StridePlan | None, name: str, keep_nulls: bool) -> list[str]:
+def stride_predicates(
+    plan: StridePlan | None, name: str, keep_nulls: bool, plain_timestamps: bool = False
+) -> list[str]:
     """The plan as SQL conditions, one per parallel query of a JDBC source.
 
     ``name`` is the already quoted column name.  With ``keep_nulls`` the first
-    condition also takes the rows without a value.
+    condition also takes the rows without a value.  ``plain_timestamps`` is that of
+    ``sql_literal``.
     """
     if plan is None:
         return [f"{name} IS NULL" if keep_nulls else "1=0"]
     predicates = []
     for i, (start, end) in enumerate(plan.bounds()):
         closing = "<=" if i == plan.count - 1 else "<"
-        low, high = sql_literal(start, plan.dtype), sql_literal(end, plan.dtype)
+        low, high = (sql_literal(n, plan.dtype, plain_timestamps) for n in (start, end))
         predicates.append(f"{name} >= {low} AND {name} {closing} {high}")
     if keep_nulls:
         predicates[0] = f"({predicates[0]}) OR {name} IS NULL"
@@ -139,9 +142,18 @@ def salted_predicates(predicates: list[str], name: str, buckets: int) -> list[st
     return [f"({p}) AND ({s})" for p in predicates for s in split]
 
 
-def sql_literal(n: int, dtype: T.DataType) -> str:
-    """An axis position as SQL text; the braces are the JDBC standard's own escapes."""
+def sql_literal(n: int, dtype: T.DataType, plain_timestamps: bool = False) -> str:
+    """An axis position as SQL text.
+
+    Dates and wall-clock timestamps are written with the JDBC standard's escapes, or
+    timestamps as plain text where a database is better served by that.  Instants are
+    plain text with their zone offset, for which there is no escape.
+    """
     if is_number(dtype):
         return str(n)
-    kind = "d" if isinstance(dtype, T.DateType) else "ts"
-    return f"{{{kind} '{axis_text(n, dtype)}'}}"
+    text = axis_text(n, dtype)
+    if isinstance(dtype, T.DateType):
+        return f"{{d '{text}'}}"
+    if isinstance(dtype, T.TimestampType):
+        return f"'{text}+00:00'"
+    return f"'{text}'" if plain_timestamps else f"{{ts '{text}'}}"

@@ -2,6 +2,11 @@
 
 The work of a load is split into SQL conditions over the partition column, so N
 tasks query the database at the same time and each streams its own rows.
+
+Bounds of wall-clock timestamps are the database's own values, whatever the time
+zones of the session, the driver and the connection.  So they are asked for without a
+zone; MySQL and MariaDB, whose drivers shift timestamps between zones (and whose
+TIMESTAMP is always read as an instant), are asked for them as text and given text.
 """
 
 from __future__ import annotations
@@ -23,17 +28,21 @@ from tidemark.plans.ranges import ColumnRange, bare_condition, read_range
 from tidemark.plans.strides import StridePlan, plan_strides, salted_predicates, stride_predicates
 from tidemark.sources.spec import LoadSpec
 
-# URL prefixes of databases that quote names with backticks.
-BACKTICK_URLS = ("jdbc:mysql:", "jdbc:mariadb:")
+# URL prefixes of MySQL and MariaDB.
+MYSQL_URLS = ("jdbc:mysql:", "jdbc:mariadb:")
 
 # Rows per network round trip unless the caller says otherwise: most drivers would
 # by default hold a whole stride in memory.
 FETCH_SIZE = "10000"
 
 
+def is_mysql(url: str) -> bool:
+    return url.lower().startswith(MYSQL_URLS)
+
+
 def quote_name(url: str, name: str) -> str:
     """A column name quoted the way the database at ``url`` quotes names."""
-    mark = "`" if url.lower().startswith(BACKTICK_URLS) else '"'
+    mark = "`" if is_mysql(url) else '"'
     return mark + name.replace(mark, mark * 2) + mark
 
 
@@ -51,9 +60,23 @@ def table_schema(spark: SparkSession, url: str, table: str, options: Mapping[str
     return _reader(spark, url, options).option("dbtable", table).load().schema
 
 
-def range_query(url: str, table: str, column: str, where: str | None = None) -> str:
-    name = quote_name(url, column)
-    query = f"SELECT min({name}) AS min_value, max({name}) AS max_value FROM {table}"
+def range_field(url: str, schema: T.StructType, table: str, column: str) -> T.StructField:
+    """The partition column's field, with the type its range is computed in."""
+    field = require_splittable(table_field(schema, table, column))
+    if is_mysql(url) and is_timestamp(field.dataType):
+        return T.StructField(field.name, T.TimestampNTZType(), field.nullable)
+    return field
+
+
+def range_query(url: str, table: str, field: T.StructField, where: str | None = None) -> str:
+    as_text = is_mysql(url) and is_timestamp(field.dataType)
+    low, high = (
+        f"CAST({f}({quote_name(url, field.name)}) AS CHAR)"
+        if as_text
+        else f"{f}({quote_name(url, field.name)})"
+        for f in ("min", "max")
+    )
+    query = f"SELECT {low} AS min_value, {high} AS max_value FROM {table}"
     return f"{query} WHERE {bare_condition(where)}" if where else query
 
 
@@ -67,16 +90,21 @@ def jdbc_column_range(
 ) -> ColumnRange:
     """Range of a column, over the rows that pass ``where``, computed by the database.
 
-    Spark would fetch the column to find its range, so the aggregate is sent as a
-    query.  Timestamps are asked for without a zone: bounds must be the database's
-    own wall-clock values, whatever the zones of this session and of the driver.
+    Spark would fetch the column to find its range, so the aggregate is sent as a query.
     """
-    field = table_field(table_schema(spark, url, table, options), table, column)
-    return _range(spark, url, table, require_splittable(field), where, options)
+    schema = table_schema(spark, url, table, options)
+    return _range(spark, url, table, range_field(url, schema, table, column), where, options)
 
 
-def _range(spark, url, table, field, where, options) -> ColumnRange:
-    query = range_query(url, table, field.name, where)
+def _range(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    field: T.StructField,
+    where: str | None,
+    options: Mapping[str, str],
+) -> ColumnRange:
+    query = range_query(url, table, field, where)
     extremes = _reader(spark, url, options).option("query", query).load()
     return read_range(extremes, field.name, field.dataType)
 
@@ -86,15 +114,16 @@ def jdbc_record_count(spark: SparkSession, url: str, query: str, **options: str)
     return first_as_count(_reader(spark, url, options).option("query", query).load())
 
 
-def offset_sql(text: str, dtype: T.DataType) -> str:
-    """A checked offset as SQL text, escaped the JDBC way."""
+def offset_sql(url: str, text: str, dtype: T.DataType) -> str:
+    """A checked offset as SQL text, in the forms of ``sql_literal``."""
     offset_literal(text, dtype)  # raises on a malformed offset
     if is_number(dtype):
         return str(int(text))
-    if is_timestamp(dtype):
-        day, clock = text[:10], text[11:] or "00:00:00"
-        return f"{{ts '{day} {clock}'}}"
-    return f"{{d '{text}'}}"
+    if isinstance(dtype, T.DateType):
+        return f"{{d '{text}'}}"
+    moment = f"{text[:10]} {text[11:] or '00:00:00'}"
+    plain = is_mysql(url) or isinstance(dtype, T.TimestampType)
+    return f"'{moment}'" if plain else f"{{ts '{moment}'}}"
 
 
 def load_predicates(
@@ -102,7 +131,7 @@ def load_predicates(
 ) -> list[str]:
     """One condition per parallel query; a full load also takes rows without a value."""
     name = quote_name(spec.url, field.name)
-    predicates = stride_predicates(plan, name, keep_nulls=not spec.is_incremental)
+    predicates = stride_predicates(plan, name, not spec.is_incremental, is_mysql(spec.url))
     if salt is None:
         return predicates
     return salted_predicates(predicates, quote_name(spec.url, salt.name), spec.salt_buckets)
@@ -124,13 +153,14 @@ def open_jdbc(
     if not spec.partition_column:
         return spark.read.jdbc(spec.url, spec.table, properties=properties), None, None
     schema = table_schema(spark, spec.url, spec.table, spec.reader_options)
-    field = require_splittable(table_field(schema, spec.table, spec.partition_column))
+    field = range_field(spec.url, schema, spec.table, spec.partition_column)
     salt = table_field(schema, spec.table, spec.salt_column) if spec.salt_column else None
     if salt is not None and not is_number(salt.dataType):
         raise OptionError(f"saltColumn {salt.name!r} is not a whole number column")
     where = None
     if spec.offset:
-        where = f"{quote_name(spec.url, field.name)} > {offset_sql(spec.offset, field.dataType)}"
+        past = offset_sql(spec.url, spec.offset, field.dataType)
+        where = f"{quote_name(spec.url, field.name)} > {past}"
     found = _range(spark, spec.url, spec.table, field, where, spec.reader_options)
     plan = plan_strides(found, spec.num_partitions)
     predicates = load_predicates(spec, field, salt, plan)
