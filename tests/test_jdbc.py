@@ -162,6 +162,12 @@ def test_missing_column_and_wrong_type(session):
         load(session, loadType="full").load("no_such_table")
 
 
+def test_cause_of_a_failed_connection_is_kept(spark):
+    with pytest.raises(tm.LoadError) as failure:
+        tm.loader(spark).options(url="jdbc:nothing:here", loadType="full").load("booking")
+    assert "driver" in str(failure.value.__cause__)
+
+
 def test_quoting(spark, session):
     assert quote_name(MYSQL, "a`b") == "`a``b`"
     assert quote_name("jdbc:postgresql://h/d", 'a"b') == '"a""b"'

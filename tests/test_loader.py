@@ -240,6 +240,15 @@ def test_load_into_without_a_range_or_with_strides(spark, folder):
     assert spark.read.parquet(folder).count() == 10
 
 
+def test_load_into_must_not_pass_over_rows_it_did_not_write(spark, folder):
+    rows = spark.range(10).withColumnRenamed("id", "k")
+    with pytest.raises(tm.OptionError, match="ignore"):
+        incremental(spark, "k", "4").load_into(folder, rows, mode="Ignore")
+    incremental(spark, "k", "4").load_into(folder, rows, mode="error")
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        incremental(spark, "k", "4").load_into(folder, rows, mode="error")
+
+
 def test_load_into_reads_the_source_once(spark, folder, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")  # a job of its own, for the schema
     tracker = spark.sparkContext.statusTracker()

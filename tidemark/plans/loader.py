@@ -112,6 +112,8 @@ class Loader:
         A source that changes while it is read, so that a retried task could see other
         rows, should be loaded with ``load`` or staged first.
         """
+        if mode.lower() == "ignore":
+            raise OptionError("mode ignore may write nothing, while the next offset moves on")
         spec = LoadSpec.of(self._options, source)
         if spec.is_jdbc or spec.layout == STRIDE or not spec.partition_column:
             loaded = self._load(spec)
