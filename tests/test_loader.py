@@ -338,17 +338,20 @@ def test_footers_agree_with_the_scan(spark, folder):
         assert everything.range == full(spark, column).load(folder).range
 
 
-def test_file_that_arrives_while_footers_are_read(spark, folder, monkeypatch):
+@pytest.mark.parametrize("step", ["footer_frame", "footer_range", "open_frame"])
+def test_file_that_arrives_during_a_load(spark, folder, monkeypatch, step):
     spark.range(10).withColumnRenamed("id", "k").write.parquet(folder)
-    read_footers = loader_module.footer_range
+    original = getattr(loader_module, step)
 
     def arrive_before(*args):
         spark.range(10, 20).withColumnRenamed("id", "k").write.mode("append").parquet(folder)
-        return read_footers(*args)
+        return original(*args)
 
-    monkeypatch.setattr(loader_module, "footer_range", arrive_before)
-    loaded = incremental(spark, "k", "4", footerStats=True).load(folder)
-    assert values(loaded.df) == list(range(5, 20)) and loaded.next_offset == "19"
+    monkeypatch.setattr(loader_module, step, arrive_before)
+    first = incremental(spark, "k", "4", footerStats=True).load(folder)
+    monkeypatch.undo()
+    second = incremental(spark, "k", first.next_offset, footerStats=True).load(folder)
+    assert values(first.df) + values(second.df) == list(range(5, 20))
 
 
 def test_footer_facts_read_no_column_data(spark, sf_dir, capsys):
@@ -360,6 +363,15 @@ def test_footer_facts_read_no_column_data(spark, sf_dir, capsys):
     assert "COUNT(o_orderpriority), COUNT(*)]" in profile and "PushedAggregation: [COUNT" in profile
 
 
+def test_footers_are_no_use_for_frames_tables_and_timestamps(spark, sf_dir):
+    rows = spark.range(10).withColumnRenamed("id", "k")
+    rows.createOrReplaceTempView("no_footers")
+    load = incremental(spark, "k", "4", footerStats=True)
+    assert load.load(rows).range.low == load.load("no_footers").range.low == 5
+    by_time = incremental(spark, "ts", "2024-01-10", footerStats=True)
+    assert by_time.load(f"{sf_dir}/events.parquet").range.low is not None
+
+
 def test_footers_leave_the_session_alone(spark, folder):
     spark.range(10).withColumnRenamed("id", "k").write.parquet(folder)
     before = spark.conf.get("spark.sql.sources.useV1SourceList")

@@ -24,7 +24,13 @@ from tidemark.functions.types import offset_literal, offset_text, quoted, splitt
 from tidemark.operators.dedup import dedup_any, dedup_latest
 from tidemark.operators.layout import MAX_PARTITION_ROWS, stride_layout
 from tidemark.operators.provenance import PROVENANCE_KEYS, with_provenance
-from tidemark.plans.ranges import FOOTER_TYPES, ColumnRange, column_range, footer_range
+from tidemark.plans.ranges import (
+    FOOTER_TYPES,
+    ColumnRange,
+    column_range,
+    footer_frame,
+    footer_range,
+)
 from tidemark.plans.strides import StridePlan, plan_strides
 from tidemark.sinks.files import write_files
 from tidemark.sources.frames import is_catalog_table, open_frame
@@ -157,19 +163,17 @@ def _load(spark: SparkSession, spec: LoadSpec) -> LoadResult:
 def _load_frame(
     spark: SparkSession, spec: LoadSpec
 ) -> tuple[DataFrame, ColumnRange | None, StridePlan | None]:
-    df = open_frame(spark, spec)
     if not spec.partition_column:
-        return df, None, None
+        return open_frame(spark, spec), None, None
+    # Footers come before the files are listed for the load: a file that arrives in
+    # between is cut off by the range, where an older listing would miss it while the
+    # next offset is already past it.
+    found = _range_from_footers(spark, spec)
+    df = open_frame(spark, spec)
     field = splittable_field(df, spec.partition_column)
     c = quoted(field.name)
     past_offset = _past_offset(spec, field)
-    if _footers_suffice(spark, spec, field.dataType):
-        found = footer_range(spark, spec.table, field.name, spec.offset or None)
-        # List the files again, after their footers were read: a file that came in
-        # between is cut off by the range, where the older listing would miss it
-        # while the next offset is already past it.
-        df = open_frame(spark, spec)
-    else:
+    if found is None:
         found = column_range(df, field.name, past_offset)
 
     if past_offset is not None:
@@ -209,20 +213,28 @@ def _past_offset(spec: LoadSpec, field: T.StructField) -> Column | None:
     return quoted(field.name) > offset_literal(spec.offset, field.dataType)
 
 
-def _footers_suffice(spark: SparkSession, spec: LoadSpec, dtype: T.DataType) -> bool:
-    """May the range come from Parquet footers?  Only on request, and only for a path.
+def _range_from_footers(spark: SparkSession, spec: LoadSpec) -> ColumnRange | None:
+    """The range from Parquet footers, if that was asked for and is possible.
 
     Footers know the range of a whole file, so they give the top of an increment but
     not its bottom, which strides start from.
     """
-    return (
+    possible = (
         spec.footer_stats
         and spec.layout != STRIDE
-        and isinstance(dtype, FOOTER_TYPES)
         and spec.format == "parquet"
         and not spec.reader_options
+        and isinstance(spec.table, str)
+        and not spec.named_table
         and not is_catalog_table(spark, spec)
     )
+    if not possible:
+        return None
+    footers = footer_frame(spark, spec.table)
+    field = splittable_field(footers, spec.partition_column)
+    if not isinstance(field.dataType, FOOTER_TYPES):
+        return None
+    return footer_range(footers, field.name, spec.offset or None)
 
 
 def _details(spark: SparkSession, spec: LoadSpec) -> dict[str, str | int]:

@@ -108,15 +108,12 @@ def footer_frame(spark: SparkSession, path: str) -> DataFrame:
     return footers.read.parquet(path)
 
 
-def footer_range(
-    spark: SparkSession, path: str, column: str, offset: str | None = None
-) -> ColumnRange:
-    """Range of a column of Parquet files, from :func:`footer_frame`.
+def footer_range(df: DataFrame, column: str, offset: str | None = None) -> ColumnRange:
+    """Range of a column of a :func:`footer_frame`.
 
     With an offset only the top is known: it is the top of the table, if that is
     past the offset.
     """
-    df = footer_frame(spark, path)
     field = splittable_field(df, column)
     extremes = range_frame(df, field.name)
     if offset is not None:
