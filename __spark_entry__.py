@@ -279,6 +279,13 @@ def staged_parquet(spark, sf_dir):
     )
 
 
+def staged_load(spark, sf_dir):
+    """An increment of a query, staged as Parquet and read from there."""
+    query = f"SELECT o_orderkey, o_totalprice FROM {_view(spark, sf_dir, 'orders')}"
+    load = _incremental(spark, "o_orderkey", "2000").options(query=query, tempdir=fresh_path(spark))
+    return load.load().df.where(F.col("o_totalprice") > 100000)
+
+
 def queries() -> dict[str, Query]:
     listed = [
         full_scan,
@@ -316,6 +323,7 @@ def queries() -> dict[str, Query]:
         sink_roundtrip,
         sink_partitioned,
         staged_parquet,
+        staged_load,
     ]
     return {query.__name__: query for query in listed}
 
@@ -491,6 +499,10 @@ def oracle_sql() -> dict[str, str]:
         """,
         "sink_roundtrip": "SELECT * FROM orders",
         "sink_partitioned": "SELECT * FROM orders",
+        "staged_load": """
+            SELECT o_orderkey, o_totalprice FROM orders
+            WHERE o_orderkey > 2000 AND o_totalprice > 100000
+        """,
         "staged_parquet": """
             SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 100000
         """,

@@ -45,11 +45,14 @@ class StandInReader:
         self.log.append(self.given)
         if "query" in self.given:
             return self.spark.sql(spark_sql(self.given["query"]))
-        return self.spark.table(self.given["dbtable"])
+        return self.table(self.given["dbtable"])
+
+    def table(self, name):
+        return self.spark.sql(f"SELECT * FROM {name}")
 
     def jdbc(self, url, table, predicates=None, properties=None):
         self.log.append({"url": url, "dbtable": table, "predicates": predicates, **properties})
-        rows = self.spark.table(table)
+        rows = self.table(table)
         if predicates is None:
             return rows
         # A row comes back once per query that selects it.
@@ -121,6 +124,15 @@ def test_documented_number_of_strides(spark, session):
     assert len(predicates) == 900 and len(set(predicates)) == 900
 
 
+def test_query_in_strides(spark, session):
+    query = "SELECT booking_id, day FROM booking WHERE amount < 600"
+    loaded = load(session, query=query, partitionColumn="day", offset="2021-08-24", numPartitions=8).load()
+    want = spark.sql(f"{query} AND day > date'2021-08-24'")
+    assert loaded.df.exceptAll(want).count() == 0 and loaded.df.count() == want.count()
+    assert len(session.log[-1]["predicates"]) == 8
+    assert session.log[-1]["dbtable"] == f"({query}) load_query"
+
+
 def test_full_in_one_query(session):
     loaded = load(session, loadType="full", dbtable="booking", fetchsize=7).load()
     assert loaded.df.count() == 1000 and loaded.next_offset is None

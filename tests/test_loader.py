@@ -195,6 +195,28 @@ def test_bounds_do_not_depend_on_the_session_time_zone(spark, zone, column_type)
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
+def test_query_source(spark, sf_dir, capsys):
+    spark.read.parquet(f"{sf_dir}/events.parquet").createOrReplaceTempView("queried_events")
+    query = "SELECT event_id, ts FROM queried_events WHERE event_type = 'click'"
+    loaded = incremental(spark, "ts", "2024-01-10", query=query).load()
+    assert loaded.df.count() == spark.sql(f"{query} AND ts > '2024-01-10'").count()
+    assert loaded.df.schema["ts"].metadata["tableName"] == "query"
+    plan = plan_of(loaded.df, capsys)
+    assert "EqualTo(event_type,click)" in plan and "GreaterThan(ts,2024-01-10T00:00)" in plan
+
+
+def test_staged_load_no_longer_needs_its_source(spark, folder):
+    view = f"to_stage_{uuid.uuid4().hex}"
+    spark.range(10).selectExpr("id AS k").createOrReplaceTempView(view)
+    load = incremental(spark, "k", "4", tempdir=folder)
+    staged, into = load.load(view), f"{folder}-into"
+    assert load.load_into(into, view) == staged.next_offset == "9"
+    spark.range(0).selectExpr("id AS k").createOrReplaceTempView(view)
+    assert values(staged.df) == values(spark.read.parquet(into)) == [5, 6, 7, 8, 9]
+    assert all(folder in f for f in staged.df.inputFiles())
+    assert staged.df.schema["k"].metadata["lastOffset"] == "4"
+
+
 # --- load into files --------------------------------------------------------
 
 

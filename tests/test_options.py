@@ -67,6 +67,8 @@ def test_dbtable_comes_before_the_argument_of_load():
         {"dbtable": "t", "layout": "hashed"},
         {"dbtable": "t", "layout": "stride"},
         {"dbtable": "t", "footerStats": "perhaps"},
+        {"dbtable": "t", "query": "SELECT 1"},
+        {"path": "t", "query": "SELECT 1"},
         {"dbtable": "t", "url": MYSQL, "saltColumn": "id"},
         {"dbtable": "t", "url": MYSQL, "saltColumn": "id", "saltBuckets": "4"},
         {"dbtable": "t", "loadType": "full", "partitionColumn": "c", "saltColumn": "id", "saltBuckets": "4"},

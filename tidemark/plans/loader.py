@@ -33,6 +33,7 @@ from tidemark.plans.ranges import (
 )
 from tidemark.plans.strides import StridePlan, plan_strides
 from tidemark.sinks.files import write_files
+from tidemark.sinks.staging import stage
 from tidemark.sources.frames import is_catalog_table, open_frame
 from tidemark.sources.jdbc import open_jdbc
 from tidemark.sources.spec import STRIDE, LoadSpec
@@ -114,14 +115,14 @@ class Loader:
 
         The source is read once: the next offset is the largest value among the rows
         loaded, observed while they are written, so no range is looked up first.
-        (JDBC and stride-layout loads need their range beforehand and do look it up.)
+        (JDBC, staged and stride-layout loads need their range beforehand and look it up.)
         A source that changes while it is read, so that a retried task could see other
         rows, should be loaded with ``load`` or staged first.
         """
         if mode.lower() == "ignore":
             raise OptionError("mode ignore may write nothing, while the next offset moves on")
         spec = LoadSpec.of(self._options, source)
-        if spec.is_jdbc or spec.layout == STRIDE or not spec.partition_column:
+        if spec.is_jdbc or spec.tempdir or spec.layout == STRIDE or not spec.partition_column:
             loaded = self._load(spec)
             rows = _deduplicated(loaded.df, spec, primary_keys) if primary_keys else loaded.df
             write_files(rows, path, format, mode, partition_by, rebalance)
@@ -156,8 +157,11 @@ def _load(spark: SparkSession, spec: LoadSpec) -> LoadResult:
         df, found, strides = open_jdbc(spark, spec)
     else:
         df, found, strides = _load_frame(spark, spec)
+    df = with_provenance(df, _details(spark, spec))
+    if spec.tempdir:
+        df = stage(df, spec.tempdir)
     next_offset = found.next_offset(spec.offset or None) if found else None
-    return LoadResult(with_provenance(df, _details(spark, spec)), next_offset, found, strides)
+    return LoadResult(df, next_offset, found, strides)
 
 
 def _load_frame(
@@ -225,6 +229,7 @@ def _range_from_footers(spark: SparkSession, spec: LoadSpec) -> ColumnRange | No
         and spec.format == "parquet"
         and not spec.reader_options
         and isinstance(spec.table, str)
+        and not spec.query
         and not spec.named_table
         and not is_catalog_table(spark, spec)
     )

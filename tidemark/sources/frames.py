@@ -1,4 +1,4 @@
-"""Sources Spark scans itself: a DataFrame, a catalog table, or files."""
+"""Sources Spark scans itself: a DataFrame, a query, a catalog table, or files."""
 
 from __future__ import annotations
 
@@ -13,6 +13,8 @@ def open_frame(spark: SparkSession, spec: LoadSpec) -> DataFrame:
     """The whole source as a lazy DataFrame; pruning and push-down are Catalyst's."""
     if isinstance(spec.table, DataFrame):
         return spec.table
+    if spec.query:
+        return spark.sql(spec.query)
     if is_catalog_table(spark, spec):
         return spark.table(spec.table)
     if spec.named_table:

@@ -21,6 +21,7 @@ DEFAULT_NUM_PARTITIONS = 100
 # Options of this library.
 LAYOUT, FOOTER_STATS, MAX_PARTITION_ROWS = "layout", "footerStats", "maxPartitionRows"
 SALT_COLUMN, SALT_BUCKETS = "saltColumn", "saltBuckets"
+QUERY, TEMPDIR = "query", "tempdir"
 SCAN, STRIDE = "scan", "stride"
 
 OWN_OPTIONS = (
@@ -37,6 +38,8 @@ OWN_OPTIONS = (
     MAX_PARTITION_ROWS,
     SALT_COLUMN,
     SALT_BUCKETS,
+    QUERY,
+    TEMPDIR,
 )
 CREDENTIALS = ("user", "password")
 
@@ -58,6 +61,8 @@ class LoadSpec:
     max_partition_rows: int | None = None
     salt_column: str = ""
     salt_buckets: int = 1
+    query: str = ""
+    tempdir: str = ""
     reader_options: Mapping[str, str] = field(default_factory=dict)
 
     @property
@@ -70,6 +75,8 @@ class LoadSpec:
 
     @property
     def table_name(self) -> str:
+        if self.query:
+            return QUERY
         return self.table if isinstance(self.table, str) else "dataframe"
 
     @classmethod
@@ -90,6 +97,12 @@ class LoadSpec:
         table = option(DBTABLE) or source
         if table is None:
             table = option(PATH)
+        query = option(QUERY)
+        if query:
+            if isinstance(table, DataFrame) or table:
+                raise OptionError("load a query or a table, not both")
+            # The database gets the query as a subquery it can add conditions to.
+            table = f"({query}) load_query" if url else query
         if isinstance(table, str) and not table:
             raise OptionError("name the table with the option dbtable or in load(name)")
         if isinstance(table, DataFrame) and url is not None:
@@ -138,6 +151,8 @@ class LoadSpec:
             max_partition_rows=_positive(MAX_PARTITION_ROWS, option(MAX_PARTITION_ROWS)),
             salt_column=salt_column,
             salt_buckets=salt_buckets or 1,
+            query=query,
+            tempdir=option(TEMPDIR),
             reader_options={k: _text(v) for k, v in options.items() if k.lower() not in known},
         )
 
