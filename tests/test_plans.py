@@ -11,15 +11,23 @@ import __spark_entry__ as registry
 import tidemark as tm
 
 
+SHOWN = {}
+
+
 @pytest.fixture
 def plan(spark, sf_dir, capsys):
-    def show(df):
-        if isinstance(df, str):
-            df = registry.queries()[df](spark, sf_dir)
+    def explain(df):
         capsys.readouterr()
         df.explain("formatted")
         return capsys.readouterr().out
 
+    def show(shown):
+        if not isinstance(shown, str):
+            return explain(shown)
+        if shown not in SHOWN:
+            SHOWN[shown] = explain(registry.queries()[shown](spark, sf_dir))
+        return SHOWN[shown]
+
     return show
 
 

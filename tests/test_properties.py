@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import tidemark as tm
 
 few = settings(
-    max_examples=12,
+    max_examples=8,
     deadline=None,
     suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow],
 )
