@@ -13,6 +13,13 @@ from pyspark.sql import functions as F
 import tidemark as tm
 from tidemark.sinks.staging import fresh_path
 
+try:  # the operators for training data are an optional part
+    from tidemark.llm import queries as training_data
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith(("tidemark.llm", "corpus_pipeline")):
+        raise
+    training_data = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -325,7 +332,8 @@ def queries() -> dict[str, Query]:
         staged_parquet,
         staged_load,
     ]
-    return {query.__name__: query for query in listed}
+    found = {query.__name__: query for query in listed}
+    return found | (training_data.queries() if training_data else {})
 
 
 LATEST_LINE = """
@@ -354,6 +362,10 @@ def _number_strides(rows: str, n: int) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    return _oracle_sql() | (training_data.oracle_sql() if training_data else {})
+
+
+def _oracle_sql() -> dict[str, str]:
     past_events = "SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-10 00:00:00'"
     nulled = f"SELECT {NULLED_KEY} AS k, o_custkey, o_orderstatus, o_totalprice FROM orders"
     provenance = ", ".join(
