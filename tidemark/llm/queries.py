@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, exact_dedup
+from tidemark.llm import byte_bpe, exact_dedup, host_rules, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,8 +33,29 @@ def op2_byte_bpe(spark, sf_dir):
     )
 
 
+def op5_packing(spark, sf_dir):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(_table(spark, sf_dir, "documents"), path).select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
+def op8_host_rules(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents")
+    measured = host_rules.rule_statistics(documents, ["doc_id", "source"])
+    return host_rules.judge_hosts(measured).select(
+        "doc_id", *host_rules.STATISTICS, "base_failed", "kept"
+    )
+
+
 def queries() -> dict[str, Query]:
-    listed = [op1_exact_dedup, op2_byte_bpe]
+    listed = [op1_exact_dedup, op2_byte_bpe, op5_packing, op8_host_rules]
     return {query.__name__: query for query in listed}
 
 
@@ -48,4 +69,46 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(x) AS text_sha256
             FROM t JOIN g USING (x)
         """,
+        "op8_host_rules": r"""
+            WITH w AS (
+                SELECT doc_id, source, coalesce(text, '') AS x,
+                       regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+                FROM documents),
+            win AS (
+                SELECT doc_id, i, list_slice(ws, i, i + 4) AS five
+                FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM w)),
+            twice AS (
+                SELECT doc_id, i
+                FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, five) AS n FROM win)
+                WHERE n > 1),
+            rep AS (
+                SELECT doc_id, count(DISTINCT i + o) AS n_repeat_words
+                FROM twice, range(0, 5) AS r(o) GROUP BY doc_id),
+            lines AS (SELECT doc_id, unnest(string_split(x, chr(10))) AS line FROM w),
+            dup AS (
+                SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines
+                WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+            s AS (
+                SELECT doc_id, source, CAST(len(ws) AS BIGINT) AS n_words,
+                       CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+                       CAST(length(x) - length(regexp_replace(x, '[#*$%&|<>]', '', 'g')) AS BIGINT)
+                           AS n_symbols,
+                       coalesce(n_dup_lines, 0) AS n_dup_lines,
+                       coalesce(n_repeat_words, 0) AS n_repeat_words
+                FROM w LEFT JOIN rep USING (doc_id) LEFT JOIN dup USING (doc_id)),
+            j AS (
+                SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM s),
+            h AS (
+                SELECT source, count(*) AS n, count(*) FILTER (WHERE base_failed) AS f
+                FROM j WHERE source IS NOT NULL GROUP BY source),
+            p AS (SELECT avg(f / n) AS m, var_pop(f / n) AS v FROM h),
+            q AS (
+                SELECT m, CASE WHEN v > 1e-12 THEN least(1e6, greatest(0, m * (1 - m) / v - 1))
+                               ELSE 1e6 END AS k FROM p),
+            bad AS (SELECT source FROM h, q WHERE (f + m * k) / (n + k) > 0.5)
+            SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+                   NOT base_failed AND (source IS NULL OR source NOT IN (SELECT source FROM bad))
+                       AS kept
+            FROM j
+        """,
     }
