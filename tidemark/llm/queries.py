@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, exact_dedup, host_rules, packing
+from tidemark.llm import byte_bpe, exact_dedup, host_rules, packing, quality_fm, toxicity
+from tidemark.llm.samples import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +47,27 @@ def op5_packing(spark, sf_dir):
     )
 
 
+def op6_quality_fm(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents")
+    machine = quality_fm.train(documents, _table(spark, sf_dir, "labels"))
+    scored = quality_fm.score(
+        documents.select("doc_id", "text", "n_chars"), machine, stated_col="n_chars"
+    )
+    return scored.select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= quality_fm.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op7_toxicity(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents")
+    regression = toxicity.train(documents, _table(spark, sf_dir, "labels"))
+    scored = toxicity.score(documents.select("doc_id", "text"), regression)
+    return scored.select("doc_id", held_out().alias("held_out"), *toxicity.OUTPUTS)
+
+
 def op8_host_rules(spark, sf_dir):
     documents = _table(spark, sf_dir, "documents")
     measured = host_rules.rule_statistics(documents, ["doc_id", "source"])
@@ -55,7 +77,7 @@ def op8_host_rules(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
-    listed = [op1_exact_dedup, op2_byte_bpe, op5_packing, op8_host_rules]
+    listed = [op1_exact_dedup, op2_byte_bpe, op5_packing, op6_quality_fm, op7_toxicity, op8_host_rules]
     return {query.__name__: query for query in listed}
 
 
