@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 from tidemark.llm.host_rules import measure
-from tidemark.llm.text import LOWER, span_hashes, text_bytes, words
+from tidemark.llm.text import LOWER, span_hashes, spans, text_bytes
 
 STRUCTURE = (
     "words",
@@ -27,6 +27,9 @@ CAPITAL = np.zeros(256, bool)
 CAPITAL[0x41:0x5B] = True
 DIGIT = np.zeros(256, bool)
 DIGIT[0x30:0x3A] = True
+#: Letters, digits and every byte of the characters beyond ASCII.
+LETTER = np.zeros(256, bool)
+LETTER[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 PUNCTUATION = np.zeros(256, bool)
 PUNCTUATION[list(b".,;:!?\"'()-")] = True
 
@@ -37,14 +40,22 @@ def _totals(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.diff(total[offsets])
 
 
-def hashed_words(texts: pa.Array, buckets: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Distinct buckets of each text's words, A-Z folded, and how often each occurs."""
+def hashed_words(
+    texts: pa.Array, buckets: int, stems: tuple[int, ...] = ()
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Distinct buckets of each text's words and how often each occurs.
+
+    A word is a run of letters and digits, with A-Z folded; with ``stems`` the first so many
+    bytes of longer words count as words too.
+    """
     data, offsets = text_bytes(texts)
     data = LOWER[data]
-    starts, ends, before = words(data, offsets)
-    places = (span_hashes(data, starts, ends) % np.uint64(buckets)).astype(np.int64)
+    starts, ends, before = spans(LETTER[data], offsets)
+    cuts = [ends, *(np.minimum(ends, starts + n) for n in stems)]
+    places = np.stack([span_hashes(data, starts, cut) % np.uint64(buckets) for cut in cuts])
+    places = places.astype(np.int64)
     for i in range(len(before) - 1):
-        yield np.unique(places[before[i] : before[i + 1]], return_counts=True)
+        yield np.unique(places[:, before[i] : before[i + 1]], return_counts=True)
 
 
 def structure(texts: pa.Array, distinct: np.ndarray) -> np.ndarray:

@@ -23,13 +23,20 @@ from tidemark.llm.text import batch_slices, empty_if_null
 
 #: Labelled documents that the regression is fitted on, at most.
 SAMPLE_ROWS = 8192
-BUCKETS = 1 << 18
-#: Grades above 0; graded from binary labels by how dense a text is in telling words.
+BUCKETS = 1 << 20
+#: Bytes of the stems that count beside whole words, for languages that inflect.
+STEMS = (5, 6, 7, 8)
+#: Grades above 0; graded from binary labels by how many telling words a text has.
 GRADES = 3
 #: Training texts that must hold a word for it to have a weight.
-MIN_TEXTS = 5
-STEPS = 300
-SPARSITY = 1e-3
+MIN_TEXTS = 3
+#: Chi-squared statistic (grade 0 against the rest) and times the overall share of higher grades
+#: that a word needs to have a weight.
+TELLING, LIFT = 15.0, 3.0
+STEPS = 1000
+SPARSITY = 3e-5
+#: Probability of a grade above 0 from which a document counts as toxic: what one telling word gives.
+THRESHOLD = 0.15
 
 
 @dataclass
@@ -56,22 +63,23 @@ class Regression:
 
 
 def grades_from_labels(rows: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
-    """Grade 0 for label 0; labels of 1 are parted into GRADES equal parts by the share of the
-    text's distinct words that tell toxic texts (by log odds over the training texts)."""
+    """Grade 0 for label 0; labels of 1 are parted into GRADES equal parts by how many distinct
+    words of the text tell toxic texts (by log odds over the training texts)."""
     n = np.zeros((2, BUCKETS))
     for places, y in zip(rows, toxic):
         n[int(y), places] += 1
     size = np.array([(toxic == 0).sum(), (toxic == 1).sum()])
     odds = np.log((n[1] + 0.5) / (size[1] + 1)) - np.log((n[0] + 0.5) / (size[0] + 1))
     telling = (odds > 2) & (n[1] >= MIN_TEXTS)
-    density = np.array([telling[p].mean() if len(p) else 0.0 for p in rows])
-    cuts = np.quantile(density[toxic == 1], np.arange(1, GRADES) / GRADES)
-    return np.where(toxic == 1, 1 + np.searchsorted(cuts, density, "right"), 0)
+    found = np.array([telling[p].sum() for p in rows])
+    cuts = np.quantile(found[toxic == 1], np.arange(1, GRADES) / GRADES)
+    return np.where(toxic == 1, 1 + np.searchsorted(cuts, found, "right"), 0)
 
 
 def fit(rows: list[np.ndarray], grades: np.ndarray, top: int) -> Regression:
     """Proximal gradient steps (with momentum) on the mean log loss of all thresholds and an
-    absolute penalty, so that words that tell nothing have no weight.
+    absolute penalty.  Words that tell nothing have no weight and none is below 0: evidence
+    adds up, and long clean passages cannot outweigh it.
 
     With no rows, or one grade only, the weights are 0 and the thresholds give the smoothed
     shares of the grades.
@@ -83,13 +91,20 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, top: int) -> Regression:
     if len(np.unique(grades)) < 2:
         return Regression(weights, np.maximum.accumulate(thresholds))
     texts = np.bincount(np.concatenate(rows), minlength=BUCKETS)
-    used = np.flatnonzero(texts >= MIN_TEXTS)
+    share = (grades > 0).mean()
+    hits = np.bincount(
+        np.concatenate([p for p, g in zip(rows, grades) if g > 0]), minlength=BUCKETS
+    )
+    spread = texts * share * (1 - share) * (1 - texts / (n + 1))
+    chi_squared = (hits - texts * share) ** 2 / np.maximum(spread, 1e-9)
+    telling = (chi_squared > TELLING) & (hits > min(LIFT, 0.5 / share) * share * texts)
+    used = np.flatnonzero((texts >= MIN_TEXTS) & telling)
     dense_of = np.full(BUCKETS, -1)
     dense_of[used] = np.arange(len(used))
     columns = [dense_of[p] for p in rows]
     columns = [c[c >= 0] for c in columns]
     row_of = np.repeat(np.arange(n), [len(c) for c in columns])
-    flat = np.concatenate(columns)
+    flat = np.concatenate(columns).astype(np.int64)
     # a column's own step: inputs are 0 or 1, so its curvature is its share of texts
     step = n / (4 * texts[used] + 20.0) / top
     w, above = np.zeros(len(used)), grades[:, None] >= np.arange(1, top + 1)
@@ -99,8 +114,8 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, top: int) -> Regression:
         p = 1 / (1 + np.exp(-np.clip(sums[:, None] - thresholds, -30, 30)))
         error = p - above
         slope = np.bincount(flat, error.sum(axis=1)[row_of], minlength=len(used)) / n
-        new = ahead - 0.05 * step * slope
-        new = np.sign(new) * np.maximum(np.abs(new) - 0.05 * step * SPARSITY, 0)
+        new = ahead - 0.5 * step * slope
+        new = np.maximum(new - 0.5 * step * SPARSITY, 0)
         ahead = new + 0.8 * (new - w)
         w = new
         thresholds = np.sort(thresholds + 1.0 * error.mean(axis=0))
@@ -109,7 +124,7 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, top: int) -> Regression:
 
 
 def _distinct(texts: pa.Array) -> list[np.ndarray]:
-    return [places for places, _ in hashed_words(texts, BUCKETS)]
+    return [places for places, _ in hashed_words(texts, BUCKETS, STEMS)]
 
 
 def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> bytes:
@@ -134,7 +149,8 @@ OUTPUTS = ("severity", "toxic_probability", "grade", "predicted")
 
 def score(df: DataFrame, regression: bytes, text_col: str = "text") -> DataFrame:
     """``df`` with severity (the expected grade), toxic_probability (of a grade above 0), grade
-    (the likeliest) and predicted (1 if the probability is a half or more).
+    (the likeliest) and predicted (1 if the
+    probability is THRESHOLD or more).
 
     NULL and empty texts have no words and so the thresholds' own grades.  Columns already called
     so are an error; an empty table stays empty.
@@ -156,7 +172,7 @@ def score(df: DataFrame, regression: bytes, text_col: str = "text") -> DataFrame
                         pa.array(above.sum(axis=1)),
                         pa.array(above[:, 0]),
                         pa.array(each.argmax(axis=1).astype(np.int32)),
-                        pa.array((above[:, 0] >= 0.5).astype(np.int32)),
+                        pa.array((above[:, 0] >= THRESHOLD).astype(np.int32)),
                     ],
                     names=[*part.schema.names[:-1], *OUTPUTS],
                 )
