@@ -31,6 +31,8 @@ from tidemark.sinks.staging import stage
 MAX_RATE = 0.5
 #: Hosts whose rates do not differ at all count as if the prior had seen so many documents.
 LARGEST_PRIOR = 1e6
+#: Parts that the documents of a host, of which one may have a third of all, are joined in.
+SALTS = 64
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -163,9 +165,11 @@ def judge_hosts(
     """
     judged = stage(measured.withColumn("base_failed", base_failed()))
     rejected = host_rates(judged, host_col, "base_failed").where(F.col("rate") > max_rate)
-    verdicts = rejected.select("host", F.lit(False).alias("__good"))
+    verdicts = rejected.select("host", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__part"))
+    salted = judged.withColumn("__salt", F.pmod(F.xxhash64(*judged.columns), F.lit(SALTS)).cast("int"))
+    same = (F.col(f"`{host_col}`") == F.col("host")) & (F.col("__salt") == F.col("__part"))
     return (
-        judged.join(verdicts, F.col(f"`{host_col}`") == F.col("host"), "left")
-        .withColumn("kept", ~F.col("base_failed") & F.coalesce("__good", F.lit(True)))
-        .drop("host", "__good")
+        salted.join(verdicts, same, "left")
+        .withColumn("kept", ~F.col("base_failed") & F.col("host").isNull())
+        .drop("host", "__part", "__salt")
     )

@@ -8,6 +8,7 @@ of two, so that nothing is padded.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,9 +32,11 @@ DIMENSIONS = 4
 BITS = 10
 #: Buckets of the hashed document vector.
 BUCKETS = 1 << 14
-#: Chunks between white space whose ids a task remembers; beyond it the memory starts anew.
-CACHE_ENTRIES = 400_000
+#: Chunks between white space whose ids a process remembers, and the characters of the longest.
+CACHE_ENTRIES = 600_000
+LONGEST_CACHED = 64
 
+_PUNCTUATED = re.compile(r"(.*[^\W_])([!-&(-/:-@\[-`{-~]+)").fullmatch
 _PROJECTION = np.random.default_rng(5).standard_normal((BUCKETS, DIMENSIONS))
 _tokenizers: dict[str, Tokenizer] = {}
 
@@ -88,8 +91,10 @@ def curve_keys(texts: pa.Array) -> np.ndarray:
 class Tokenizer:
     """Ids of texts by the tokenizers library, chunk by chunk.
 
-    The vocabulary's normaliser and pattern never join what white space parts, so the ids of a
-    text are those of its chunks, and a chunk met before is looked up.
+    The vocabulary's normaliser and pattern never join what white space parts, nor a letter
+    or digit with a mark of ASCII punctuation after it (an apostrophe aside), so the ids of a
+    text are those of its chunks, and a chunk met before is looked up.  The first
+    CACHE_ENTRIES chunks of a process are remembered, among them the frequent ones.
     """
 
     def __init__(self, path: str):
@@ -97,23 +102,49 @@ class Tokenizer:
 
         self.library = Library.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
-
-    def encode_bytes(self, text: str) -> bytes:
-        """The ids as 32-bit integers, end to end."""
-        for space in "\t\n\v\f\r":
-            text = text.replace(space, " ")
-        chunks = text.split(" ")
+        self.ends_word = np.zeros(self.library.get_vocab_size(), bool)
+        for token, i in self.library.get_vocab().items():
+            self.ends_word[i] = token.endswith("</w>")
+
+    def _encode_words(self, found: list[str]) -> dict[str, bytes]:
+        """Ids of pieces; those of letters alone go through the library as one text, whose ids
+        are parted where words end."""
+        run = [w for w in found if w.isalpha()]
+        joined = self.library.encode_batch_fast([" ".join(run)], add_special_tokens=False)[0]
+        ids = np.array(joined.ids, "<u4")
+        ends = ((np.flatnonzero(self.ends_word[ids]) + 1) * 4).tolist()
+        if len(ends) != len(run):  # a word that the normaliser parts
+            run, ends = [], []
+        held, new, start = ids.tobytes(), {}, 0
+        for word, end in zip(run, ends):
+            new[word] = held[start:end]
+            start = end
+        rest = [w for w in found if w not in new]
+        encodings = self.library.encode_batch_fast(rest, add_special_tokens=False)
+        new.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(rest, encodings))
+        return new
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as 32-bit integers, end to end."""
+        rows = []
+        for text in texts:
+            for space in "\t\n\v\f\r":
+                if space in text:
+                    text = text.replace(space, " ")
+            rows.append(text.split(" "))
+        missing = set().union(*rows).difference(self.known)
+        if not missing:
+            return [b"".join(map(self.known.__getitem__, row)) for row in rows]
+        parts = {c: m.groups() if (m := _PUNCTUATED(c)) else (c,) for c in missing}
+        pieces = list({p for ps in parts.values() for p in ps if p not in self.known})
+        new = self._encode_words(pieces)
+        for chunk, ps in parts.items():
+            if len(ps) > 1:
+                new[chunk] = b"".join([new[p] if p in new else self.known[p] for p in ps])
+        if len(self.known) < CACHE_ENTRIES:
+            self.known.update((c, ids) for c, ids in new.items() if len(c) <= LONGEST_CACHED)
         known = self.known
-        missing = [c for c in set(chunks) if c not in known]
-        if missing:
-            if len(known) + len(missing) > CACHE_ENTRIES:
-                known.clear()
-                known[""] = b""
-                missing = [c for c in set(chunks) if c]
-            found = self.library.encode_batch_fast(missing, add_special_tokens=False)
-            for chunk, encoding in zip(missing, found):
-                known[chunk] = np.array(encoding.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, chunks))
+        return [b"".join([new[c] if c in new else known[c] for c in row]) for row in rows]
 
 
 def tokenizer(path: str) -> Tokenizer:
@@ -205,9 +236,11 @@ def pack(
         packer = Packer(sequence, TaskContext.get().partitionId() << 32)
         rows: list[tuple] = []
         for batch in batches:
-            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-                rows.extend(packer.add(doc_id, coder.encode_bytes(text) + end))
-                if len(rows) > 500:
+            for part in batch_slices(batch, "text"):
+                doc_ids, texts = (c.to_pylist() for c in part.columns)
+                for doc_id, ids in zip(doc_ids, coder.encode_many(texts)):
+                    rows.extend(packer.add(doc_id, ids + end))
+                if rows:
                     yield _pieces(rows)
                     rows = []
         rows.extend(packer.finish())
