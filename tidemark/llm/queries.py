@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, exact_dedup, host_rules, packing, quality_fm, toxicity
+from tidemark.llm import byte_bpe, exact_dedup, host_rules, minhash, packing, quality_fm, toxicity
 from tidemark.llm.samples import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,8 +76,13 @@ def op8_host_rules(spark, sf_dir):
     )
 
 
+def op10_minhash(spark, sf_dir):
+    found = minhash.near_duplicates(_table(spark, sf_dir, "documents"), k=2, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def queries() -> dict[str, Query]:
-    listed = [op1_exact_dedup, op2_byte_bpe, op5_packing, op6_quality_fm, op7_toxicity, op8_host_rules]
+    listed = [op1_exact_dedup, op2_byte_bpe, op5_packing, op6_quality_fm, op7_toxicity, op8_host_rules, op10_minhash]
     return {query.__name__: query for query in listed}
 
 
@@ -91,6 +96,33 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(x) AS text_sha256
             FROM t JOIN g USING (x)
         """,
+        "op10_minhash": r"""
+            WITH RECURSIVE w AS (
+                SELECT doc_id, regexp_extract_all(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+                FROM documents),
+            s AS (
+                SELECT DISTINCT doc_id, unnest(CASE
+                    WHEN len(ws) = 1 THEN [ws]
+                    ELSE list_transform(range(1, len(ws)), lambda i: [ws[i], ws[i + 1]]) END) AS shingle
+                FROM w WHERE len(ws) > 0),
+            n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+            i AS (
+                SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+                FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+            e AS MATERIALIZED (
+                SELECT a, b FROM i JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id
+                WHERE 100 * c >= 80 * (x.n + y.n - c)),
+            r AS (
+                SELECT doc_id, doc_id AS reached FROM w
+                UNION
+                SELECT r.doc_id, e.b FROM r JOIN e ON r.reached = e.a),
+            m AS (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY doc_id)
+            SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id,
+                   doc_id = component_id AS kept
+            FROM m LEFT JOIN n USING (doc_id)
+        """,
         "op8_host_rules": r"""
             WITH w AS (
                 SELECT doc_id, source, coalesce(text, '') AS x,
