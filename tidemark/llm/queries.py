@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, chat, exact_dedup, host_rules, minhash, packing, ppm, quality_fm, toxicity
+from tidemark.llm import byte_bpe, chat, exact_dedup, host_rules, minhash, packing, ppm, quality_fm, toxicity, url_filter
 from tidemark.llm.samples import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +35,20 @@ def op2_byte_bpe(spark, sf_dir):
     )
 
 
+URL_RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
+
+def op3_url_filter(spark, sf_dir):
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge_urls(pages, URL_RULES)
+
+
 def op4_ppm(spark, sf_dir):
     return ppm.score(_table(spark, sf_dir, "documents"))
 
@@ -104,8 +119,8 @@ def op10_minhash(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
-    listed = [op1_exact_dedup, op2_byte_bpe, op4_ppm, op5_packing, op6_quality_fm, op7_toxicity, op8_host_rules, op9_chat, op10_minhash]
-    return {query.__name__: query for query in listed}
+    listed = [op1_exact_dedup, op2_byte_bpe, op3_url_filter, op4_ppm, op5_packing, op6_quality_fm, op7_toxicity, op8_host_rules, op9_chat, op10_minhash]
+    return {query.__name__: query for query in listed} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
