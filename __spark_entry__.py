@@ -71,10 +71,7 @@ def full_ranged(spark, sf_dir):
 
 
 def _orders_nulled(spark, sf_dir):
-    orders = spark.read.parquet(_path(sf_dir, "orders"))
-    return orders.select(
-        F.expr(NULLED_KEY).alias("k"), "o_custkey", "o_orderstatus", "o_totalprice"
-    )
+    return spark.read.parquet(_path(sf_dir, "orders")).withColumn("k", F.expr(NULLED_KEY))
 
 
 def full_ranged_nulls(spark, sf_dir):
@@ -101,7 +98,7 @@ def incr_timestamp_t(spark, sf_dir):
 
 def incr_date(spark, sf_dir):
     orders = spark.read.parquet(_path(sf_dir, "orders"))
-    dated = orders.select("o_orderkey", F.col("o_orderdate").cast("date").alias("d"))
+    dated = orders.withColumn("d", F.col("o_orderdate").cast("date"))
     return _incremental(spark, "d", "1998-06-30").load(dated).df
 
 
@@ -133,6 +130,24 @@ def incr_into(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def incr_bounded(spark, sf_dir):
+    """An increment of a source that grows after its range was looked up.
+
+    Rows past the horizon are there only in another time zone, which stands for rows that arrive
+    while the load is read: they are left to the next run.
+    """
+    horizon = F.lit("2024-01-20 06:00:00").cast("timestamp_ntz")
+    arrived = F.current_timezone() == "Etc/GMT+7"
+    source = spark.read.parquet(_path(sf_dir, "events")).where((F.col("ts") <= horizon) | arrived)
+    loaded = _incremental(spark, "ts", "2024-01-10 00:00:00").load(source)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Etc/GMT+7")
+    try:
+        return tm.stage(loaded.df)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 # --- ranges and strides -----------------------------------------------------
 
 
@@ -170,13 +185,14 @@ def stride_date(spark, sf_dir):
 
 
 def stride_predicates(spark, sf_dir):
-    """Rows each condition of a parallel read selects, counted in one pass."""
-    orders = spark.read.parquet(_path(sf_dir, "orders"))
-    loaded = _full(spark, "o_custkey", 9).load(orders)
-    conditions = tm.stride_predicates(loaded.strides, "`o_custkey`", keep_nulls=True)
+    """Rows each condition of a parallel read selects, counted in one pass; -1: those without
+    a value."""
+    orders = _orders_nulled(spark, sf_dir)
+    loaded = _full(spark, "k", 9).load(orders)
+    conditions = tm.stride_predicates(loaded.strides, "`k`", keep_nulls=True)
     counts = [
         F.struct(
-            F.lit(i).cast("bigint").alias("stride_id"),
+            F.lit(i if i < loaded.strides.count else -1).cast("bigint").alias("stride_id"),
             F.count_if(F.expr(condition)).alias("row_count"),
         )
         for i, condition in enumerate(conditions)
@@ -202,7 +218,10 @@ def stride_layout(spark, sf_dir):
 
 def provenance_rows(spark, sf_dir):
     loaded = _incremental(spark, "o_orderkey", "2000", 7).load(_view(spark, sf_dir, "orders"))
-    return tm.provenance_rows(loaded.df).where(F.col("key") != "sparkApplicationId")
+    mine = F.col("value") == spark.conf.get("spark.app.id")
+    by_session = F.when(F.col("key") == "sparkApplicationId", mine.cast("string"))
+    listed = tm.provenance_rows(loaded.df, counts=True)
+    return listed.withColumn("value", F.coalesce(by_session, "value"))
 
 
 def record_count(spark, sf_dir):
@@ -211,7 +230,13 @@ def record_count(spark, sf_dir):
 
 
 def field_profile(spark, sf_dir):
-    return tm.field_profile(_orders_nulled(spark, sf_dir))
+    typed = _orders_nulled(spark, sf_dir).selectExpr(
+        "*",
+        "CAST(o_orderdate AS DATE) AS d",
+        "CAST(o_totalprice AS DECIMAL(12, 2)) AS price",
+        "o_orderkey + 0 IS NOT NULL AS keyed",
+    )
+    return tm.field_profile(typed)
 
 
 def field_profile_footers(spark, sf_dir):
@@ -242,8 +267,18 @@ def normalise_timestamps(spark, sf_dir):
 
 
 def dedup_keys(spark, sf_dir):
+    """The survivor of each key: how many there are, and whether a row of the table equals it."""
     lines = spark.read.parquet(_path(sf_dir, "lineitem"))
-    return tm.dedup_any(lines, LINE_KEYS).select(*LINE_KEYS)
+    survivors = tm.dedup_any(lines, LINE_KEYS)
+    marked = survivors.withColumn("mine", F.lit(1)).unionByName(lines.withColumn("mine", F.lit(0)))
+    whole_rows = marked.groupBy(*lines.columns).agg(
+        F.sum("mine").alias("survivors"), F.count_if(F.col("mine") == 0).alias("rows")
+    )
+    return (
+        whole_rows.where("survivors > 0")
+        .groupBy(*LINE_KEYS)
+        .agg(F.sum("survivors").alias("survivors"), F.bool_and(F.col("rows") > 0).alias("is_row"))
+    )
 
 
 def dedup_latest(spark, sf_dir):
@@ -251,6 +286,26 @@ def dedup_latest(spark, sf_dir):
     return tm.dedup_latest(lines, LINE_KEYS, "l_shipdate")
 
 
+def dedup_latest_nested(spark, sf_dir):
+    """Latest rows where the values are in a struct with a map, which Spark does not order."""
+    lines = spark.read.parquet(_path(sf_dir, "lineitem")).select(
+        *LINE_KEYS,
+        "l_shipdate",
+        F.struct(
+            "l_returnflag",
+            F.create_map(F.col("l_linestatus"), F.col("l_suppkey")).alias("by_status"),
+        ).alias("nested"),
+    )
+    latest = tm.dedup_latest(lines, LINE_KEYS, "l_shipdate")
+    return latest.selectExpr(
+        *LINE_KEYS,
+        "l_shipdate",
+        "nested.l_returnflag AS flag",
+        "map_keys(nested.by_status)[0] AS status",
+        "map_values(nested.by_status)[0] AS supplier",
+    )
+
+
 def incr_dedup(spark, sf_dir):
     load = _incremental(spark, "l_shipdate", "1998-01-01 00:00:00")
     return load.load_deduplicated(LINE_KEYS, _path(sf_dir, "lineitem")).df
@@ -308,6 +363,7 @@ def queries() -> dict[str, Query]:
         incr_pushdown,
         incr_chain,
         incr_into,
+        incr_bounded,
         range_full,
         range_filtered,
         next_offset,
@@ -325,6 +381,7 @@ def queries() -> dict[str, Query]:
         normalise_timestamps,
         dedup_keys,
         dedup_latest,
+        dedup_latest_nested,
         incr_dedup,
         base64_binary,
         sink_roundtrip,
@@ -367,7 +424,7 @@ def oracle_sql() -> dict[str, str]:
 
 def _oracle_sql() -> dict[str, str]:
     past_events = "SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-10 00:00:00'"
-    nulled = f"SELECT {NULLED_KEY} AS k, o_custkey, o_orderstatus, o_totalprice FROM orders"
+    nulled = f"SELECT *, {NULLED_KEY} AS k FROM orders"
     provenance = ", ".join(
         f"('{key}', '{value}')"
         for key, value in (
@@ -376,6 +433,7 @@ def _oracle_sql() -> dict[str, str]:
             ("lastOffset", "2000"),
             ("numPartitions", "7"),
             ("partitionColumn", "o_orderkey"),
+            ("sparkApplicationId", "true"),
         )
     )
     order_columns = (
@@ -391,19 +449,28 @@ def _oracle_sql() -> dict[str, str]:
             FROM orders WHERE o_orderkey > 2000"""
         for c in order_columns
     )
-    def profile(*columns: tuple[str, str, str, str, str]) -> str:
+
+    def profile(*columns: tuple[str, ...]) -> str:
         return " UNION ALL ".join(
             f"""SELECT '{name}' AS name, '{kind}' AS type, CAST({precision} AS INTEGER) AS precision,
-                       CAST({scale} AS INTEGER) AS scale, {splittable} AS splittable,
-                       count(*) FILTER (WHERE {name} IS NULL) AS null_count FROM t"""
-            for name, kind, precision, scale, splittable in columns
+                       CAST({scale} AS INTEGER) AS scale, {not_null} AS nullable,
+                       {splittable} AS splittable, count(*) FILTER (WHERE {name} IS NULL) AS null_count FROM t"""
+            for name, kind, precision, scale, splittable, not_null in (
+                (*c, "true")[:6] for c in columns
+            )
         )
 
     nulled_profile = profile(
-        ("k", "bigint", "19", "0", "true"),
+        ("o_orderkey", "bigint", "19", "0", "true"),
         ("o_custkey", "bigint", "19", "0", "true"),
         ("o_orderstatus", "string", "NULL", "NULL", "false"),
         ("o_totalprice", "double", "NULL", "NULL", "false"),
+        ("o_orderdate", "timestamp_ntz", "NULL", "NULL", "true"),
+        ("o_orderpriority", "string", "NULL", "NULL", "false"),
+        ("k", "bigint", "19", "0", "true"),
+        ("d", "date", "NULL", "NULL", "true"),
+        ("price", "decimal(12,2)", "12", "2", "false"),
+        ("keyed", "boolean", "NULL", "NULL", "false", "false"),
     )
     customer_profile = profile(
         ("c_custkey", "bigint", "19", "0", "true"),
@@ -425,7 +492,7 @@ def _oracle_sql() -> dict[str, str]:
         "incr_timestamp": past_events,
         "incr_timestamp_t": "SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-15 12:00:00'",
         "incr_date": """
-            SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders
+            SELECT *, CAST(o_orderdate AS DATE) AS d FROM orders
             WHERE CAST(o_orderdate AS DATE) > DATE '1998-06-30'
         """,
         "incr_empty_count": """
@@ -436,6 +503,7 @@ def _oracle_sql() -> dict[str, str]:
         """,
         "incr_chain": past_events,
         "incr_into": past_events,
+        "incr_bounded": f"{past_events} AND ts <= TIMESTAMP '2024-01-20 06:00:00'",
         "range_full": """
             SELECT min(o_orderkey) AS min_value, max(o_orderkey) AS max_value FROM orders
         """,
@@ -463,9 +531,10 @@ def _oracle_sql() -> dict[str, str]:
         )
         + f"SELECT {stride_columns} FROM s GROUP BY stride_id",
         "stride_predicates": _number_strides(
-            "SELECT o_custkey AS x, o_custkey AS v FROM orders", 9
+            f"SELECT k AS x, k AS v FROM ({nulled})", 9
         )
-        + "SELECT stride_id, count(*) AS row_count FROM s GROUP BY stride_id",
+        + """SELECT CASE WHEN v IS NULL THEN -1 ELSE stride_id END AS stride_id,
+                    count(*) AS row_count FROM s GROUP BY ALL""",
         "stride_layout": _number_strides(f"SELECT k AS x, k AS v FROM ({nulled})", 8)
         + "SELECT stride_id, count(*) AS row_count, true AS unmixed FROM s GROUP BY stride_id",
         "provenance_rows": f"""
@@ -473,7 +542,13 @@ def _oracle_sql() -> dict[str, str]:
             FROM ({column_counts}), (VALUES {provenance}) AS p(key, value)
         """,
         "record_count": "SELECT count(*) AS record_count FROM lineitem WHERE l_quantity > 25",
-        "field_profile": f"WITH t AS ({nulled}) {nulled_profile}",
+        "field_profile": f"""
+            WITH n AS ({nulled}),
+            t AS (SELECT *, CAST(o_orderdate AS DATE) AS d,
+                         CAST(o_totalprice AS DECIMAL(12, 2)) AS price,
+                         o_orderkey IS NOT NULL AS keyed FROM n)
+            {nulled_profile}
+        """,
         "field_profile_footers": f"WITH t AS (SELECT * FROM customer) {customer_profile}",
         "avg_row_size": """
             SELECT CAST(sum(32 + strlen(o_orderstatus) + strlen(o_orderpriority)) // count(*)
@@ -501,7 +576,21 @@ def _oracle_sql() -> dict[str, str]:
                 ELSE strftime(ts, '%Y-%m-%dT41:%M:%S') END AS TIMESTAMP) AS moment
             FROM events
         """,
-        "dedup_keys": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
+        "dedup_keys": """
+            SELECT DISTINCT l_orderkey, l_linenumber, CAST(1 AS BIGINT) AS survivors, true AS is_row
+            FROM lineitem
+        """,
+        "dedup_latest_nested": """
+            SELECT l_orderkey, l_linenumber, l_shipdate, l_returnflag AS flag,
+                   l_linestatus AS status, l_suppkey AS supplier
+            FROM (SELECT *, concat(length(l_linestatus), ':', l_linestatus,
+                                   length(CAST(l_suppkey AS VARCHAR)), ':', l_suppkey) AS m
+                  FROM lineitem)
+            QUALIFY row_number() OVER (
+                PARTITION BY l_orderkey, l_linenumber
+                ORDER BY l_shipdate DESC NULLS LAST,
+                    concat(length(l_returnflag), ':', l_returnflag, length(m), ':', m) DESC) = 1
+        """,
         "dedup_latest": f"SELECT * FROM lineitem {LATEST_LINE}",
         "incr_dedup": f"""
             SELECT * FROM lineitem WHERE l_shipdate > TIMESTAMP '1998-01-01 00:00:00' {LATEST_LINE}

@@ -129,7 +129,7 @@ def test_sql_text():
         "`k` >= 2 AND `k` <= 4",
     ]
     assert tm.stride_predicates(plan, "k", keep_nulls=True)[0] == (
-        "(k >= 1 AND k < 2) OR k IS NULL"
+        "k >= 1 AND k < 2"
     )
     assert tm.stride_predicates(None, "k", keep_nulls=False) == ["1=0"]
     assert tm.stride_predicates(None, "k", keep_nulls=True) == ["k IS NULL"]

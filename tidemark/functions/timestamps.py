@@ -34,6 +34,14 @@ def is_timestamp_text(text: str, zoned: bool = False) -> bool:
     return re.fullmatch(form, text) is not None and _is_calendar_day(text)
 
 
+def has_zone(text: str) -> bool:
+    return re.search(f"{TIME_FORM}{ZONE_FORM}$", text) is not None
+
+
+def is_zone(text: str) -> bool:
+    return re.fullmatch(ZONE_FORM, text) is not None
+
+
 def normalise_timestamp(c: Column) -> Column:
     """Mixed timestamp text to microsecond ``timestamp_ntz``; NULL when malformed.
 

@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.errors import OptionError
-from tidemark.functions.timestamps import is_date_text, is_timestamp_text
+from tidemark.errors import LoadError, OptionError
+from tidemark.functions.timestamps import has_zone, is_date_text, is_timestamp_text
 
 WHOLE_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 TIMESTAMPS = (T.TimestampType, T.TimestampNTZType)
@@ -44,6 +44,27 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, lengthened until no column of ``df`` has that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
+def holds(dtype: T.DataType, kinds: type | tuple[type, ...]) -> bool:
+    """Whether a type is one of ``kinds`` or has one inside."""
+    if isinstance(dtype, kinds):
+        return True
+    if isinstance(dtype, T.StructType):
+        return any(holds(f.dataType, kinds) for f in dtype)
+    if isinstance(dtype, T.ArrayType):
+        return holds(dtype.elementType, kinds)
+    if isinstance(dtype, T.MapType):
+        return holds(dtype.keyType, kinds) or holds(dtype.valueType, kinds)
+    return False
+
+
 def require_splittable(field: T.StructField) -> T.StructField:
     if not is_splittable(field.dataType):
         raise OptionError(
@@ -85,9 +106,27 @@ def offset_literal(text: str, dtype: T.DataType) -> Column:
     # A zone is meaningful only for timestamps that denote an instant.
     if not is_timestamp_text(text, zoned=isinstance(dtype, T.TimestampType)):
         raise OptionError(f"{shown} is not of the form yyyy-MM-dd[( |T)HH:mm:ss[.ffffff]]")
+    if isinstance(dtype, T.TimestampType) and not has_zone(text):
+        raise OptionError(
+            f"{shown} denotes an instant and needs a zone: yyyy-MM-dd HH:mm:ss+HH:mm, or the "
+            "option offsetZone"
+        )
     return F.lit(text).cast(dtype)
 
 
+def check_years(text: str | None, dtype: T.DataType) -> None:
+    """Refuse a value that could not be the next offset: years have four digits there."""
+    if text and not is_number(dtype) and not text[:1].isdigit():
+        raise LoadError(f"the largest value {text} lies past the year 9999, which no offset can name")
+
+
+def in_zone(text: str, zone: str, dtype: T.DataType) -> str:
+    """Offset text with ``zone`` (``Z`` or ``+HH:mm``), where it is an instant without one."""
+    if not zone or not isinstance(dtype, T.TimestampType) or has_zone(text):
+        return text
+    return f"{text if len(text) > 10 else text + ' 00:00:00'}{zone}"
+
+
 def axis(c: Column, dtype: T.DataType) -> Column:
     """Position of a value on the integer axis of its type.
 

@@ -15,9 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.errors import OptionError
-from tidemark.functions.types import quoted
-
-RANK = "__rank_in_key"
+from tidemark.functions.types import free_name, holds, quoted
 
 FIXED_WIDTH = (
     T.BooleanType,
@@ -27,11 +25,15 @@ FIXED_WIDTH = (
     T.LongType,
     T.FloatType,
     T.DoubleType,
+    T.DecimalType,
     T.DateType,
     T.TimestampType,
     T.TimestampNTZType,
 )
 
+# Types that Spark does not order.
+UNORDERED = (T.MapType, T.VariantType, T.CalendarIntervalType)
+
 
 def resolve_keys(df: DataFrame, keys: Sequence[str]) -> list[str]:
     """Key names as Spark resolves them; an error if one is missing."""
@@ -55,23 +57,50 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order_column: str) -> DataF
     """One row per key: the one with the largest ``order_column``.
 
     Ties go to the largest remaining columns, in table order, so the result does
-    not depend on the order of the input.  NULL loses against any value.
+    not depend on the order of the input.  NULL loses against any value.  Columns of types
+    that Spark does not order come last, by their value written as text.
     """
     names = resolve_keys(df, keys)
     (newest,) = df.select(quoted(order_column)).columns
     rest = [f for f in df.schema if f.name not in (*names, newest)]
-    order = [quoted(newest), *[_orderable(f) for f in rest]]
+    unordered = [f for f in rest if holds(f.dataType, UNORDERED)]
+    ordered = [quoted(f.name) for f in rest if f not in unordered]
+    order = [quoted(newest), *ordered, *[_written(quoted(f.name), f.dataType) for f in unordered]]
     return _first_per_key(df, names, [c.desc_nulls_last() for c in order])
 
 
 def _first_per_key(df: DataFrame, names: list[str], order: list[Column]) -> DataFrame:
     window = Window.partitionBy(*[quoted(k) for k in names]).orderBy(*order)
-    ranked = df.withColumn(RANK, F.row_number().over(window))
-    return ranked.where(F.col(RANK) == 1).drop(RANK)
+    rank = free_name(df, "__rank_in_key")
+    ranked = df.withColumn(rank, F.row_number().over(window))
+    return ranked.where(F.col(rank) == 1).drop(rank)
 
 
-def _orderable(field: T.StructField) -> Column:
-    c = quoted(field.name)
-    if isinstance(field.dataType, T.MapType):
-        return F.array_sort(F.map_entries(c))
-    return c
+def _written(c: Column, dtype: T.DataType) -> Column:
+    """A value of any type as text that is the same for equal values.
+
+    Maps are written as their sorted entries; parts are written with their length in
+    front, so that different values never have the same text.
+    """
+    if isinstance(dtype, T.StructType):
+        parts = F.array(*[_part(c[f.name], f.dataType) for f in dtype])
+    elif isinstance(dtype, T.ArrayType):
+        parts = F.transform(c, lambda x: _part(x, dtype.elementType))
+    elif isinstance(dtype, T.MapType):
+        entries = F.transform(
+            F.map_entries(c),
+            lambda e: F.concat(_part(e["key"], dtype.keyType), _part(e["value"], dtype.valueType)),
+        )
+        parts = F.array_sort(entries)
+    elif isinstance(dtype, T.VariantType):
+        return F.to_json(c)
+    elif isinstance(dtype, T.BinaryType):
+        return F.hex(c)
+    else:
+        return c.cast("string")
+    return F.when(c.isNotNull(), F.array_join(parts, ""))
+
+
+def _part(c: Column, dtype: T.DataType) -> Column:
+    text = _written(c, dtype)
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))

@@ -39,12 +39,21 @@ def record_count(spark: SparkSession, query: str) -> DataFrame:
 
 
 def first_as_count(result: DataFrame) -> DataFrame:
-    count = quoted(result.columns[0]).cast("bigint")
-    return result.select(count.alias("record_count")).limit(1)
+    """The first column of a result of one row; a result of several rows is an error."""
+    only = F.when(
+        F.count("*") > 1,
+        F.raise_error(F.lit("a record count is a query with one row, this one has several")),
+    ).otherwise(F.max(quoted(result.columns[0]).cast("bigint")))
+    rows = F.count("*").alias("__rows")
+    counted = result.agg(only.cast("bigint").alias("record_count"), rows)
+    return counted.where("__rows > 0").select("record_count")
 
 
 def field_profile(df: DataFrame) -> DataFrame:
-    """One row per column: name, type, precision, scale, splittable, null_count."""
+    """One row per column: name, type, precision, scale, nullable, splittable, null_count.
+
+    ``nullable`` is what the schema says (Parquet columns all are), ``null_count`` what the rows say.
+    """
     facts = [
         {
             "at": i,
@@ -52,11 +61,12 @@ def field_profile(df: DataFrame) -> DataFrame:
             "type": f.dataType.simpleString(),
             "precision": _precision(f.dataType),
             "scale": _scale(f.dataType),
+            "nullable": f.nullable,
             "splittable": is_splittable(f.dataType),
         }
         for i, f in enumerate(df.schema)
     ]
-    fields = "name: string, type: string, precision: int, scale: int, splittable: boolean"
+    fields = "name: string, type: string, precision: int, scale: int, nullable: boolean, splittable: boolean"
     return (
         column_facts(df, facts, fields)
         .withColumn("null_count", F.col("row_count") - F.col("value_count"))
@@ -77,7 +87,8 @@ def _scale(dtype: T.DataType) -> int | None:
 def avg_row_size(df: DataFrame) -> DataFrame:
     """One row ``avg_row_size``: mean bytes per row, rounded down; 5000 for no rows.
 
-    Only columns of variable width are read; the others count with their width.
+    Only columns of variable width are read; the others count with their width, NULL or not, at
+    the top level and inside structs, arrays and maps alike, as they do in a row's memory.
     """
     fixed = sum(w for w in (_fixed_width(f.dataType) for f in df.schema) if w is not None)
     size = F.lit(fixed).cast("bigint")
@@ -98,7 +109,7 @@ def _bytes(c: Column, dtype: T.DataType) -> Column:
     """Bytes of one value of variable width."""
     width = _fixed_width(dtype)
     if width is not None:
-        return F.when(c.isNull(), 0).otherwise(width).cast("bigint")
+        return F.lit(width).cast("bigint")
     if isinstance(dtype, (T.StringType, T.BinaryType)):
         return F.octet_length(c).cast("bigint")
     if isinstance(dtype, T.StructType):

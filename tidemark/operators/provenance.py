@@ -32,10 +32,11 @@ def with_provenance(df: DataFrame, details: Mapping[str, str | int]) -> DataFram
     )
 
 
-def provenance_rows(df: DataFrame) -> DataFrame:
-    """Provenance as rows ``(column, key, value, value_count)``.
+def provenance_rows(df: DataFrame, counts: bool = False) -> DataFrame:
+    """Provenance as rows ``(column, key, value)``, from the schema alone: no job reads ``df``.
 
-    ``value_count`` is the number of non-NULL values the load put in the column.
+    With ``counts`` one pass over ``df`` adds ``value_count``, the number of non-NULL values that
+    the load put in the column.
     """
     facts = [
         {"at": i, "column": f.name, "key": key, "value": str(f.metadata[key])}
@@ -43,4 +44,11 @@ def provenance_rows(df: DataFrame) -> DataFrame:
         for key in PROVENANCE_KEYS
         if key in f.metadata
     ]
-    return column_facts(df, facts, "column: string, key: string, value: string").drop("row_count")
+    if counts:
+        return column_facts(df, facts, "column: string, key: string, value: string").drop("row_count")
+    listed = [fact[name] for fact in facts for name in ("column", "key", "value")]
+    # An inline table, which is a local relation; one row more keeps it from being empty.
+    rows = ", ".join(["('', '', '')", *["(?, ?, ?)"] * len(facts)])
+    spark = df.sparkSession
+    inline = spark.sql(f"SELECT * FROM VALUES {rows} AS t(column, key, value)", args=listed)
+    return inline.where("key <> ''")

@@ -8,21 +8,27 @@ arrive later are left to the next run, and none is skipped or read twice.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import warnings
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass
+from functools import cached_property
 from typing import Any
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.errors import LoadError, OptionError
-from tidemark.functions.types import offset_literal, offset_text, quoted, splittable_field
+from tidemark.errors import SPARK_ERRORS, LoadError, OptionError
+from tidemark.functions.types import (
+    check_years,
+    in_zone,
+    offset_literal,
+    offset_text,
+    quoted,
+    splittable_field,
+)
 from tidemark.operators.dedup import dedup_any, dedup_latest
-from tidemark.operators.layout import MAX_PARTITION_ROWS, stride_layout
+from tidemark.operators.layout import lay_out
 from tidemark.operators.provenance import PROVENANCE_KEYS, with_provenance
 from tidemark.plans.ranges import (
     FOOTER_TYPES,
@@ -39,18 +45,40 @@ from tidemark.sources.jdbc import open_jdbc
 from tidemark.sources.spec import STRIDE, LoadSpec
 
 
-@dataclass(frozen=True)
 class LoadResult:
     """A loaded frame and what was found out on the way.
 
-    ``range`` is None without a partition column; ``strides`` is None then too, and
-    when the range is empty or only its top is known.
+    ``range`` is None without a partition column.  A load of files, whose list is fixed when the
+    frame opens, looks its range up only when ``range``, ``strides`` or ``next_offset`` is first
+    asked for.  ``strides`` is None without a range, and when the range is empty or only its top
+    is known.  ``partitions`` is the number of partitions of the stride layout, else None.
     """
 
-    df: DataFrame
-    next_offset: str | None
-    range: ColumnRange | None
-    strides: StridePlan | None
+    def __init__(
+        self,
+        df: DataFrame,
+        offset: str | None,
+        find: Callable[[], ColumnRange | None],
+        requested: int,
+        partitions: int | None = None,
+    ):
+        self.df, self.partitions = df, partitions
+        self._offset, self._find, self._requested = offset, find, requested
+
+    def with_frame(self, df: DataFrame) -> LoadResult:
+        return LoadResult(df, self._offset, lambda: self.range, self._requested, self.partitions)
+
+    @cached_property
+    def range(self) -> ColumnRange | None:
+        return self._find()
+
+    @property
+    def strides(self) -> StridePlan | None:
+        return plan_strides(self.range, self._requested) if self.range else None
+
+    @property
+    def next_offset(self) -> str | None:
+        return self.range.next_offset(self._offset) if self.range else None
 
 
 class Loader:
@@ -95,8 +123,7 @@ class Loader:
             raise OptionError(f"keep is latest or any, not {keep!r}")
         spec = LoadSpec.of(self._options, source)
         loaded = self._load(spec)
-        df = _deduplicated(loaded.df, spec, primary_keys, keep)
-        return LoadResult(df, loaded.next_offset, loaded.range, loaded.strides)
+        return loaded.with_frame(_deduplicated(loaded.df, spec, primary_keys, keep))
 
     def load_into(
         self,
@@ -133,7 +160,9 @@ class Loader:
         if primary_keys:
             rows = _deduplicated(rows, spec, primary_keys)
         write_files(rows, path, format, mode, partition_by, rebalance)
-        return seen.get["next_offset"] or spec.offset or None
+        top = seen.get["next_offset"]
+        check_years(top, splittable_field(rows, spec.partition_column).dataType)
+        return top or spec.offset or None
 
     def _load(self, spec: LoadSpec) -> LoadResult:
         with _load_errors(spec):
@@ -144,7 +173,7 @@ class Loader:
 def _load_errors(spec: LoadSpec) -> Iterator[None]:
     try:
         yield
-    except (PySparkException, Py4JJavaError) as cause:
+    except SPARK_ERRORS as cause:
         raise LoadError(f"load of {spec.table_name} failed") from cause
 
 
@@ -153,43 +182,60 @@ def loader(spark: SparkSession) -> Loader:
 
 
 def _load(spark: SparkSession, spec: LoadSpec) -> LoadResult:
+    details = _details(spark, spec)
+    offset = spec.offset or None
     if spec.is_jdbc:
-        df, found, strides = open_jdbc(spark, spec)
-    else:
-        df, found, strides = _load_frame(spark, spec)
-    df = with_provenance(df, _details(spark, spec))
-    if spec.tempdir:
-        df = stage(df, spec.tempdir)
-    next_offset = found.next_offset(spec.offset or None) if found else None
-    return LoadResult(df, next_offset, found, strides)
-
-
-def _load_frame(
-    spark: SparkSession, spec: LoadSpec
-) -> tuple[DataFrame, ColumnRange | None, StridePlan | None]:
-    if not spec.partition_column:
-        return open_frame(spark, spec), None, None
+        df, found, _ = open_jdbc(spark, spec)
+        df = with_provenance(df, details)
+        df = stage(df, spec.tempdir) if spec.tempdir else df
+        return LoadResult(df, offset, lambda: found, spec.num_partitions)
     # Footers come before the files are listed for the load: a file that arrives in
     # between is cut off by the range, where an older listing would miss it while the
     # next offset is already past it.
-    found = _range_from_footers(spark, spec)
+    found = _range_from_footers(spark, spec) if spec.partition_column else None
     df = open_frame(spark, spec)
+    if not spec.partition_column:
+        df = with_provenance(df, details)
+        df = stage(df, spec.tempdir) if spec.tempdir else df
+        return LoadResult(df, offset, lambda: None, spec.num_partitions)
     field = splittable_field(df, spec.partition_column)
-    c = quoted(field.name)
     past_offset = _past_offset(spec, field)
-    if found is None:
-        found = column_range(df, field.name, past_offset)
+    rows = df if past_offset is None else df.where(past_offset)
+    pinned = _is_files(spark, spec)
+    if spec.tempdir:  # before anything else reads the source, which may be costly or changing
+        rows, pinned = stage(with_provenance(rows, details), spec.tempdir), True
+    if pinned and found is None and spec.layout != STRIDE:
+        frame = rows
+
+        def look_up() -> ColumnRange:
+            with _load_errors(spec):
+                return column_range(frame, field.name)
+
+        return LoadResult(with_provenance(rows, details), offset, look_up, spec.num_partitions)
 
+    if found is None:
+        found = column_range(rows, field.name)
+    c = quoted(field.name)
     if past_offset is not None:
-        within = F.lit(False) if found.is_empty else past_offset & (c <= found.high_literal())
+        rows = rows.where(F.lit(False) if found.is_empty else c <= found.high_literal())
     else:
         # A full load keeps the rows without a value.
-        within = c.isNull() if found.is_empty else c.isNull() | (c <= found.high_literal())
-    rows = df.where(within)
-    strides = plan_strides(found, spec.num_partitions)
+        rows = rows.where(c.isNull() if found.is_empty else c.isNull() | (c <= found.high_literal()))
+    strides, partitions = plan_strides(found, spec.num_partitions), None
     if spec.layout == STRIDE and strides is not None:
-        rows = stride_layout(rows, strides, spec.max_partition_rows or MAX_PARTITION_ROWS)
-    return rows, found, strides
+        rows, partitions = lay_out(rows, strides, spec.max_partition_rows)
+    df = with_provenance(rows, details)
+    return LoadResult(df, offset, lambda: found, spec.num_partitions, partitions)
+
+
+def _is_files(spark: SparkSession, spec: LoadSpec) -> bool:
+    """Whether the source is a path, the files of which are listed when the frame opens."""
+    return (
+        isinstance(spec.table, str)
+        and not spec.query
+        and not spec.named_table
+        and not is_catalog_table(spark, spec)
+    )
 
 
 def _deduplicated(
@@ -214,41 +260,44 @@ def _observed(spark: SparkSession, spec: LoadSpec, seen: Observation) -> DataFra
 def _past_offset(spec: LoadSpec, field: T.StructField) -> Column | None:
     if not spec.is_incremental:
         return None
-    return quoted(field.name) > offset_literal(spec.offset, field.dataType)
+    offset = in_zone(spec.offset, spec.offset_zone, field.dataType)
+    return quoted(field.name) > offset_literal(offset, field.dataType)
 
 
 def _range_from_footers(spark: SparkSession, spec: LoadSpec) -> ColumnRange | None:
     """The range from Parquet footers, if that was asked for and is possible.
 
     Footers know the range of a whole file, so they give the top of an increment but
-    not its bottom, which strides start from.
+    not its bottom, which strides start from.  Where they cannot serve, a warning says why.
     """
-    possible = (
-        spec.footer_stats
-        and spec.layout != STRIDE
-        and spec.format == "parquet"
-        and not spec.reader_options
-        and isinstance(spec.table, str)
-        and not spec.query
-        and not spec.named_table
-        and not is_catalog_table(spark, spec)
-    )
-    if not possible:
+    if not spec.footer_stats:
         return None
+    if spec.format != "parquet" or not _is_files(spark, spec):
+        return _no_footers("the source is not a path of Parquet files")
+    if spec.reader_options:
+        return _no_footers(f"reader options are given: {sorted(spec.reader_options)}")
+    if spec.layout == STRIDE and spec.is_incremental:
+        return _no_footers("the strides of an increment need its least value")
+    if not hasattr(spark, "newSession"):
+        return _no_footers("the session cannot open a second one")
     footers = footer_frame(spark, spec.table)
     field = splittable_field(footers, spec.partition_column)
     if not isinstance(field.dataType, FOOTER_TYPES):
-        return None
+        return _no_footers(f"column {field.name!r} is a {field.dataType.simpleString()}")
     return footer_range(footers, field.name, spec.offset or None)
 
 
+def _no_footers(why: str) -> None:
+    warnings.warn(f"footerStats is not used, the column is scanned: {why}", stacklevel=2)
+
+
 def _details(spark: SparkSession, spec: LoadSpec) -> dict[str, str | int]:
     values = (
         spec.table_name,
         spec.load_type,
         spec.offset,
         spec.num_partitions,
-        spark.sparkContext.applicationId,
+        spark.conf.get("spark.app.id"),
         spec.partition_column,
     )
     return dict(zip(PROVENANCE_KEYS, values))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from pyspark.sql import types as T
 from tidemark.functions.types import (
     WHOLE_NUMBERS,
     axis,
+    check_years,
     offset_literal,
     offset_text,
     quoted,
@@ -50,8 +53,7 @@ class ColumnRange:
 
 def bare_condition(text: str) -> str:
     """A filter as text, given with or without a leading ``where``."""
-    text = text.strip()
-    return text[6:] if text[:6].lower() == "where " else text
+    return re.sub(r"\A\s*where\s+", "", text.strip(), flags=re.IGNORECASE)
 
 
 def _filtered(df: DataFrame, predicate: Column | str | None) -> DataFrame:
@@ -75,6 +77,7 @@ def read_range(extremes: DataFrame, column: str, dtype: T.DataType) -> ColumnRan
         offset_text(low, dtype).alias("low_text"),
         offset_text(high, dtype).alias("high_text"),
     ).collect()
+    check_years(row.high_text, dtype)
     return ColumnRange(
         column,
         dtype,
@@ -99,13 +102,27 @@ def footer_frame(spark: SparkSession, path: str) -> DataFrame:
     For ``range_frame`` (whole numbers and dates), ``field_profile`` and plain counts
     of all rows: Spark pushes those aggregates into the Parquet reader, and no column
     data is read.  Anything else scans as usual.  The two settings this takes live in
-    a session of the frame's own, so the caller's session stays as it is; do not
-    combine the frame with frames of other sessions.
+    a second session, which has the caller's other settings and is kept for the caller's next
+    frame; do not combine the frame with frames of other sessions.
     """
-    footers = spark.newSession()
+    footers = _footer_session(spark)
+    return footers.read.parquet(path)
+
+
+_footer_sessions: WeakKeyDictionary[SparkSession, SparkSession] = WeakKeyDictionary()
+
+
+def _footer_session(spark: SparkSession) -> SparkSession:
+    """One session beside the caller's, with the caller's settings of this moment but for two."""
+    footers = _footer_sessions.get(spark)
+    if footers is None:
+        footers = _footer_sessions[spark] = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            footers.conf.set(key, value)
     footers.conf.set("spark.sql.sources.useV1SourceList", "")
     footers.conf.set("spark.sql.parquet.aggregatePushdown", "true")
-    return footers.read.parquet(path)
+    return footers
 
 
 def footer_range(df: DataFrame, column: str, offset: str | None = None) -> ColumnRange:

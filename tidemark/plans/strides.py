@@ -115,9 +115,8 @@ def stride_predicates(
 ) -> list[str]:
     """The plan as SQL conditions, one per parallel query of a JDBC source.
 
-    ``name`` is the already quoted column name.  With ``keep_nulls`` the first
-    condition also takes the rows without a value.  ``plain_timestamps`` is that of
-    ``sql_literal``.
+    ``name`` is the already quoted column name.  With ``keep_nulls`` the last condition takes
+    the rows without a value, which may be many.  ``plain_timestamps`` is that of ``sql_literal``.
     """
     if plan is None:
         return [f"{name} IS NULL" if keep_nulls else "1=0"]
@@ -127,7 +126,7 @@ def stride_predicates(
         low, high = (sql_literal(n, plan.dtype, plain_timestamps) for n in (start, end))
         predicates.append(f"{name} >= {low} AND {name} {closing} {high}")
     if keep_nulls:
-        predicates[0] = f"({predicates[0]}) OR {name} IS NULL"
+        predicates.append(f"{name} IS NULL")
     return predicates
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from tidemark.errors import LoadError, OptionError
 from tidemark.functions.types import (
+    in_zone,
     is_number,
     is_timestamp,
     offset_literal,
@@ -159,7 +160,8 @@ def open_jdbc(
         raise OptionError(f"saltColumn {salt.name!r} is not a whole number column")
     where = None
     if spec.offset:
-        past = offset_sql(spec.url, spec.offset, field.dataType)
+        offset = in_zone(spec.offset, spec.offset_zone, field.dataType)
+        past = offset_sql(spec.url, offset, field.dataType)
         where = f"{quote_name(spec.url, field.name)} > {past}"
     found = _range(spark, spec.url, spec.table, field, where, spec.reader_options)
     plan = plan_strides(found, spec.num_partitions)

@@ -10,6 +10,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 
 from tidemark.errors import OptionError
+from tidemark.functions.timestamps import is_zone
 
 # Option names, load types and the default number of partitions.
 URL, DBTABLE, PATH, FORMAT = "url", "dbtable", "path", "format"
@@ -21,7 +22,7 @@ DEFAULT_NUM_PARTITIONS = 100
 # Options of this library.
 LAYOUT, FOOTER_STATS, MAX_PARTITION_ROWS = "layout", "footerStats", "maxPartitionRows"
 SALT_COLUMN, SALT_BUCKETS = "saltColumn", "saltBuckets"
-QUERY, TEMPDIR = "query", "tempdir"
+QUERY, TEMPDIR, OFFSET_ZONE = "query", "tempdir", "offsetZone"
 SCAN, STRIDE = "scan", "stride"
 
 OWN_OPTIONS = (
@@ -40,6 +41,7 @@ OWN_OPTIONS = (
     SALT_BUCKETS,
     QUERY,
     TEMPDIR,
+    OFFSET_ZONE,
 )
 CREDENTIALS = ("user", "password")
 
@@ -63,6 +65,7 @@ class LoadSpec:
     salt_buckets: int = 1
     query: str = ""
     tempdir: str = ""
+    offset_zone: str = ""
     reader_options: Mapping[str, str] = field(default_factory=dict)
 
     @property
@@ -127,6 +130,10 @@ class LoadSpec:
         if layout == STRIDE and not column:
             raise OptionError("the stride layout needs a partitionColumn")
 
+        offset_zone = option(OFFSET_ZONE)
+        if offset_zone and not is_zone(offset_zone):
+            raise OptionError(f"offsetZone is Z or +HH:mm, not {offset_zone!r}")
+
         salt_column = option(SALT_COLUMN)
         salt_buckets = _positive(SALT_BUCKETS, option(SALT_BUCKETS))
         if bool(salt_column) != bool(salt_buckets):
@@ -153,6 +160,7 @@ class LoadSpec:
             salt_buckets=salt_buckets or 1,
             query=query,
             tempdir=option(TEMPDIR),
+            offset_zone=offset_zone,
             reader_options={k: _text(v) for k, v in options.items() if k.lower() not in known},
         )
 
