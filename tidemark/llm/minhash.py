@@ -144,24 +144,34 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(both) - common)
 
 
-def _sets(wanted: DataFrame, documents: DataFrame, k: int, carried: list[str]) -> DataFrame:
-    """``carried`` columns of ``wanted`` (with doc_id and text_hash) and the set of the text."""
+def _sets(wanted: DataFrame, documents: DataFrame, k: int) -> DataFrame:
+    """``node, held`` for the nodes of ``wanted`` (node, doc_id, text_hash): their packed sets.
+
+    A task gives the set of a node once, however many rows repeat its id and text.  The join is
+    by sorting at any size, as what is wanted grows with the documents.
+    """
     texts = documents.join(
-        wanted,
+        wanted.hint("merge"),
         documents["doc_id"].eqNullSafe(wanted["doc_id"])
         & (documents["text_hash"] == wanted["text_hash"]),
-    ).select(*(wanted[c] for c in carried), "text")
+    ).select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             for part in batch_slices(batch, "text"):
-                held = [_packed(found) for found in shingle_sets(part.column("text"), k)]
+                nodes = part.column("node").to_pylist()
+                new = {}
+                for node, found in zip(nodes, shingle_sets(part.column("text"), k)):
+                    if node not in seen:
+                        new[node] = _packed(found)
+                        seen.add(node)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array(held, pa.binary())], names=[*carried, "held"]
+                    [pa.array(list(new), pa.int64()), pa.array(list(new.values()), pa.binary())],
+                    names=["node", "held"],
                 )
 
-    fields = [f.simpleString().replace(":", " ") for f in wanted.select(*carried).schema]
-    return texts.mapInArrow(run, ", ".join([*fields, "held binary"]))
+    return texts.mapInArrow(run, "node bigint, held binary")
 
 
 def _link_batch(links: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -174,13 +184,11 @@ def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _confirmed(
-    pairs: DataFrame, nodes: DataFrame, documents: DataFrame, k: int, percent: int
-) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose full sets are similar.
 
-    A node's text is read where its document lies; its set goes to the parts of its partner
-    ``a``, which comes first in each part, and is compared in passing.
+    The set of ``b`` goes to a part of its partner ``a``, whose set comes first in each part,
+    and is compared in passing.
     """
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
     members = pairs.join(parts, "a").select(
@@ -189,7 +197,6 @@ def _confirmed(
     firsts = parts.select(
         "a", F.col("a").alias("node"), F.explode(F.expr("sequence(0, parts - 1)")).alias("part")
     )
-    wanted = stage(members.unionByName(firsts).join(nodes.drop("n_shingles"), "node"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, first = None, np.zeros(0, np.uint64)
@@ -203,7 +210,8 @@ def _confirmed(
             yield _link_batch(links)
 
     return (
-        _sets(wanted, documents, k, ["a", "part", "node"])
+        members.unionByName(firsts)
+        .join(sets.hint("merge"), "node")
         .repartition(_partitions(pairs), "a", "part")
         .sortWithinPartitions("a", "part", F.col("node") != F.col("a"))
         .select("a", "node", "held")
@@ -238,26 +246,26 @@ def similar_in_block(sets: list[np.ndarray], labels: np.ndarray, percent: int) -
     return list(zip(x.tolist(), y.tolist()))
 
 
-def _settled(
-    members: DataFrame, labels: DataFrame, nodes: DataFrame, documents: DataFrame, k: int, percent: int
-) -> DataFrame:
+def _settled(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links ``a, b`` between nodes that share a bucket and are in different components so far.
 
     A bucket is cut into blocks of about BLOCK shingles by a hash of the node; every two blocks
     meet in one group, which is compared by one matrix product.
     """
-    labelled = members.join(labels, "node", "left").select(
-        "key", "node", F.coalesce("label", "node").alias("label"), "n_shingles"
-    ).distinct()
+    labelled = (
+        members.join(labels, "node", "left")
+        .select("key", "node", F.coalesce("label", "node").alias("label"))
+        .distinct()
+    )
+    sizes = sets.select("node", (F.octet_length("held") / KEPT_BYTES).alias("size"))
     mixed = (
-        labelled.groupBy("key")
-        .agg(F.min("label").alias("a"), F.max("label").alias("z"), F.sum("n_shingles").alias("n"))
+        labelled.join(sizes, "node")
+        .groupBy("key")
+        .agg(F.min("label").alias("a"), F.max("label").alias("z"), F.sum("size").alias("n"))
         .where("a < z")
         .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
     live = stage(labelled.join(mixed, "key").withColumn("block", F.expr("pmod(hash(node), blocks)")))
-    wanted = stage(live.select("node").distinct().join(nodes.drop("n_shingles"), "node"))
-    sets = stage(_sets(wanted, documents, k, ["node"]).dropDuplicates(["node"]))
     met = live.select(
         "key",
         "node",
@@ -291,7 +299,7 @@ def _settled(
         yield _link_batch(links())
 
     return (
-        met.join(sets, "node")
+        met.join(sets.hint("merge"), "node")
         .select("key", "i", "j", "node", "label", "held")
         .repartition(_partitions(members), "key", "i", "j")
         .sortWithinPartitions("key", "i", "j")
@@ -335,23 +343,20 @@ def near_duplicates(
     nodes = stage(
         signed.where("node IS NOT NULL")
         .groupBy("node")
-        .agg(
-            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("pick"),
-            F.max("n_shingles").alias("n_shingles"),
-        )
-        .select("node", "pick.doc_id", "pick.text_hash", "n_shingles")
-    )
-    bands = signed.where("keys IS NOT NULL").select(
-        F.explode("keys").alias("key"), "node", "n_shingles"
+        .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("pick"))
+        .select("node", "pick.doc_id", "pick.text_hash")
     )
+    bands = signed.where("keys IS NOT NULL").select(F.explode("keys").alias("key"), "node")
     buckets = (
         bands.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z")
     )
     members = stage(bands.join(buckets.select("key", "a"), "key"))
     pairs = stage(members.where("node <> a").select("a", F.col("node").alias("b")).distinct())
-    links = stage(_confirmed(pairs, nodes, documents, k, percent))
+    wanted = stage(members.select("node").distinct().join(nodes, "node"))
+    sets = stage(_sets(wanted, documents, k))
+    links = stage(_confirmed(pairs, sets, percent))
     labels = components(links)
-    more = stage(_settled(members, labels, nodes, documents, k, percent))
+    more = stage(_settled(members, labels, sets, percent))
     if not more.isEmpty():
         labels = components(links.unionByName(more))
     least = nodes.join(labels, "node", "left").select(
