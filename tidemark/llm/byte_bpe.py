@@ -123,24 +123,18 @@ def _lists(parts: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), values)
 
 
-def _free_name(df: DataFrame, name: str) -> str:
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def encode(
     df: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids"
 ) -> DataFrame:
     """``df`` with a column ``ids_col`` of token ids in place of its text.
 
     ``path`` names the rank file, which every executor has.  NULL and empty texts get an empty
-    list; every other column passes through; an empty table stays empty.  A column already
-    called ``ids_col`` is an error.
+    list; every other column passes through, but one
+    already called ``ids_col``, which is replaced.  Repeated rows are encoded each; an empty table
+    stays empty.
     """
-    if ids_col in df.columns and ids_col != text_col:
-        raise ValueError(f"there is a column {ids_col} already")
+    if ids_col.lower() != text_col.lower():
+        df = df.drop(ids_col)
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +156,9 @@ def encode(
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
-    """``df`` with a binary column ``bytes_col`` of the bytes its ids stand for (NULL: none)."""
+    """``df`` with a binary column ``bytes_col`` of the bytes its ids stand for (NULL: none), which
+    replaces a column of that name."""
+    df = df.drop(bytes_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = np.array(read_ranks(path), object)
@@ -176,8 +172,6 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", bytes_col: str = "dec
                     names=[*batch.schema.names, bytes_col],
                 )
 
-    if bytes_col in df.columns:
-        raise ValueError(f"there is a column {bytes_col} already")
     return df.mapInArrow(run, T.StructType([*df.schema, T.StructField(bytes_col, T.BinaryType())]))
 
 

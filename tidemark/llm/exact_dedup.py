@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tidemark.functions.types import free_name
 from tidemark.llm.text import empty_if_null
 from tidemark.sinks.staging import stage
 
@@ -282,9 +283,7 @@ def drop_exact_duplicates(
     Of rows with one id and equal texts, the least by its written-out values stays.  The
     rows travel once, from the tasks that read them to the hash partitions.
     """
-    shard, names = "shard", list(df.columns)
-    while shard in names:
-        shard += "_"
+    shard, names = free_name(df, "shard"), list(df.columns)
     id_at, text_at = names.index(id_col), names.index(text_col)
 
     def best(batches, schema):

@@ -165,11 +165,15 @@ def judge_hosts(
     """
     judged = stage(measured.withColumn("base_failed", base_failed()))
     rejected = host_rates(judged, host_col, "base_failed").where(F.col("rate") > max_rate)
-    verdicts = rejected.select("host", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__part"))
-    salted = judged.withColumn("__salt", F.pmod(F.xxhash64(*judged.columns), F.lit(SALTS)).cast("int"))
-    same = (F.col(f"`{host_col}`") == F.col("host")) & (F.col("__salt") == F.col("__part"))
+    verdicts = rejected.select(
+        F.col("host").alias("__host"),
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__part"),
+    )
+    salt = F.pmod(F.xxhash64(*judged.columns, F.spark_partition_id()), F.lit(SALTS)).cast("int")
+    salted = judged.withColumn("__salt", salt)
+    same = (F.col(f"`{host_col}`") == F.col("__host")) & (F.col("__salt") == F.col("__part"))
     return (
         salted.join(verdicts, same, "left")
-        .withColumn("kept", ~F.col("base_failed") & F.col("host").isNull())
-        .drop("host", "__part", "__salt")
+        .withColumn("kept", ~F.col("base_failed") & F.col("__host").isNull())
+        .drop("__host", "__part", "__salt")
     )

@@ -318,8 +318,9 @@ def drop_near_duplicates(
     """
     found = near_duplicates(df, k, percent, id_col, text_col)
     kept = stage(found.where("kept").selectExpr("doc_id AS __id", "text_hash AS __hash").distinct())
-    text_hash = F.xxhash64(empty_if_null(F.col(f"`{text_col}`")))
-    same = F.col(f"`{id_col}`").cast("bigint").eqNullSafe(F.col("__id")) & (text_hash == F.col("__hash"))
+    text_hash = F.xxhash64(empty_if_null(df[f"`{text_col}`"]))
+    same_id = df[f"`{id_col}`"].cast("bigint").eqNullSafe(kept["__id"])
+    same = same_id & (text_hash == kept["__hash"])
     return df.join(kept, same, "left_semi")
 
 

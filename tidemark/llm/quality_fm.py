@@ -8,7 +8,7 @@ is taken in linear time: half of (the square of the sum less the sum of the squa
 from __future__ import annotations
 
 import io
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.types import free_name
 from tidemark.llm.features import STRUCTURE, hashed_words, structure
 from tidemark.llm.samples import labelled_sample
 from tidemark.llm.text import batch_slices, empty_if_null
@@ -77,8 +78,13 @@ def fit(texts: pa.Array, stated: np.ndarray, labels: np.ndarray, seed: int = 6)
 
     With no labelled rows, or labels of one kind, it scores the smoothed share of ones.
     """
-    found = list(hashed_words(texts, BUCKETS))
-    dense = _dense(texts, np.array([len(p) for p, _ in found]), stated)
+    found, dense_parts = [], [np.zeros((0, len(STRUCTURE) + 1))]
+    for part in batch_slices(pa.RecordBatch.from_arrays([texts], names=["text"]), 0):
+        own = list(hashed_words(part.column(0), BUCKETS))
+        at = slice(len(found), len(found) + len(own))
+        dense_parts.append(_dense(part.column(0), np.array([len(p) for p, _ in own]), stated[at]))
+        found += own
+    dense = np.concatenate(dense_parts)
     mean = dense.mean(axis=0) if len(dense) else np.zeros(len(STRUCTURE) + 1)
     scale = dense.std(axis=0) if len(dense) else np.ones(len(STRUCTURE) + 1)
     size = BUCKETS + len(mean)
@@ -139,41 +145,77 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> b
         yield pa.RecordBatch.from_arrays([pa.array([machine.dumps()])], names=["machine"])
 
     fitted = sample.select("text", "label").repartition(1).mapInArrow(run, "machine binary")
-    return bytes(fitted.first()["machine"])
+    row = fitted.first()
+    if row is None:  # no labelled documents
+        return fit(pa.array([], pa.string()), np.zeros(0), np.zeros(0)).dumps()
+    return bytes(row["machine"])
 
 
-def score(
-    df: DataFrame, machine: bytes, text_col: str = "text", score_col: str = "score", stated_col: str | None = None
-) -> DataFrame:
-    """``df`` with the quality of each text, 0 to 1.
-
-    ``stated_col`` is a column with the text's length in characters, by default it is
-    counted; NULL there counts too.  A NULL text is empty, and an empty text is scored by
-    its structure.  A column called ``score_col`` is an error; an empty table stays empty.
-    """
-    if score_col in df.columns:
-        raise ValueError(f"there is a column {score_col} already")
+def _scored(
+    df: DataFrame, machine: bytes, text_col: str, stated_col: str | None
+) -> tuple[DataFrame, Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[list, np.ndarray]]]]:
+    """``df`` with two more columns, and what gives its own columns with scores, in a task."""
     held = df.sparkSession.sparkContext.broadcast(machine)
     text = empty_if_null(F.col(f"`{text_col}`"))
     stated = F.length(text)
     if stated_col:
         stated = F.coalesce(F.col(f"`{stated_col}`").cast("int"), stated)
+    n = len(df.columns)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray]]:
         model = Machine.loads(held.value)
         for batch in batches:
-            for part in batch_slices(batch, "__text"):
-                texts = part.column("__text")
+            for part in batch_slices(batch, n + 1):
+                texts = part.column(n + 1)
                 found = list(hashed_words(texts, BUCKETS))
-                dense = _dense(
-                    texts, np.array([len(p) for p, _ in found]), part.column("__stated").to_numpy()
-                )
+                distinct = np.array([len(p) for p, _ in found])
+                dense = _dense(texts, distinct, part.column(n).to_numpy())
                 raw = [model.raw(*model.inputs(p, c, d))[0] for (p, c), d in zip(found, dense)]
-                scores = 1 / (1 + np.exp(-np.clip(np.array(raw), -30, 30)))
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-2], pa.array(scores)],
-                    names=[*part.schema.names[:-2], score_col],
-                )
-
-    schema = T.StructType([*df.schema, T.StructField(score_col, T.DoubleType())])
-    return df.select("*", stated.alias("__stated"), text.alias("__text")).mapInArrow(run, schema)
+                yield part.columns[:n], 1 / (1 + np.exp(-np.clip(np.array(raw), -30, 30)))
+
+    added = stated.alias(free_name(df, "stated")), text.alias(free_name(df, "whole_text"))
+    return df.select("*", *added), run
+
+
+def score(
+    df: DataFrame,
+    machine: bytes,
+    text_col: str = "text",
+    score_col: str = "score",
+    stated_col: str | None = None,
+) -> DataFrame:
+    """``df`` with the quality of each text, 0 to 1, in ``score_col``, which replaces a column of
+    that name.
+
+    ``stated_col`` is a column with the text's length in characters; where it is NULL, and by
+    default, the length is counted.  A NULL text is empty, and an empty text is scored by its
+    structure.  Repeated rows are scored each; an empty table stays empty.
+    """
+    df = df.drop(score_col)
+    rows, scored = _scored(df, machine, text_col, stated_col)
+    names = [*df.columns, score_col]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns, scores in scored(batches):
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(scores)], names=names)
+
+    return rows.mapInArrow(run, T.StructType([*df.schema, T.StructField(score_col, T.DoubleType())]))
+
+
+def drop_low_quality(
+    df: DataFrame,
+    machine: bytes,
+    threshold: float = THRESHOLD,
+    text_col: str = "text",
+    stated_col: str | None = None,
+) -> DataFrame:
+    """The rows of ``df`` that score ``threshold`` or more, with its own columns."""
+    rows, scored = _scored(df, machine, text_col, stated_col)
+    names = df.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns, scores in scored(batches):
+            kept = pa.RecordBatch.from_arrays(columns, names=names)
+            yield kept.filter(pa.array(scores >= threshold))
+
+    return rows.mapInArrow(run, df.schema)

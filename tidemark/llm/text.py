@@ -37,7 +37,7 @@ def empty_if_null(column: Column) -> Column:
     return F.coalesce(column, F.lit(""))
 
 
-def batch_slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+def batch_slices(batch: pa.RecordBatch, column: str | int) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows of about SLICE_BYTES of text each, without copying."""
     offsets = _offsets(batch.column(column))
     start = 0

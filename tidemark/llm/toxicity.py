@@ -8,7 +8,7 @@ P(grade >= k) = logistic(w x - t_k).  The output is the expected grade.
 from __future__ import annotations
 
 import io
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.types import free_name
 from tidemark.llm.features import hashed_words
 from tidemark.llm.samples import labelled_sample
 from tidemark.llm.text import batch_slices, empty_if_null
@@ -29,14 +30,14 @@ STEMS = (5, 6, 7, 8)
 #: Grades above 0; graded from binary labels by how many telling words a text has.
 GRADES = 3
 #: Training texts that must hold a word for it to have a weight.
-MIN_TEXTS = 3
-#: Chi-squared statistic (grade 0 against the rest) and times the overall share of higher grades
+MIN_TEXTS = 5
+#: Chi-squared statistic (grade 0 against the rest) and share of its texts with higher grades
 #: that a word needs to have a weight.
-TELLING, LIFT = 15.0, 3.0
+TELLING, PURITY = 30.0, 0.7
 STEPS = 1000
 SPARSITY = 3e-5
-#: Probability of a grade above 0 from which a document counts as toxic: what one telling word gives.
-THRESHOLD = 0.15
+#: Probability of a grade above 0 from which a document counts as toxic.
+THRESHOLD = 0.25
 
 
 @dataclass
@@ -97,7 +98,7 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, top: int) -> Regression:
     )
     spread = texts * share * (1 - share) * (1 - texts / (n + 1))
     chi_squared = (hits - texts * share) ** 2 / np.maximum(spread, 1e-9)
-    telling = (chi_squared > TELLING) & (hits > min(LIFT, 0.5 / share) * share * texts)
+    telling = (chi_squared > TELLING) & (hits > PURITY * texts)
     used = np.flatnonzero((texts >= MIN_TEXTS) & telling)
     dense_of = np.full(BUCKETS, -1)
     dense_of[used] = np.arange(len(used))
@@ -124,7 +125,12 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, top: int) -> Regression:
 
 
 def _distinct(texts: pa.Array) -> list[np.ndarray]:
-    return [places for places, _ in hashed_words(texts, BUCKETS, STEMS)]
+    """The distinct buckets of each text, a slice of the texts at a time."""
+    rows: list[np.ndarray] = []
+    for part in batch_slices(pa.RecordBatch.from_arrays([texts], names=["text"]), 0):
+        found = hashed_words(part.column(0), BUCKETS, STEMS)
+        rows.extend(places.astype(np.int32) for places, _ in found)
+    return rows
 
 
 def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> bytes:
@@ -141,7 +147,28 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> b
         yield pa.RecordBatch.from_arrays([pa.array([fitted.dumps()])], names=["regression"])
 
     fitted = sample.select("text", "label").repartition(1).mapInArrow(run, "regression binary")
-    return bytes(fitted.first()["regression"])
+    row = fitted.first()
+    if row is None:  # no labelled documents
+        return fit([], np.zeros(0, np.int64), GRADES).dumps()
+    return bytes(row["regression"])
+
+
+def _graded(
+    df: DataFrame, regression: bytes, text_col: str
+) -> tuple[DataFrame, Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[list, np.ndarray]]]]:
+    """``df`` with one more column, and what gives its own columns with P(grade >= k), in a task."""
+    held = df.sparkSession.sparkContext.broadcast(regression)
+    n = len(df.columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray]]:
+        model = Regression.loads(held.value)
+        for batch in batches:
+            for part in batch_slices(batch, n):
+                sums = np.array([model.weights[p].sum() for p in _distinct(part.column(n))])
+                yield part.columns[:n], model.at_least(sums)
+
+    text = empty_if_null(F.col(f"`{text_col}`")).alias(free_name(df, "whole_text"))
+    return df.select("*", text), run
 
 
 OUTPUTS = ("severity", "toxic_probability", "grade", "predicted")
@@ -153,30 +180,44 @@ def score(df: DataFrame, regression: bytes, text_col: str = "text") -> DataFrame
     probability is THRESHOLD or more).
 
     NULL and empty texts have no words and so the thresholds' own grades.  Columns already called
-    so are an error; an empty table stays empty.
+    so are replaced.  Repeated rows are scored each; an empty table stays empty.
     """
-    if clash := set(OUTPUTS) & set(df.columns):
-        raise ValueError(f"there are columns {sorted(clash)} already")
-    held = df.sparkSession.sparkContext.broadcast(regression)
+    df = df.drop(*OUTPUTS)
+    rows, graded = _graded(df, regression, text_col)
+    names = [*df.columns, *OUTPUTS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Regression.loads(held.value)
-        for batch in batches:
-            for part in batch_slices(batch, "__text"):
-                sums = np.array([model.weights[p].sum() for p in _distinct(part.column("__text"))])
-                above = model.at_least(sums)
-                each = -np.diff(np.column_stack([np.ones(len(sums)), above, np.zeros(len(sums))]))
+        for columns, above in graded(batches):
+            n = len(above)
+            if n:
+                each = -np.diff(np.column_stack([np.ones(n), above, np.zeros(n)]))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *part.columns[:-1],
+                        *columns,
                         pa.array(above.sum(axis=1)),
                         pa.array(above[:, 0]),
                         pa.array(each.argmax(axis=1).astype(np.int32)),
                         pa.array((above[:, 0] >= THRESHOLD).astype(np.int32)),
                     ],
-                    names=[*part.schema.names[:-1], *OUTPUTS],
+                    names=names,
                 )
 
     kinds = [T.DoubleType(), T.DoubleType(), T.IntegerType(), T.IntegerType()]
     schema = T.StructType([*df.schema, *(T.StructField(c, k) for c, k in zip(OUTPUTS, kinds))])
-    return df.select("*", empty_if_null(F.col(f"`{text_col}`")).alias("__text")).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
+
+
+def drop_toxic(
+    df: DataFrame, regression: bytes, threshold: float = THRESHOLD, text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``df`` whose probability of a grade above 0 is below ``threshold``, with its
+    own columns."""
+    rows, graded = _graded(df, regression, text_col)
+    names = df.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns, above in graded(batches):
+            kept = pa.RecordBatch.from_arrays(columns, names=names)
+            yield kept.filter(pa.array(above[:, 0] < threshold))
+
+    return rows.mapInArrow(run, df.schema)
