@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.llm import exact_dedup, minhash, packing, quality_fm, toxicity
 from tidemark.sinks.staging import stage
@@ -22,14 +21,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorisation machine, fitted on the labels, does not reject."""
     machine = quality_fm.train(docs, _table(spark, sf_dir, "labels"))
-    scored = quality_fm.score(docs, machine, stated_col="n_chars", score_col="__quality")
-    return scored.where(F.col("__quality") >= quality_fm.THRESHOLD).select(*docs.columns)
+    return quality_fm.drop_low_quality(docs, machine, stated_col="n_chars")
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the ordinal regression, fitted on the labels, does not hold toxic."""
     regression = toxicity.train(docs, _table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, regression).where(F.col("predicted") == 0).select(*docs.columns)
+    return toxicity.drop_toxic(docs, regression)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
