@@ -68,6 +68,7 @@ class StandInSession:
         self.read = StandInReader(spark, self.log)
 
 
+# The table, columns and offsets of the acceptance cases.
 @pytest.fixture
 def session(spark):
     rows = spark.range(1000).select(

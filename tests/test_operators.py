@@ -108,9 +108,9 @@ def test_key_check(spark):
 def test_field_profile(spark):
     rows = spark.createDataFrame([(None, b"x", None), (None, None, None)], "a decimal(12,3), `b.c` binary, d tinyint")
     assert [tuple(r) for r in tm.field_profile(rows).collect()] == [
-        ("a", "decimal(12,3)", 12, 3, False, 2),
-        ("b.c", "binary", None, None, False, 1),
-        ("d", "tinyint", 3, 0, True, 2),
+        ("a", "decimal(12,3)", 12, 3, True, False, 2),
+        ("b.c", "binary", None, None, True, False, 1),
+        ("d", "tinyint", 3, 0, True, True, 2),
     ]
 
 
@@ -195,7 +195,7 @@ def test_provenance_is_kept_and_merged(spark, folder):
             "sparkApplicationId": spark.sparkContext.applicationId,
             "partitionColumn": "k",
         }
-    listed = tm.provenance_rows(loaded.df)
+    listed = tm.provenance_rows(loaded.df, counts=True)
     assert listed.count() == 12
     assert tuple(listed.where("column = 'id' AND key = 'lastOffset'").first()) == ("id", "lastOffset", "2", 2)
     assert tm.provenance_rows(rows).count() == 0
@@ -265,3 +265,57 @@ def test_shared_dir_comes_from_the_session():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(Session(master="yarn"))
     assert "tidemark-" in shared_dir(Session(master="local[2]"))
+
+
+def test_latest_wins_on_every_type(spark):
+    """Types that Spark does not order are compared as text, whatever the order of the input."""
+    values = [
+        "named_struct('m', map('a', {i}, 'b', 2))",
+        "array(map('a', {i}))",
+        "map('b', 1, 'a', {i})",
+        "parse_json('{{\"x\": {i}}}')",
+        "make_interval(0, {i})",
+        "map('k', named_struct('b', X'0{i}', 'd', CAST({i} AS DECIMAL(9, 2))))",
+    ]
+    for value in values:
+        rows = [f"SELECT 1 AS k, 1 AS v, {value.format(i=i)} AS x" for i in (1, 2, 3)]
+        found = set()
+        for order in ((0, 1, 2), (2, 1, 0), (1, 2, 0)):
+            frame = spark.sql(" UNION ALL ".join(rows[i] for i in order)).repartition(3)
+            latest = tm.dedup_latest(frame, ["k"], "v")
+            assert latest.columns == ["k", "v", "x"]
+            (row,) = latest.selectExpr(f"x::string AS x" if "map" not in value else "to_json(struct(x)) AS x").collect()
+            found.add(row.x)
+        assert len(found) == 1, value
+
+
+def test_provenance_is_a_local_relation(spark, capsys):
+    rows = spark.range(3).selectExpr("id AS k", "id AS v")
+    loaded = tm.loader(spark).options(partitionColumn="k", offset="0").load(rows)
+    listed = tm.provenance_rows(loaded.df)
+    capsys.readouterr()
+    listed.explain()
+    assert "LocalTableScan" in capsys.readouterr().out
+    assert listed.columns == ["column", "key", "value"] and listed.count() == 12
+    counted = tm.provenance_rows(loaded.df, counts=True)
+    assert {(r.column, r.value_count) for r in counted.collect()} == {("k", 2), ("v", 2)}
+
+
+def test_decimals_deduplicate_by_a_hash_aggregate(spark, capsys):
+    rows = spark.range(3).selectExpr("id AS k", "CAST(id AS DECIMAL(38, 2)) AS v")
+    capsys.readouterr()
+    tm.dedup_any(rows, ["k"]).explain()
+    assert "HashAggregate" in capsys.readouterr().out
+
+
+def test_count_of_several_rows_is_an_error(spark):
+    with pytest.raises(Exception, match="several"):
+        tm.record_count(spark, "SELECT * FROM VALUES 1, 2").collect()
+    assert tm.record_count(spark, "SELECT 5").first().record_count == 5
+    assert tm.record_count(spark, "SELECT 5 WHERE false").count() == 0
+
+
+def test_where_and_any_white_space(spark):
+    rows = spark.range(10).withColumnRenamed("id", "k")
+    for text in ("where\tk > 3", "WHERE\n k > 3", "k > 3"):
+        assert tm.range_frame(rows, "k", text).first().min_value == 4

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,14 +16,22 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names for intermediate tables.
 
-    Only a local session may fall back on a temporary folder of this machine.
+    Only a local session may fall back on a temporary folder of this machine, which goes when
+    the process ends.  What is staged in a cluster's folder stays until its owner clears it.
     """
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if folder:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-    return tempfile.mkdtemp(prefix="tidemark-")
+    return _own_folder()
+
+
+@cache
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="tidemark-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def fresh_path(spark: SparkSession, tempdir: str | None = None) -> str:
@@ -33,7 +44,7 @@ def stage(df: DataFrame, tempdir: str | None = None) -> DataFrame:
 
     Whatever is done with the result, the source runs once: its columns can be
     pruned and filtered in Parquet, and a lost executor re-reads files and not the
-    source, which may have changed.  The folder stays; it is the caller's to remove.
+    source, which may have changed.  A folder that the cluster or the caller named stays.
     """
     spark = df.sparkSession
     path = fresh_path(spark, tempdir)
