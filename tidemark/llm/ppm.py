@@ -30,13 +30,13 @@ from tidemark.sinks.staging import stage
 
 ORDER = 5
 #: Contexts of up to so many bytes are looked up by place, longer ones by search.
-DIRECT = 3
+DIRECT = 2
 END = 256
 SYMBOLS = 257
 MAX_CONTEXTS = 16_384
 FOLDS, HELD_FOLD = 7, 2
 #: Bytes of text in a chunk of documents.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 #: The hash that stands for the end of a text among the words.
 END_WORD = np.uint64(0x5EED0FE2D)
 
@@ -118,17 +118,18 @@ class Coder:
         self.name, self.contexts, self.first = trie.name, trie.contexts, [0]
         self.rows = np.zeros(1 << (8 * DIRECT), np.int32)
         nodes = sum(map(len, trie.contexts))
-        seen_counts = np.zeros((nodes, SYMBOLS), np.float32)
-        unseen = np.zeros((nodes, SYMBOLS), np.float32)
+        inner = nodes - len(trie.contexts[-1])  # nodes that can be parents
+        seen_counts = np.zeros((inner, SYMBOLS), np.float32)
+        unseen = np.zeros((inner, SYMBOLS), np.float32)
         self.logs = np.zeros((nodes, SYMBOLS), np.float32)
         for order, (contexts, (at, symbol, n)) in enumerate(zip(trie.contexts, trie.entries)):
             own = slice(self.first[-1], self.first[-1] + len(contexts))
-            counts = seen_counts[own]
+            counts = np.zeros((len(contexts), SYMBOLS), np.float32)
             counts[at, symbol] = n
             total = counts.sum(axis=1)
             distinct = np.count_nonzero(counts, axis=1).astype(np.float32)
             if order == 0:
-                unseen[own] = 1 / np.maximum(SYMBOLS - distinct, 1)[:, None]
+                after = np.repeat(1 / np.maximum(SYMBOLS - distinct, 1)[:, None], SYMBOLS, axis=1)
             else:
                 parent = self.row_of(contexts, order - 1)
                 left = np.where(counts > 0, np.float32(0), seen_counts[parent])
@@ -136,12 +137,15 @@ class Coder:
                 size = np.maximum(left.sum(axis=1) + d, 1)
                 further = unseen[parent]
                 further *= np.where(d > 0, d / size, 1)[:, None]
-                unseen[own] = np.where(left > 0, left / size[:, None], further)
+                after = np.where(left > 0, left / size[:, None], further)
+                del left, further
             size = np.maximum(total + distinct, 1)
             escape = np.where(total > 0, distinct / size, np.float32(1))
-            table = np.where(counts > 0, counts / size[:, None], escape[:, None] * unseen[own])
+            table = np.where(counts > 0, counts / size[:, None], escape[:, None] * after)
             with np.errstate(divide="ignore"):
                 np.log10(table, out=self.logs[own])
+            if order < ORDER:
+                seen_counts[own], unseen[own] = counts, after
             if 0 < order <= DIRECT:
                 view = self.rows.reshape(-1, 1 << (8 * order))
                 view[:, contexts] = own.start + np.arange(len(contexts), dtype=np.int32)
@@ -187,7 +191,7 @@ def build_trie(counts: DataFrame, max_contexts: int = MAX_CONTEXTS) -> Trie:
     for order in range(ORDER, -1, -1):
         own = counts.withColumn("context", F.expr(f"context & {(1 << 8 * order) - 1}L"))
         counts = own.groupBy("context", "symbol").agg(F.sum("n").alias("n"))
-        if order >= DIRECT:
+        if order >= 3:
             counts = stage(counts)
         summed = counts
         if order > 1:  # shorter ones number 257 at most
