@@ -14,7 +14,7 @@ import tidemark as tm
 from tidemark.sinks.staging import fresh_path
 
 try:  # the operators for training data are an optional part
-    from tidemark.llm import queries as training_data
+    import tidemark.llm.queries as training_data
 except ModuleNotFoundError as missing:
     if not (missing.name or "").startswith(("tidemark.llm", "corpus_pipeline")):
         raise
