@@ -42,7 +42,7 @@ def test_increment_and_next_offset(spark, layout, table, offset, strides, column
         table = [None if v is None else (abs(v) % 10**16) * (1 if v > 0 else -1) for v in table]
         offset, text = offset * 10**6, f"1970-01-01 00:00:{offset:02}" if offset >= 0 else f"1969-12-31 23:59:{60 + offset}"
     load = tm.loader(spark).options(
-        partitionColumn="k", offset=text, numPartitions=strides, layout=layout
+        partitionColumn="k", offset=text, offsetZone="Z", numPartitions=strides, layout=layout
     )
     loaded = load.load(rows)
     assert ids(loaded.df) == [i for i, v in enumerate(table) if v is not None and v > offset]
