@@ -7,6 +7,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -238,6 +239,32 @@ def test_block_products_are_set_similarities():
     assert want and set(minhash.similar_in_block(sets, labels, 80)) == want
 
 
+def test_many_short_texts_in_one_bucket(spark, monkeypatch):
+    """Mutually dissimilar sets but for planted pairs: bounded memory, small blocks, every link."""
+    rng = np.random.default_rng(6)
+    common = np.arange(20, dtype=np.uint64) << np.uint64(20)
+    own = rng.integers(1 << 50, 1 << 60, (5000, 8), dtype=np.uint64)
+    sets = [np.unique(np.concatenate([common, o])) for o in own]
+    pairs = {(i, i + 2500) for i in range(0, 100, 7)}
+    for i, j in pairs:
+        sets[j] = np.unique(np.concatenate([sets[i][:-1], sets[j][-1:]]))
+    tracemalloc.start()
+    found = minhash.forest_of_blocks(sets, np.arange(5000), 80)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert set(found) == pairs and peak < 300e6
+    alike = minhash.forest_of_blocks([common] * 2000, np.arange(2000), 80)
+    assert len(alike) == 1999
+
+    monkeypatch.setattr(minhash, "MEMBERS", 500)
+    nodes = [(i, minhash._packed(s << np.uint64(4))) for i, s in enumerate(sets)]
+    held = spark.createDataFrame(nodes, "node long, held binary")
+    labels = spark.createDataFrame([], "node long, label long")
+    members = held.selectExpr("7L AS key", "node")
+    links = minhash._settled(members, labels, held, 80)
+    assert {tuple(sorted(r)) for r in links.collect()} == pairs
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(4)
     common = rng.integers(0, 1 << 63, 800, dtype=np.uint64)

@@ -39,8 +39,11 @@ PERMUTATIONS = 125
 ROWS = 5
 #: Links of one node that are confirmed in one part.
 PART = 512
-#: Shingles in a block of a bucket that is compared pair by pair.
+#: Shingles, and members, in a block of a bucket that is compared pair by pair.
 BLOCK = 500_000
+MEMBERS = 4_000
+#: Members of a block that meet those of another at once.
+STRIP = 1_024
 #: Bytes of a shingle's hash that confirmed sets keep.
 KEPT_BYTES = 6
 
@@ -219,10 +222,13 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def similar_in_block(sets: list[np.ndarray], labels: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Places of all similar pairs with different labels.
+def _strips(
+    sets: list[np.ndarray], percent: int, rows: int, columns: int
+) -> Iterator[tuple[int, np.ndarray]]:
+    """Which of the first ``rows`` sets are similar to which sets from place ``columns`` on, STRIP
+    rows at a time: the first row's place and a matrix.
 
-    The sizes of all intersections are the product of the sets' 0-1 matrix with itself, over
+    The sizes of all intersections are products of the sets' 0-1 matrix with itself, over
     the values that two sets or more have.
     """
     sizes = np.array([len(s) for s in sets])
@@ -234,23 +240,52 @@ def similar_in_block(sets: list[np.ndarray], labels: np.ndarray, percent: int) -
     row, column = row[keep], place[column[keep]]
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
-    common = np.zeros((len(sets), len(sets)), np.float32)
-    for start in range(0, int(shared.sum()), 4096):
-        a, b = np.searchsorted(column, [start, start + 4096])
-        matrix = np.zeros((len(sets), 4096), np.float32)
-        matrix[row[a:b], column[a:b] - start] = 1
-        common += matrix @ matrix.T
-    union = sizes[:, None] + sizes[None, :] - common
-    linked = (100 * common >= percent * union) & (labels[:, None] != labels[None, :])
-    x, y = np.nonzero(np.triu(linked, 1))
-    return list(zip(x.tolist(), y.tolist()))
+    for top in range(0, rows, STRIP):
+        end = min(top + STRIP, rows)
+        common = np.zeros((end - top, len(sets) - columns), np.float32)
+        for start in range(0, int(shared.sum()), 4096):
+            a, b = np.searchsorted(column, [start, start + 4096])
+            matrix = np.zeros((len(sets), min(4096, int(shared.sum()) - start)), np.float32)
+            matrix[row[a:b], column[a:b] - start] = 1
+            common += matrix[top:end] @ matrix[columns:].T
+        union = sizes[top:end, None] + sizes[None, columns:] - common
+        yield top, 100 * common >= percent * union
+
+
+def similar_in_block(sets: list[np.ndarray], labels: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Places of all similar pairs with different labels."""
+    found = []
+    for top, linked in _strips(sets, percent, len(sets), 0):
+        linked &= labels[top : top + len(linked), None] != labels[None, :]
+        x, y = np.nonzero(np.triu(linked, top + 1))
+        found += zip((x + top).tolist(), y.tolist())
+    return found
+
+
+def forest_of_blocks(
+    sets: list[np.ndarray], labels: np.ndarray, percent: int, first: int | None = None
+) -> list[tuple[int, int]]:
+    """Places of similar pairs that join whatever all similar pairs and equal labels join, fewer
+    than there are sets: of one block, or between its ``first`` sets and the others."""
+    root = np.unique(labels, return_inverse=True)[1]
+    rows, columns = (len(sets), 0) if first is None else (first, first)
+    found = []
+    for top, linked in _strips(sets, percent, rows, columns):
+        for x, own in enumerate(linked, top):
+            y = np.flatnonzero(own) + columns
+            y = y[root[y] != root[x]]
+            if len(y):
+                others, at = np.unique(root[y], return_index=True)
+                found += [(x, z) for z in y[at].tolist()]
+                root[np.isin(root, others)] = root[x]
+    return found
 
 
 def _settled(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links ``a, b`` between nodes that share a bucket and are in different components so far.
 
-    A bucket is cut into blocks of about BLOCK shingles by a hash of the node; every two blocks
-    meet in one group, which is compared by one matrix product.
+    A bucket is cut into blocks of about BLOCK shingles and MEMBERS nodes at most by a hash of the
+    node; every two blocks meet in one group, which gives a spanning forest of its links.
     """
     labelled = (
         members.join(labels, "node", "left")
@@ -261,48 +296,54 @@ def _settled(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: in
     mixed = (
         labelled.join(sizes, "node")
         .groupBy("key")
-        .agg(F.min("label").alias("a"), F.max("label").alias("z"), F.sum("size").alias("n"))
+        .agg(
+            F.min("label").alias("a"),
+            F.max("label").alias("z"),
+            F.greatest(F.sum("size") / BLOCK, F.count("*") / MEMBERS).alias("n"),
+        )
         .where("a < z")
-        .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        .select("key", F.ceil("n").cast("int").alias("blocks"))
     )
     live = stage(labelled.join(mixed, "key").withColumn("block", F.expr("pmod(hash(node), blocks)")))
     met = live.select(
         "key",
         "node",
         "label",
+        "block",
         F.explode(
             F.expr(
                 "transform(sequence(0, blocks - 1), x -> struct(least(x, block) AS i, greatest(x, block) AS j))"
             )
         ).alias("at"),
-    ).select("key", "at.i", "at.j", "node", "label")
+    ).select("key", "at.i", "at.j", (F.col("block") != F.col("at.i")).alias("second"), "node", "label")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, held = None, []
 
         def links():
-            if len({label for _, label, _ in held}) < 2:
+            first = sum(not second for second, _, _, _ in held) if held and group[1] < group[2] else None
+            if len({label for _, _, label, _ in held}) < 2 or first in (0, len(held)):
                 return []
-            found = similar_in_block(
-                [_unpacked(s) for _, _, s in held], np.array([x for _, x, _ in held]), percent
+            found = forest_of_blocks(
+                [_unpacked(s) for *_, s in held], np.array([x for _, _, x, _ in held]), percent, first
             )
-            return [(held[x][0], held[y][0]) for x, y in found]
+            return [(held[x][1], held[y][1]) for x, y in found]
 
         for batch in batches:
             found = []
-            for key, i, j, node, label, packed in zip(*(c.to_pylist() for c in batch.columns)):
+            for key, i, j, second, node, label, packed in zip(*(c.to_pylist() for c in batch.columns)):
                 if (key, i, j) != group:
                     found += links()
                     group, held = (key, i, j), []
-                held.append((node, label, packed))
+                held.append((second, node, label, packed))
             yield _link_batch(found)
         yield _link_batch(links())
 
     return (
         met.join(sets.hint("merge"), "node")
-        .select("key", "i", "j", "node", "label", "held")
+        .select("key", "i", "j", "second", "node", "label", "held")
         .repartition(_partitions(members), "key", "i", "j")
-        .sortWithinPartitions("key", "i", "j")
+        .sortWithinPartitions("key", "i", "j", "second")
         .mapInArrow(compare, "a bigint, b bigint")
         .distinct()
     )
