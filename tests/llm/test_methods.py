@@ -92,6 +92,8 @@ def test_chunks_encode_as_whole_texts(documents):
     path = public_tokenizers.path("word_bpe_49k.json")
     library, own = Tokenizer.from_file(path), packing.Tokenizer(path)
     texts = [*odd_texts(2000), *list(documents.values())[:100], ""]
+    for token in ("<|endoftext|>", "<|startoftext|>"):
+        texts += [token, f"hello {token} world", f"a{token}", f"{token}.", f"({token}), b{token}!? c", token * 2]
     for start in range(0, len(texts), 300):
         some = texts[start : start + 300]
         for t, ids in zip(some, own.encode_many(some)):

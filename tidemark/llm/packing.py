@@ -93,7 +93,8 @@ class Tokenizer:
 
     The vocabulary's normaliser and pattern never join what white space parts, nor a letter
     or digit with a mark of ASCII punctuation after it (an apostrophe aside), so the ids of a
-    text are those of its chunks, and a chunk met before is looked up.  The first
+    text are those of its chunks, and a chunk met before is looked up.  An added token of the
+    vocabulary is matched before all that; a chunk that holds one is not parted.  The first
     CACHE_ENTRIES chunks of a process are remembered, among them the frequent ones.
     """
 
@@ -105,6 +106,8 @@ class Tokenizer:
         self.ends_word = np.zeros(self.library.get_vocab_size(), bool)
         for token, i in self.library.get_vocab().items():
             self.ends_word[i] = token.endswith("</w>")
+        added = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
+        self.holds_added = re.compile("|".join(added) or "(?!)").search
 
     def _encode_words(self, found: list[str]) -> dict[str, bytes]:
         """Ids of pieces; those of letters alone go through the library as one text, whose ids
@@ -135,7 +138,9 @@ class Tokenizer:
         missing = set().union(*rows).difference(self.known)
         if not missing:
             return [b"".join(map(self.known.__getitem__, row)) for row in rows]
-        parts = {c: m.groups() if (m := _PUNCTUATED(c)) else (c,) for c in missing}
+        parts = {
+            c: m.groups() if (m := _PUNCTUATED(c)) and not self.holds_added(c) else (c,) for c in missing
+        }
         pieces = list({p for ps in parts.values() for p in ps if p not in self.known})
         new = self._encode_words(pieces)
         for chunk, ps in parts.items():
