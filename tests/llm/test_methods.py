@@ -326,6 +326,15 @@ def test_chat_masks_and_escapes():
     assert all(chat.unescape_role(chat.escape_role(r)) == r for r in odd_texts(300) + ["\\n\n\\<|"])
 
 
+def test_no_escape_forms_across_turns():
+    tokenizer = chat.load_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    for turns in (["<", "\\|"], ["", "<", "", "\\\\|", "<|"]):
+        formatter = chat.Formatter(tokenizer, "assistant")
+        for t in turns:
+            formatter.add("assistant", t)
+        assert formatter.finish(1)[5] == "".join(turns)
+
+
 def test_blocks_of_a_conversation_encode_as_the_whole(monkeypatch):
     tokenizer = chat.load_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
     turns = [("user", f" hi {i} \n") for i in range(20)] + [("assistant", "\n\n yes ")]

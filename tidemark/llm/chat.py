@@ -140,7 +140,9 @@ class Formatter:
         self.texts.append(formatted)
         self.ids.append(np.array(encoding.ids, np.int32))
         self.masks.append(mask)
-        self.learned.append(unescape("".join(formatted[a:b] for a, b in covered)))
+        starts = np.searchsorted([a for a, _ in covered], [a for a, _ in wanted]).tolist()
+        for first, last in zip(starts, [*starts[1:], len(covered)]):  # an escape lies within a turn
+            self.learned.append(unescape("".join(formatted[a:b] for a, b in covered[first:last])))
         self.turns, self.size = [], 0
 
     def finish(self, conv_id: int | None) -> tuple:
