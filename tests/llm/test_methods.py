@@ -17,6 +17,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import byte_bpe, chat, exact_dedup, minhash, packing, ppm, text, url_filter
@@ -182,6 +183,30 @@ def test_ppm_is_brute_force(spark, sf_dir, documents):
             assert math.isclose(row.score, want, rel_tol=1e-5)
 
 
+def test_ppm_keeps_every_context(spark):
+    """40,000 contexts of order 5, each seen twice: all have nodes, so that each is coded by its own."""
+    rng = np.random.default_rng(8)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz0123456789", np.uint8)
+    lines = ["".join(map(chr, row)) for row in letters[rng.integers(0, 36, (4000, 12))]]
+    texts = [*lines, *lines, *lines[:50]]
+    rows = [(i, t, i < 8000) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, train boolean").repartition(4)
+    found = {r.doc_id: r.score for r in ppm.score(frame, training=F.col("train")).collect()}
+    counts = [{} for _ in range(ppm.ORDER + 1)]
+    for t in [*lines, *lines]:
+        data = bytes(ppm.ORDER) + t.encode()
+        for j, symbol in enumerate([*t.encode(), 256]):
+            for k in range(ppm.ORDER + 1):
+                counts[k].setdefault(data[j + ppm.ORDER - k : j + ppm.ORDER], Counter())[symbol] += 1
+    assert len(counts[ppm.ORDER]) > 2 * 16_384
+    for i in range(8000, 8050):
+        data, want = bytes(ppm.ORDER) + texts[i].encode(), 0.0
+        for j, symbol in enumerate([*texts[i].encode(), 256]):
+            node = counts[ppm.ORDER][data[j : j + ppm.ORDER]]
+            want += math.log10(node[symbol] / (sum(node.values()) + len(node)))
+        assert math.isclose(found[i], want, rel_tol=1e-5)
+
+
 def test_components_of_a_long_chain(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 102), (102, 100)]
     found = components(spark.createDataFrame(links, "a long, b long")).collect()

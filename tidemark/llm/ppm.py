@@ -4,8 +4,10 @@ The contexts of up to five bytes form a trie with counts of the symbols that fol
 the training texts (bytes with A-Z folded, and the end of the text).  A symbol that a context has
 not seen is coded as an escape, whose weight is the number of distinct symbols seen, and then
 by the next shorter context, without the symbols that the longer one excludes.  A document's
-score is its code length.  The trie is bounded: of each order the ``max_contexts`` most frequent
-contexts have nodes, and rarer ones are read by their longest suffix that has one.
+score is its code length.  Every context of the training texts has a node.  The trie is a table in
+shards by the last two bytes of the contexts, so that a shard holds all suffixes of its contexts
+(those under two bytes, 257 at most, go to every shard).  A chunk of documents sends each of its
+distinct contexts with their symbols to their shards once, which answer with code lengths.
 
 The baseline needs the corpus count of every word.  Words stay with their chunk of documents:
 a chunk sends each of its distinct words once, as a 64-bit hash in one array for each
@@ -14,7 +16,6 @@ shard, shards sum the counts, and answer every chunk with an array in the same o
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,15 +26,22 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import LOWER, batch_slices, empty_if_null, span_hashes, text_bytes, words
+from tidemark.llm.text import (
+    LOWER,
+    SLICE_BYTES,
+    batch_slices,
+    empty_if_null,
+    span_hashes,
+    text_bytes,
+    words,
+)
 from tidemark.sinks.staging import stage
 
 ORDER = 5
-#: Contexts of up to so many bytes are looked up by place, longer ones by search.
-DIRECT = 2
+#: Last bytes of a context that decide on its shard.
+SHARD_BYTES = 2
 END = 256
 SYMBOLS = 257
-MAX_CONTEXTS = 16_384
 FOLDS, HELD_FOLD = 7, 2
 #: Bytes of text in a chunk of documents.
 CHUNK_BYTES = 8 << 20
@@ -47,10 +55,11 @@ def held_out(id_col: str = "doc_id") -> F.Column:
     return F.coalesce(fold == HELD_FOLD, F.lit(True))
 
 
-def contexts_and_symbols(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Every symbol of the texts, the ORDER bytes before it as one number (bytes before the
-    start are 0), and the n + 1 offsets of the texts' symbols."""
-    data, offsets = text_bytes(texts)
+def contexts_and_symbols(
+    data: np.ndarray, offsets: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ORDER bytes before every symbol of the texts as one number (bytes before the start
+    are 0), the symbols, and the n + 1 offsets of the texts' symbols."""
     n = len(offsets) - 1
     starts = offsets + np.arange(n + 1)
     symbols = np.full(len(data) + n, END, np.int64)
@@ -79,7 +88,7 @@ def symbol_counts(documents: DataFrame) -> DataFrame:
         keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for batch in batches:
             for part in batch_slices(batch, "text"):
-                contexts, symbols, _ = contexts_and_symbols(part.column("text"))
+                contexts, symbols, _ = contexts_and_symbols(*text_bytes(part.column("text")))
                 key, n = np.unique(contexts << 9 | symbols, return_counts=True)
                 keys.append(key)
                 counts.append(n)
@@ -98,125 +107,211 @@ def symbol_counts(documents: DataFrame) -> DataFrame:
     return counted.groupBy("context", "symbol").agg(F.sum("n").alias("n"))
 
 
+def _found(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in sorted values, and whether they are there."""
+    if not len(known):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    return at, known[at] == wanted
+
+
+def _suffixes(keys: np.ndarray, order: int) -> np.ndarray:
+    return keys & ((1 << (8 * order + 9)) - 1)
+
+
 @dataclass
-class Trie:
-    """Of orders 0 to ORDER: contexts, and ``(place of the context, symbol, count)`` entries."""
+class Short:
+    """What every shard has: keys (``context << 9 | symbol``) and counts of order 1, and the only
+    contexts of the orders from SHARD_BYTES on that have nodes, if the caller bounds them."""
 
-    name: str
-    contexts: list[np.ndarray]
-    entries: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
+    keys: np.ndarray
+    counts: np.ndarray
+    most: dict[int, np.ndarray]
 
 
-class Coder:
-    """The code lengths of a trie, as one table with a row for each node."""
+class Shard:
+    """The nodes of a shard and code lengths by them.
 
-    def __init__(self, trie: Trie):
-        """For symbols unseen in a node v with the parent w (its longest suffix with a node), the
-        chance after the escape is c_w / (T' + D') if w has seen them, else D' / (T' + D') times
-        w's own, where T' and D' are the parent's counts and distinct symbols without those of v.
+    A node has the sum and number of its counts, and what is left of those of its parent (its
+    longest suffix with a node) without its own symbols.
+    """
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, short: Short):
+        self.keys: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.nodes: list[np.ndarray] = []
+        self.facts: list[np.ndarray] = []
+        for order in range(ORDER + 1):
+            own = (short.keys, short.counts) if order < SHARD_BYTES else (keys, counts)
+            key, n = _summed([_suffixes(own[0], order)], [own[1]])
+            if order in short.most:
+                keep = np.isin(key >> 9, short.most[order])
+                key, n = key[keep], n[keep]
+            node, first, distinct = np.unique(key >> 9, return_index=True, return_counts=True)
+            facts = np.zeros((4, len(node)))
+            if len(node):
+                facts[:2] = np.add.reduceat(n, first), distinct
+            open_ = np.ones(len(node), bool)
+            for shorter in range(order - 1, -1, -1):
+                at, hit = _found(self.nodes[shorter], node & ((1 << 8 * shorter) - 1))
+                hit &= open_
+                place, seen = _found(self.keys[shorter], _suffixes(key, shorter))
+                if hit.any():
+                    of_parent = np.add.reduceat(np.where(seen, self.counts[shorter][place], 0), first)
+                    facts[2:, hit] = self.facts[shorter][:2, at[hit]]
+                    facts[2:, hit] -= np.stack([of_parent[hit], distinct[hit]])
+                open_ &= ~hit
+            self.keys.append(key)
+            self.counts.append(n)
+            self.nodes.append(node)
+            self.facts.append(facts)
+
+    def lengths(self, keys: np.ndarray) -> np.ndarray:
+        """log10 of the chance of the symbol of each key after its context.
+
+        The longest known suffix codes the symbol or an escape, and each shorter one what is
+        left to it.
         """
-        self.name, self.contexts, self.first = trie.name, trie.contexts, [0]
-        self.rows = np.zeros(1 << (8 * DIRECT), np.int32)
-        nodes = sum(map(len, trie.contexts))
-        inner = nodes - len(trie.contexts[-1])  # nodes that can be parents
-        seen_counts = np.zeros((inner, SYMBOLS), np.float32)
-        unseen = np.zeros((inner, SYMBOLS), np.float32)
-        self.logs = np.zeros((nodes, SYMBOLS), np.float32)
-        for order, (contexts, (at, symbol, n)) in enumerate(zip(trie.contexts, trie.entries)):
-            own = slice(self.first[-1], self.first[-1] + len(contexts))
-            counts = np.zeros((len(contexts), SYMBOLS), np.float32)
-            counts[at, symbol] = n
-            total = counts.sum(axis=1)
-            distinct = np.count_nonzero(counts, axis=1).astype(np.float32)
+        chance = np.ones(len(keys))
+        size, escape = np.full(len(keys), -1.0), np.ones(len(keys))
+        open_ = np.arange(len(keys))
+        for order in range(ORDER, -1, -1):
+            own = _suffixes(keys[open_], order)
+            at, known = _found(self.nodes[order], own >> 9)
+            rows, at, own = open_[known], at[known], own[known]
+            if not len(rows):
+                continue
+            total, distinct, left, left_distinct = self.facts[order][:, at]
+            entered = size[rows] >= 0
+            whole = np.where(entered, np.maximum(size[rows], 1), total + distinct)
+            escape_here = np.where(entered, escape[rows], distinct / (total + distinct))
+            place, seen = _found(self.keys[order], own)
+            chance[rows] *= np.where(seen, self.counts[order][place] / whole, escape_here)
+            size[rows] = left + left_distinct
+            escape[rows] = np.where(left_distinct > 0, left_distinct / np.maximum(left + left_distinct, 1), 1)
             if order == 0:
-                after = np.repeat(1 / np.maximum(SYMBOLS - distinct, 1)[:, None], SYMBOLS, axis=1)
-            else:
-                parent = self.row_of(contexts, order - 1)
-                left = np.where(counts > 0, np.float32(0), seen_counts[parent])
-                d = np.count_nonzero(left, axis=1).astype(np.float32)
-                size = np.maximum(left.sum(axis=1) + d, 1)
-                further = unseen[parent]
-                further *= np.where(d > 0, d / size, 1)[:, None]
-                after = np.where(left > 0, left / size[:, None], further)
-                del left, further
-            size = np.maximum(total + distinct, 1)
-            escape = np.where(total > 0, distinct / size, np.float32(1))
-            table = np.where(counts > 0, counts / size[:, None], escape[:, None] * after)
-            with np.errstate(divide="ignore"):
-                np.log10(table, out=self.logs[own])
-            if order < ORDER:
-                seen_counts[own], unseen[own] = counts, after
-            if 0 < order <= DIRECT:
-                view = self.rows.reshape(-1, 1 << (8 * order))
-                view[:, contexts] = own.start + np.arange(len(contexts), dtype=np.int32)
-            self.first.append(own.stop)
-
-    def row_of(self, contexts: np.ndarray, order: int) -> np.ndarray:
-        """The row of the longest suffix, of ``order`` bytes at most, that has a node."""
-        bits = 8 * min(order, DIRECT)
-        rows = self.rows[contexts & ((1 << bits) - 1)] if bits else np.zeros(len(contexts), np.int32)
-        open_ = np.arange(len(contexts))
-        for longer in range(order, DIRECT, -1):
-            known = self.contexts[longer]
-            if len(known) and len(open_):
-                wanted = contexts[open_] & ((1 << (8 * longer)) - 1)
-                at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
-                hit = known[at] == wanted
-                rows[open_[hit]] = self.first[longer] + at[hit]
-                open_ = open_[~hit]
-        return rows
-
-    def lengths(self, texts: pa.Array) -> np.ndarray:
-        """log10 of the probability of each text."""
-        contexts, symbols, starts = contexts_and_symbols(texts)
-        each = self.logs[self.row_of(contexts, ORDER), symbols]
-        return np.add.reduceat(each, starts[:-1], dtype=np.float64)
-
-
-_coders: list[Coder] = []
-
-
-def _coder(trie: Trie) -> Coder:
-    """The coder of a trie, which a process keeps for its next task."""
-    if not _coders or _coders[0].name != trie.name:
-        _coders[:] = []
-        _coders.append(Coder(trie))
-    return _coders[0]
-
-
-def build_trie(counts: DataFrame, max_contexts: int = MAX_CONTEXTS) -> Trie:
-    """The bounded trie of :func:`symbol_counts`; at most ``max_contexts`` nodes for each order,
-    each with at most SYMBOLS entries, reach the driver."""
-    levels: list[tuple[np.ndarray, tuple]] = []
-    for order in range(ORDER, -1, -1):
-        own = counts.withColumn("context", F.expr(f"context & {(1 << 8 * order) - 1}L"))
-        counts = own.groupBy("context", "symbol").agg(F.sum("n").alias("n"))
-        if order >= 3:
-            counts = stage(counts)
-        summed = counts
-        if order > 1:  # shorter ones number 257 at most
-            top = (
-                counts.groupBy("context")
-                .agg(F.sum("n").alias("total"))
-                .orderBy(F.desc("total"), "context")
-                .limit(max_contexts)
-                .select("context")
-            )
-            summed = summed.join(F.broadcast(top), "context")
-        held = summed.toPandas()
-        if order == 0 and held.empty:
-            held = pd.DataFrame({"context": [0], "symbol": [END], "n": [0]})
-        found, at = np.unique(held["context"].to_numpy(np.int64), return_inverse=True)
-        entries = at, held["symbol"].to_numpy(np.int64), held["n"].to_numpy(np.int64)
-        levels.insert(0, (found, entries))
-    return Trie(uuid.uuid4().hex, [x for x, _ in levels], [x for _, x in levels])
+                chance[rows[~seen]] /= np.maximum(SYMBOLS - distinct[~seen], 1)
+            done = np.zeros(len(keys), bool)
+            done[rows[seen]] = True
+            open_ = open_[~done[open_]]
+        if not len(self.nodes[0]):
+            chance[:] = 1 / SYMBOLS
+        return np.log10(chance)
+
+
+def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of each key, as :func:`_shard_column` has it."""
+    last = keys >> 9 & ((1 << 8 * SHARD_BYTES) - 1)
+    return (last * 2654435761 >> 16 & 65535) % shards
+
+
+def _shard_column(shards: int) -> F.Column:
+    last = f"(context & {(1 << 8 * SHARD_BYTES) - 1}L)"
+    return F.expr(f"CAST((shiftright({last} * 2654435761L, 16) & 65535L) % {shards} AS INT)")
+
+
+def _short(counts: DataFrame, max_contexts: int | None) -> Short:
+    """At most 257 contexts with their symbols, and what the caller bounds, reach the driver."""
+
+    def suffix(order: int) -> F.Column:
+        return F.expr(f"context & {(1 << 8 * order) - 1}L").alias("context")
+
+    first = counts.groupBy(suffix(1), "symbol").agg(F.sum("n").alias("n")).toPandas()
+    most = {}
+    for order in range(SHARD_BYTES, ORDER + 1) if max_contexts is not None else ():
+        totals = counts.groupBy(suffix(order)).agg(F.sum("n").alias("total"))
+        top = totals.orderBy(F.desc("total"), "context").limit(max_contexts).toPandas()
+        most[order] = np.sort(top["context"].to_numpy(np.int64))
+    keys = first["context"].to_numpy(np.int64) << 9 | first["symbol"].to_numpy(np.int64)
+    return Short(keys, first["n"].to_numpy(np.int64), most)
+
+
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as planes of the bytes of their steps, which packs well."""
+    return np.diff(keys, prepend=0).astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpacked_keys(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<i8").ravel())
+
+
+def _lengths(counts: DataFrame, staged: DataFrame, short: Short, shards: int) -> DataFrame:
+    """``chunk, shard, logs``: code lengths of the keys of every chunk.
+
+    In a shard its counts come first, and the keys of the chunks are answered in passing.
+    """
+    broadcast = counts.sparkSession.sparkContext.broadcast(short)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, keys, counts, nodes = None, [], [], None
+        for batch in batches:
+            shard_ids = batch.column("shard").to_numpy()
+            trained = batch.column("keys").is_null().to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((np.diff(shard_ids) != 0) | (trained[1:] != trained[:-1])) + 1
+            for start, stop in zip([0, *cuts], [*cuts, len(shard_ids)]):
+                part = batch.slice(start, stop - start)
+                if at != shard_ids[start]:
+                    at, keys, counts, nodes = shard_ids[start], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], None
+                if trained[start]:
+                    keys.append(part.column("key").to_numpy())
+                    counts.append(part.column("n").to_numpy())
+                    continue
+                if nodes is None:
+                    nodes = Shard(np.concatenate(keys), np.concatenate(counts), broadcast.value)
+                    keys, counts = [], []
+                for chunk, wanted in zip(part.column("chunk"), part.column("keys")):
+                    logs = nodes.lengths(_unpacked_keys(wanted.as_py())).astype("<f4").tobytes()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([chunk.as_py()], pa.int64()), pa.array([at], pa.int32()), pa.array([logs], pa.binary())],
+                        names=["chunk", "shard", "logs"],
+                    )
+
+    known = counts.select(
+        _shard_column(shards).alias("shard"),
+        F.lit(None).cast("bigint").alias("chunk"),
+        F.expr("shiftleft(context, 9) | symbol").alias("key"),
+        "n",
+        F.lit(None).cast("binary").alias("keys"),
+    )
+    asked = staged.where("keys IS NOT NULL").selectExpr(
+        "shard", "chunk", "CAST(NULL AS bigint) AS key", "CAST(NULL AS bigint) AS n", "keys"
+    )
+    return (
+        known.unionByName(asked)
+        .repartition(shards, "shard")
+        .sortWithinPartitions("shard", F.asc_nulls_first("chunk"))
+        .mapInArrow(run, "chunk bigint, shard int, logs binary")
+    )
+
+
+def _slices(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Distinct keys, the place of every symbol's among them, and the symbols' offsets, for slices
+    of about SLICE_BYTES of whole texts."""
+    start = 0
+    while start < len(offsets) - 1:
+        stop = int(np.searchsorted(offsets, offsets[start] + SLICE_BYTES, "right")) - 1
+        stop = max(stop, start + 1)
+        a, b = offsets[start], offsets[stop]
+        contexts, symbols, starts = contexts_and_symbols(data[a:b], offsets[start : stop + 1] - a)
+        known, place = np.unique(contexts << 9 | symbols, return_inverse=True)
+        yield known, place.astype(np.int32), starts
+        start = stop
+
+
+def _dealt(known: list[np.ndarray], shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys of slices, their order by shard, and the n + 1 borders of the shards."""
+    keys = np.unique(np.concatenate(known))
+    shard = shard_of(keys, shards)
+    order = np.argsort(shard, kind="stable")
+    return keys, order, np.searchsorted(shard[order], np.arange(shards + 1))
 
 
 STAGED = (
-    "chunk bigint, shard int, words binary, counts binary, doc_ids array<bigint>, "
-    "held array<boolean>, scores array<double>, before binary, places binary"
+    "chunk bigint, shard int, words binary, counts binary, keys binary, doc_ids array<bigint>, "
+    "held array<boolean>, text binary, sizes binary, before binary, places binary"
 )
-_NAMES = ["chunk", "shard", "words", "counts", "doc_ids", "held", "scores", "before", "places"]
+_NAMES = ["chunk", "shard", "words", "counts", "keys", "doc_ids", "held", "text", "sizes", "before", "places"]
 
 
 def _byte_planes(values: np.ndarray) -> bytes:
@@ -230,9 +325,10 @@ def _from_planes(data: bytes) -> np.ndarray:
 
 
 def _chunk_rows(
-    chunk: int, shards: int, hashes: np.ndarray, per_doc: np.ndarray, ids: list, held: np.ndarray, scores: np.ndarray
+    chunk: int, shards: int, hashes: np.ndarray, per_doc: np.ndarray, ids: list, held: np.ndarray, data: np.ndarray, sizes: np.ndarray
 ) -> Iterator[pa.RecordBatch]:
-    """A chunk's own row, and a row for each shard with its words and their training counts."""
+    """A chunk's own row, and a row for each shard with its words, their training counts, and the
+    keys of its contexts and symbols."""
     count = np.uint64(shards)
     known, place = np.unique(hashes, return_inverse=True)
     order = np.argsort(known % count, kind="stable")
@@ -242,37 +338,37 @@ def _chunk_rows(
     trained = np.repeat(~held, per_doc)
     counts = np.bincount(place[trained], minlength=len(known))
     ends = np.searchsorted(known % count, np.arange(shards + 1))
-    rows = [
-        (chunk, s, known[a:b].tobytes(), counts[a:b].astype("<i8").tobytes(), None, None, None, None, None)
-        for s, (a, b) in enumerate(zip(ends[:-1], ends[1:]))
-        if a < b
-    ]
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    keys, by_shard, borders = _dealt([k for k, _, _ in _slices(data, offsets)], shards)
+    rows = []
+    for s in range(shards):
+        (a, b), wanted = ends[s : s + 2], keys[by_shard[borders[s] : borders[s + 1]]]
+        of_words = (known[a:b].tobytes(), counts[a:b].astype("<i8").tobytes()) if a < b else (None, None)
+        if a < b or len(wanted):
+            rows.append((chunk, s, *of_words, _packed_keys(wanted) if len(wanted) else None, *[None] * 6))
     rows.append(
-        (chunk, None, None, None, ids, held.tolist(), scores.tolist(), per_doc.astype("<i8").tobytes(), _byte_planes(place))
+        (chunk, None, None, None, None, ids, held.tolist(), data.tobytes(), sizes.astype("<i8").tobytes(), per_doc.astype("<i8").tobytes(), _byte_planes(place))
     )
-    types = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.float64()), pa.binary(), pa.binary()]
+    types = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.binary()] * 4]
     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=_NAMES)
 
 
-def _scored_chunks(documents: DataFrame, trie: Trie, shards: int) -> DataFrame:
-    broadcast = documents.sparkSession.sparkContext.broadcast(trie)
-
+def _chunks(documents: DataFrame, shards: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(broadcast.value)
         chunk = TaskContext.get().partitionId() << 24
-        hashes, per_doc, ids, held, scores, size = [], [], [], [], [], 0
+        hashes, per_doc, ids, held, folded, sizes, size = [], [], [], [], [], [], 0
 
         def close():
             return _chunk_rows(
-                chunk, shards, np.concatenate(hashes), np.concatenate(per_doc), ids, np.concatenate(held), np.concatenate(scores)
+                chunk, shards, np.concatenate(hashes), np.concatenate(per_doc), ids, np.concatenate(held), np.concatenate(folded), np.concatenate(sizes)
             )
 
         for batch in batches:
             for part in batch_slices(batch, "text"):
-                texts = part.column("text")
-                scores.append(coder.lengths(texts))
-                data, offsets = text_bytes(texts)
+                data, offsets = text_bytes(part.column("text"))
                 data = LOWER[data]
+                folded.append(data)
+                sizes.append(np.diff(offsets))
                 a, b, before = words(data, offsets)
                 found = span_hashes(data, a, b)
                 hashes.append(np.insert(found, before[1:], END_WORD))
@@ -283,7 +379,7 @@ def _scored_chunks(documents: DataFrame, trie: Trie, shards: int) -> DataFrame:
                 if size > CHUNK_BYTES:
                     yield from close()
                     chunk += 1
-                    hashes, per_doc, ids, held, scores, size = [], [], [], [], [], 0
+                    hashes, per_doc, ids, held, folded, sizes, size = [], [], [], [], [], [], 0
         if ids:
             yield from close()
 
@@ -327,14 +423,15 @@ def score(
     id_col: str = "doc_id",
     text_col: str = "text",
     training: F.Column | None = None,
-    max_contexts: int = MAX_CONTEXTS,
+    max_contexts: int | None = None,
 ) -> DataFrame:
     """SCORED of each row of ``df``: log10 probabilities of its whole text.
 
     Learns from the rows where ``training`` holds (by default, those not :func:`held_out`).  NULL and
     empty texts are the end alone.  Without training rows every word is unknown and every byte
     equally likely.  Repeated rows are scored and counted each; other columns are not
-    read; an empty table gives no rows.
+    read; an empty table gives no rows.  With ``max_contexts`` only so many contexts of each order, the
+    most frequent ones, have nodes, and rarer ones are read by their longest suffix that has one.
     """
     spark = df.sparkSession
     held = held_out(id_col) if training is None else ~F.coalesce(training, F.lit(False))
@@ -343,11 +440,12 @@ def score(
         held.alias("held"),
         empty_if_null(F.col(f"`{text_col}`")).alias("text"),
     )
-    trie = build_trie(symbol_counts(documents.where(~F.col("held"))), max_contexts)
+    symbols = stage(symbol_counts(documents.where(~F.col("held"))))
+    short = _short(symbols, max_contexts)
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    staged = stage(_scored_chunks(documents, trie, shards))
+    staged = stage(_chunks(documents, shards))
     answers = stage(
-        staged.where("shard IS NOT NULL")
+        staged.where("words IS NOT NULL")
         .select("chunk", "shard", "words", "counts")
         .repartition(shards, "shard")
         .mapInArrow(
@@ -355,16 +453,27 @@ def score(
         )
     )
     sums = answers.agg(F.sum("tokens").alias("n"), F.sum("distinct").alias("v")).first()
+    lengths = _lengths(symbols, staged, short, shards)
     n, v = int(sums["n"] or 0), int(sums["v"] or 0)
 
     def finish(key, chunks: pd.DataFrame, totals: pd.DataFrame) -> pd.DataFrame:
         row = chunks.iloc[0]
-        held_parts = totals.sort_values("shard")["totals"]
+        totals = totals.sort_values("shard")
+        held_parts = totals["totals"].dropna()
         counts = np.concatenate([np.frombuffer(t, "<i8") for t in held_parts])
         found = counts[_from_planes(row["places"])]
         per_doc = np.frombuffer(row["before"], "<i8")
         at = np.concatenate([[0], np.cumsum(per_doc)[:-1]])
         base = np.add.reduceat(np.log10(found + 1.0), at) - per_doc * np.log10(n + v + 1.0)
+        sizes = np.frombuffer(row["sizes"], "<i8")
+        slices = list(_slices(np.frombuffer(row["text"], np.uint8), np.concatenate([[0], np.cumsum(sizes)])))
+        keys, by_shard, _ = _dealt([k for k, _, _ in slices], shards)
+        logs = np.empty(len(keys))
+        logs[by_shard] = np.concatenate([np.frombuffer(t, "<f4") for t in totals["logs"].dropna()])
+        scores = [
+            np.add.reduceat(logs[np.searchsorted(keys, known)][place], starts[:-1])
+            for known, place, starts in slices
+        ]
         return pd.DataFrame(
             {
                 "doc_id": pd.array(list(row["doc_ids"]), dtype="Int64"),
@@ -373,13 +482,14 @@ def score(
                 "n_known": np.add.reduceat((found > 0).astype(np.int64), at),
                 "train_tokens": n,
                 "base_score": base,
-                "score": row["scores"],
+                "score": np.concatenate(scores),
             }
         )
 
-    chunks = staged.where("shard IS NULL").select("chunk", "doc_ids", "held", "scores", "before", "places")
+    both = answers.select("chunk", "shard", "totals").unionByName(lengths, allowMissingColumns=True)
+    chunks = staged.where("shard IS NULL").select("chunk", "doc_ids", "held", "text", "sizes", "before", "places")
     return (
         chunks.groupBy("chunk")
-        .cogroup(answers.select("chunk", "shard", "totals").groupBy("chunk"))
+        .cogroup(both.groupBy("chunk"))
         .applyInPandas(finish, SCORED)
     )
