@@ -332,6 +332,17 @@ def test_templates_follow_their_labels(spark):
     assert found[121].template == "/blog/*/*" and found[121].verdict == "allow"
 
 
+def test_templates_reach_the_end_of_deep_paths(spark):
+    deep = "http://h.com/" + "a/" * 9
+    rows = [(f"{deep}shop/item{i}", 1) for i in range(60)] + [(f"{deep}blog/post{i}", 0) for i in range(60)]
+    rows += [(f"{deep}shop/item900", None), (f"{deep}blog/post900", None), ("http://i.com/" + "s/" * 40, None)]
+    pages = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, label int")
+    found = {r.page_id: r for r in url_filter.judge_urls(pages, [], label_col="label").collect()}
+    assert (found[120].template, found[120].verdict) == ("/*" * 9 + "/shop/*", "block")
+    assert (found[121].template, found[121].verdict) == ("/*" * 9 + "/blog/*", "allow")
+    assert found[122].template == "/*" * 40 and len(found) == len(rows)
+
+
 def test_chat_masks_and_escapes():
     rng = random.Random(9)
     pieces = ["<", "|", "\\", "<|im_end|>", "<|im_start|>", "assistant\n", " ", "\n", "é", "🙂", "ab"]

@@ -18,8 +18,6 @@ from tidemark.sinks.staging import stage
 
 #: Rules are an expression of the query; beyond so many they belong in a table.
 MOST_RULES = 1000
-#: Levels of the tree; deeper segments are one wildcard.
-DEPTH = 8
 #: Pages that a branch needs to be told apart.
 MIN_PAGES = 3
 #: Standard deviations from its node's share of blocked labels that part a branch.
@@ -65,48 +63,71 @@ def matched_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -
     return F.array_max(F.array(*fitting))
 
 
-def path_templates(paths: DataFrame, depth: int = DEPTH) -> DataFrame:
+def path_templates(paths: DataFrame, depth: int | None = None) -> DataFrame:
     """``paths`` (host, path, pages, labelled, blocked; distinct by host and path) with ``template``.
 
-    Level by level every branch of a node is counted, from partial sums; the branches that stay
-    literal are few, as each needs its own labels to differ by.
+    Level by level every branch of a node is counted, from partial sums, down to the longest
+    path, or to ``depth`` levels with ``/**`` for what is deeper.  A node of one path or of few
+    pages, or whose labels are all alike, can part no branch, nor can those below it (their
+    share's distance stays under APART deviations): its paths end in wildcards at once and
+    only the others are taken to the next level.
     """
+    columns = [*paths.columns, "template"]
     current = paths.withColumn("segments", F.split(F.btrim(F.col("path"), F.lit("/")), "/")).withColumn(
         "template", F.lit("")
     )
-    deepest = min(current.agg(F.max(F.size("segments"))).first()[0] or 0, depth)
-    for level in range(deepest):
-        segment = F.get("segments", F.lit(level))
-        current = stage(current.withColumn("segment", segment))
-        branches = (
-            current.where("segment IS NOT NULL")
-            .groupBy("host", "template", "segment")
-            .agg(*(F.sum(c).alias(c) for c in ("pages", "labelled", "blocked")))
-        )
-        branches = stage(branches)
-        nodes = branches.groupBy("host", "template").agg(
-            ((F.sum("blocked") + 1) / (F.sum("labelled") + 2)).alias("share")
+    done, level = [], 0
+    while depth is None or level < depth:
+        current = stage(current.withColumn("segment", F.get("segments", F.lit(level))))
+        if current.isEmpty():
+            break
+        branches = stage(
+            current.groupBy("host", "template", "segment").agg(
+                F.count("*").alias("paths"), *(F.sum(c).alias(c) for c in ("pages", "labelled", "blocked"))
+            )
         )
-        literal = (
-            branches.where((F.col("pages") >= MIN_PAGES) & ~F.col("segment").rlike("[0-9]"))
-            .join(nodes, ["host", "template"])
-            .where(
-                F.expr(
-                    f"abs(blocked - labelled * share) > {APART} * sqrt(labelled * share * (1 - share))"
-                )
+        nodes = (
+            branches.groupBy("host", "template")
+            .agg(
+                F.sum("paths").alias("n"),
+                F.sum("pages").alias("of_pages"),
+                F.sum("labelled").alias("l"),
+                F.sum("blocked").alias("b"),
             )
-            .select("host", "template", "segment", F.lit(True).alias("literal"))
+            .where(f"n > 1 AND of_pages >= {MIN_PAGES} AND b > 0 AND b < l")
+            .select("host", "template", F.expr("(b + 1) / (l + 2)").alias("share"))
+        )
+        parted = (F.col("pages") >= MIN_PAGES) & ~F.col("segment").rlike("[0-9]") & F.expr(
+            f"abs(blocked - labelled * share) > {APART} * sqrt(labelled * share * (1 - share))"
         )
-        step = F.when(F.col("segment").isNull(), "").otherwise(
+        open_ = branches.join(nodes, ["host", "template"]).select(
+            "host", "template", "segment", parted.alias("literal")
+        )
+        rest = F.size("segments") - level
+        step = F.when(F.col("literal").isNull(), F.expr(f"repeat('/*', size(segments) - {level})")).otherwise(
             F.concat(F.lit("/"), F.when(F.col("literal"), F.col("segment")).otherwise("*"))
         )
-        current = (
-            current.join(literal, ["host", "template", "segment"], "left")
-            .withColumn("template", F.concat("template", step))
-            .drop("literal", "segment")
+        if depth is not None:
+            wild = F.when(
+                F.size("segments") > depth, F.lit("/*" * (depth - level) + "/**")
+            ).otherwise(step)
+            step = F.when(F.col("literal").isNull(), wild).otherwise(step)
+        stepped = stage(
+            current.join(open_, ["host", "template", "segment"], "left").select(
+                *paths.columns,
+                "segments",
+                F.concat("template", step).alias("template"),
+                (F.col("literal").isNull() | (rest == 1)).alias("ended"),
+            )
         )
-    rest = F.when(F.size("segments") > depth, "/**").otherwise("")
-    return current.withColumn("template", F.concat("template", rest)).drop("segments")
+        done.append(stepped.where("ended").select(columns))
+        current = stepped.where("NOT ended").drop("ended")
+        level += 1
+    else:
+        current = current.withColumn("template", F.concat("template", F.lit("/**")))
+    for part in done:
+        current = current.select(columns).unionByName(part)
+    return current.select(columns)
 
 
 def template_verdicts(templated: DataFrame, max_blocked: float = MAX_BLOCKED) -> DataFrame:
