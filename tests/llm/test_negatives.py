@@ -1,0 +1,123 @@
+"""Hard negatives by the threshold algorithm against scores of all rows."""
+
+from __future__ import annotations
+
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import negatives
+
+
+def plain(rows, is_anchor, positives=5, kept=3, low=50, high=95):
+    """Rows of the result, by scoring everything."""
+    valid = []
+    for vec_id, vector, label in rows:
+        if vec_id is None or label is None or vector is None:
+            continue
+        if any(x is None or not math.isfinite(x) for x in vector):
+            continue
+        valid.append((vec_id, [math.floor(256 * x) for x in vector], label))
+    found = []
+    for i, (anchor, q, label) in enumerate(valid):
+        if not is_anchor(anchor):
+            continue
+        scored = sorted(
+            (-sum(x * y for x, y in zip(q, v)), vec_id, own == label) for j, (vec_id, v, own) in enumerate(valid) if j != i
+        )
+        for score, positive, _ in [s for s in scored if s[2]][:positives]:
+            inside = [s for s in scored if not s[2] and low * -score <= 100 * -s[0] <= high * -score]
+            for rank, (n, negative, _) in enumerate(inside[:kept], 1):
+                found.append((anchor, positive, rank, negative, -score, -n))
+    return Counter(found)
+
+
+def mined(spark, rows, every, **options):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(3)
+    return Counter(tuple(r) for r in negatives.hard_negatives(df, F.col("vec_id") % every == 0, **options).collect())
+
+
+def made(n, width, seed, labels=4, scale=1.0):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(labels, width))
+    label = rng.integers(0, labels, n)
+    vectors = np.float32(scale * (centres[label] + rng.normal(size=(n, width))))
+    return [(i, v.tolist(), int(k)) for i, (v, k) in enumerate(zip(vectors, label))]
+
+
+@pytest.mark.parametrize("width", [1, 3, 16])
+def test_as_scoring_everything(spark, monkeypatch, width):
+    monkeypatch.setattr(negatives, "BLOCK_ROWS", 150)
+    monkeypatch.setattr(negatives, "BLOCK_ANCHORS", 20)
+    rows = made(700, width, width)
+    expected = plain(rows, lambda i: i % 9 == 0)
+    assert sum(expected.values()) > 100
+    assert mined(spark, rows, 9) == expected
+
+
+def test_ties_and_repeated_rows(spark):
+    rng = np.random.default_rng(1)
+    rows = [(int(rng.integers(0, 60)), (rng.integers(-2, 3, 3) / 4).tolist(), int(rng.integers(0, 2))) for _ in range(300)]
+    rows += rows[:50]
+    assert mined(spark, rows, 5) == plain(rows, lambda i: i % 5 == 0)
+
+
+def test_rows_that_take_no_part(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = made(60, 4, 3) + [
+        (100, None, 1),
+        (101, [0.1, None, 0.2, 0.3], 1),
+        (110, [nan, 1.0, 1.0, 1.0], 2),
+        (120, [inf, 1.0, 1.0, 1.0], 2),
+        (130, [-inf, 1.0, 1.0, 1.0], 2),
+        (140, [9.0] * 4, None),
+        (None, [9.0] * 4, 1),
+        (150, [], 1),
+        (160, [0.0] * 4, 2),
+        (170, [5.0], 3),
+    ]
+    assert mined(spark, rows, 10) == plain(rows, lambda i: i % 10 == 0)
+
+
+def test_large_components_are_exact(spark):
+    rows = made(80, 3, 5, scale=200_000.0)
+    assert mined(spark, rows, 8) == plain(rows, lambda i: i % 8 == 0)
+
+
+def test_few_rows_and_none(spark):
+    rows = made(12, 4, 6, labels=3)
+    assert mined(spark, rows, 1) == plain(rows, lambda i: True)
+    assert mined(spark, rows, 1, positives=1, negatives=2, low_percent=0, high_percent=100) == plain(
+        rows, lambda i: True, 1, 2, 0, 100
+    )
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    assert negatives.hard_negatives(df.where("false"), F.lit(True)).collect() == []
+    assert negatives.hard_negatives(df, F.lit(None).cast("boolean")).collect() == []
+
+
+def test_clashing_columns(spark):
+    rows = [(*r, 1, 2, "x", True, 3, 4) for r in made(40, 4, 7)]
+    schema = "vec_id long, embedding array<float>, label int, uid long, block long, vector string, anchor boolean, rank int, low long"
+    df = spark.createDataFrame(rows, schema)
+    found = Counter(tuple(r) for r in negatives.hard_negatives(df, F.col("vec_id") % 4 == 0).collect())
+    assert found == plain([r[:3] for r in rows], lambda i: i % 4 == 0)
+
+
+def test_search_stops_before_the_lists_end():
+    rng = np.random.default_rng(2)
+    matrix = np.floor(256 * rng.normal(size=(20_000, 3)))
+    lists, anchors = negatives.SortedLists(matrix), matrix[:64]
+    asked = []
+
+    def through(at, scores, seen, threshold):
+        asked.append(len(at))
+        return ((scores[at] > threshold[:, None]) & seen[at]).sum(axis=1) >= 5
+
+    scores, seen, accesses = negatives.threshold_search(lists, anchors, through)
+    exact = anchors @ matrix.T
+    assert (scores[seen] == exact[seen]).all() and seen.mean() < 0.2 and accesses < 0.2 * anchors.size * len(matrix)
+    best = np.sort(np.where(seen, exact, -np.inf), axis=1)[:, -5:]
+    assert (best == np.sort(exact, axis=1)[:, -5:]).all() and len(asked) > 1

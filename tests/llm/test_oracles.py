@@ -23,7 +23,7 @@ def oracle(sf_dir):
 
 
 def test_registry():
-    assert len([q for q in QUERIES if q.startswith("op")]) == 10 and "pipeline" in QUERIES
+    assert len([q for q in QUERIES if q.startswith("op")]) == 13 and "pipeline" in QUERIES
     assert set(ORACLE) <= set(QUERIES)
     assert len(corpus_pipeline.STAGES) == 5
 

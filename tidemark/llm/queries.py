@@ -9,7 +9,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, chat, exact_dedup, host_rules, minhash, packing, ppm, quality_fm, toxicity, url_filter
+from tidemark.llm import (
+    alignment,
+    byte_bpe,
+    chat,
+    exact_dedup,
+    host_rules,
+    minhash,
+    negatives,
+    packing,
+    ppm,
+    quality_fm,
+    sharding,
+    toxicity,
+    url_filter,
+)
 from tidemark.llm.samples import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,8 +132,48 @@ def op10_minhash(spark, sf_dir):
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_alignment(spark, sf_dir):
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.link_statistics(_table(spark, sf_dir, "documents"), a, b)
+
+
+def op12_sharding(spark, sf_dir):
+    """Groups of equal texts are indivisible, so counts cannot be evened: sizes are."""
+    placed = sharding.shard_documents(_table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op13_hard_negatives(spark, sf_dir):
+    rows = _table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.expr("IF(vec_id % 7 = 0, (label + 1) % 10, label)")
+    )
+    return negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
 def queries() -> dict[str, Query]:
-    listed = [op1_exact_dedup, op2_byte_bpe, op3_url_filter, op4_ppm, op5_packing, op6_quality_fm, op7_toxicity, op8_host_rules, op9_chat, op10_minhash]
+    listed = [
+        op1_exact_dedup,
+        op2_byte_bpe,
+        op3_url_filter,
+        op4_ppm,
+        op5_packing,
+        op6_quality_fm,
+        op7_toxicity,
+        op8_host_rules,
+        op9_chat,
+        op10_minhash,
+        op11_alignment,
+        op12_sharding,
+        op13_hard_negatives,
+    ]
     return {query.__name__: query for query in listed} | {"pipeline": corpus_pipeline.run}
 
 
@@ -222,4 +276,29 @@ def oracle_sql() -> dict[str, str]:
                        AS kept
             FROM j
         """,
+        "op13_hard_negatives": r"""
+            WITH v AS (
+                SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                       list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS q
+                FROM embeddings
+                WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+            s AS MATERIALIZED (
+                SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+                       CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+                FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+            p AS (
+                SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+                QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+            n AS (
+                SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+                       row_number() OVER (PARTITION BY anchor_id, positive_id
+                                          ORDER BY s.score DESC, s.vec_id) AS rank
+                FROM p JOIN s USING (anchor_id)
+                WHERE NOT s.same AND 50 * positive_score <= 100 * s.score
+                  AND 100 * s.score <= 95 * positive_score)
+            SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score,
+                   negative_score
+            FROM n WHERE rank <= 3
+        """,
     }
