@@ -30,10 +30,12 @@ from tidemark.sinks.staging import stage
 #: A tokens after which a document goes on as a further lane of the state vector.
 LANE = 256
 #: Tokens of A that are aligned at once, and characters of a text that are encoded at once.
-BATCH_TOKENS = 1 << 18
+BATCH_TOKENS = 1 << 17
 PIECE_CHARS = 1 << 20
+#: Characters of new words that go through the libraries at once.
+JOINED_CHARS = 1 << 16
 #: Bytes of text in a block of documents.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: Words whose ids a process remembers, and the characters of the longest.
 CACHE_ENTRIES = 250_000
 LONGEST_CACHED = 64
@@ -140,29 +142,37 @@ class Coder:
         return np.array(a, "<i4").tobytes(), np.array(b, "<i4").tobytes()
 
     def _encode_words(self, words: list[str]) -> dict[str, tuple[bytes, bytes] | None]:
-        """Ids of words that end safely: all go through the libraries as one text, whose ids are
+        """Ids of words that end safely: many go through the libraries as one text, whose ids are
         parted by the bytes of the words."""
         found = {w: None for w in words if "▁" in w}
         words = [w for w in words if w not in found]
-        if not words:
-            return found
+        chars = np.cumsum([len(w) + 1 for w in words])
+        start = 0
+        while start < len(words):
+            before = chars[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(chars, before + JOINED_CHARS)))
+            self._encode_joined(words[start:stop], found)
+            start = stop
+        return found
+
+    def _encode_joined(self, words: list[str], found: dict[str, tuple[bytes, bytes] | None]) -> None:
         joined = " ".join(words)
         data = (" " + joined).encode()
         ends = np.cumsum([len(w.encode()) + 1 for w in words])
-        a = np.array(self.a.encode(" " + joined, add_special_tokens=False).ids, "<i4")
+        a = np.array(self.a.encode_batch_fast([" " + joined], add_special_tokens=False)[0].ids, "<i4")
         ids = self.b.encode(joined, num_threads=1)
         b = np.array(ids, "<i4")
         a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
-        a_cut, b_cut = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
         if a_ends[-1] != len(data) or not self._b_spells(ids, data):
-            return found | {w: self._encode_one(w) for w in words}
+            found.update((w, self._encode_one(w)) for w in words)
+            return
+        a_cut, b_cut = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
         assert (a_ends[a_cut] == ends).all() and (b_ends[b_cut] == ends).all()
         a, b = a.tobytes(), b.tobytes()
         at_a = at_b = 0
         for w, stop_a, stop_b in zip(words, ((a_cut + 1) * 4).tolist(), ((b_cut + 1) * 4).tolist()):
             found[w] = a[at_a:stop_a], b[at_b:stop_b]
             at_a, at_b = stop_a, stop_b
-        return found
 
     def _words(self, text: str) -> list[str]:
         """The words of a text; all but the last one end safely."""
@@ -186,20 +196,17 @@ class Coder:
         """Ids by A and B of a space and each text, as 32-bit integers end to end; None for a
         text whose bytes B does not spell."""
         known = self.known
-        rows: list[list[str]] = []
-        missing: set[str] = set()
-        last: set[str] = set()
-        for text in texts:
-            row = text.split(" ") if self.by_word else [text]
-            if not all(w in known for w in row):
-                row = self._words(text)
+        rows = [text.split(" ") if self.by_word else [text] for text in texts]
+        new_parts = set().union(*rows).difference(known)
+        unsafe = {w for w in new_parts if not (self.by_word and _ends_safely(w))}
+        missing, last = new_parts - unsafe, set()
+        for i, row in enumerate(rows):
+            if not unsafe.isdisjoint(row):  # parts go together until one ends safely
+                rows[i] = row = self._words(texts[i])
                 if not (self.by_word and _ends_safely(row[-1])):
                     last.add(row[-1])
-                missing.update(w for w in row[:-1] if w not in known)
-                if row[-1] not in last and row[-1] not in known:
-                    missing.add(row[-1])
-            rows.append(row)
-        new = self._encode_words(list(missing)) if missing else {}
+                missing.update(w for w in row if w not in known and w not in last)
+        new = self._encode_words(list(missing))
         lone = {w: self._encode_one(w) for w in last}
         if len(known) + len(new) <= CACHE_ENTRIES:
             known.update((w, ids) for w, ids in new.items() if len(w) <= LONGEST_CACHED)
