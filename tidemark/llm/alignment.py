@@ -36,8 +36,10 @@ PIECE_CHARS = 1 << 20
 JOINED_CHARS = 1 << 16
 #: Bytes of text in a block of documents.
 BLOCK_BYTES = 8 << 20
+#: Pairs of a block in one row of its table.
+ROW_PAIRS = 50_000
 #: Words whose ids a process remembers, and the characters of the longest.
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 120_000
 LONGEST_CACHED = 64
 
 _coders: dict[tuple[str, str], Coder] = {}
@@ -305,7 +307,7 @@ class _Document:
 
 
 class _Block:
-    """Documents with their links, until :meth:`row` writes them."""
+    """Documents with their links, until :meth:`rows` writes them."""
 
     def __init__(self):
         self.documents: list[_Document] = []
@@ -323,35 +325,47 @@ class _Block:
         pairs, place, n = np.unique(aligned.pairs(), return_inverse=True, return_counts=True)
         self.found.append((pairs, place.astype(np.int32), n))
 
-    def row(self, block: int) -> pa.RecordBatch:
+    def rows(self, block: int) -> Iterator[pa.RecordBatch]:
+        """A row with the documents, a row with the links of each batch as places among the block's
+        pairs, and rows with the pairs in order."""
         empty = np.zeros(0, np.int64)
         pairs, back = np.unique(np.concatenate([empty, *(p for p, _, _ in self.found)]), return_inverse=True)
         counts = np.bincount(back, np.concatenate([empty, *(n for _, _, n in self.found)]), len(pairs))
-        places, at = [np.zeros(0, np.int32)], 0
-        for own, place, _ in self.found:
-            places.append(back[at : at + len(own)].astype(np.int32)[place])
-            at += len(own)
         sums = np.array([d.sums for d in self.documents], np.int64).reshape(-1, 4)
-        planes = np.concatenate(places).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
-        values = [
-            pa.array([block], pa.int64()),
-            pa.array([[d.doc_id for d in self.documents]], pa.list_(pa.int64())),
-            pa.array([[d.groups_sha256() for d in self.documents]], pa.list_(pa.string())),
-            pa.array([sums.tobytes()], pa.binary()),
-            pa.array([planes], pa.binary()),
-            pa.array([pairs], pa.list_(pa.int64())),
-            pa.array([counts.astype(np.int64)], pa.list_(pa.int64())),
-        ]
-        return pa.RecordBatch.from_arrays(values, names=_BLOCK_NAMES)
-
-
-_BLOCK_NAMES = ["block", "doc_ids", "digests", "sums", "places", "pairs", "counts"]
+        ids, digests = [d.doc_id for d in self.documents], [d.groups_sha256() for d in self.documents]
+        yield _block_row(block=block, seq=-1, doc_ids=ids, digests=digests, sums=sums.tobytes())
+        at = 0
+        for seq, (own, place, _) in enumerate(self.found):
+            places = back[at : at + len(own)].astype("<u4")[place]
+            at += len(own)
+            yield _block_row(block=block, seq=seq, places=places.view(np.uint8).reshape(-1, 4).T.tobytes())
+        for first in range(0, len(pairs), ROW_PAIRS):
+            some = slice(first, first + ROW_PAIRS)
+            yield _block_row(block=block, first=first, pairs=pairs[some], counts=counts[some].astype(np.int64))
+
+
+_BLOCK = {
+    "block": pa.int64(),
+    "seq": pa.int32(),
+    "doc_ids": pa.list_(pa.int64()),
+    "digests": pa.list_(pa.string()),
+    "sums": pa.binary(),
+    "places": pa.binary(),
+    "first": pa.int32(),
+    "pairs": pa.list_(pa.int64()),
+    "counts": pa.list_(pa.int64()),
+}
 BLOCKS = (
-    "block bigint, doc_ids array<bigint>, digests array<string>, sums binary, places binary, "
-    "pairs array<bigint>, counts array<bigint>"
+    "block bigint, seq int, doc_ids array<bigint>, digests array<string>, sums binary, "
+    "places binary, first int, pairs array<bigint>, counts array<bigint>"
 )
 
 
+def _block_row(**values) -> pa.RecordBatch:
+    columns = [pa.array([values.get(name)], kind) for name, kind in _BLOCK.items()]
+    return pa.RecordBatch.from_arrays(columns, names=list(_BLOCK))
+
+
 def _encoded(
     coder: Coder, batches: Iterator[pa.RecordBatch]
 ) -> Iterator[tuple[int | None, int, Iterator[tuple[bytes, bytes]]]]:
@@ -391,11 +405,11 @@ def _blocks(documents: DataFrame, a_path: str, b_path: str) -> DataFrame:
                     waiting, tokens = [], 0
             if block.bytes > BLOCK_BYTES:
                 block.align(both, tables, waiting)
-                yield block.row(number)
+                yield from block.rows(number)
                 block, waiting, tokens, number = _Block(), [], 0, number + 1
         if block.documents:
             block.align(both, tables, waiting)
-            yield block.row(number)
+            yield from block.rows(number)
 
     return documents.mapInArrow(run, BLOCKS)
 
@@ -403,8 +417,9 @@ def _blocks(documents: DataFrame, a_path: str, b_path: str) -> DataFrame:
 def pair_counts(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``block, place, pair, n`` of the distinct pairs of every block, and over all blocks
     ``pair, total, best``: the pair's links, and whether no pair with its B id has more."""
-    seen = blocks.select("block", F.posexplode(F.arrays_zip("pairs", "counts")).alias("place", "of"))
-    seen = seen.select("block", "place", F.col("of.pairs").alias("pair"), F.col("of.counts").alias("n"))
+    listed = blocks.where("pairs IS NOT NULL")
+    seen = listed.select("block", "first", F.posexplode(F.arrays_zip("pairs", "counts")).alias("at", "of"))
+    seen = seen.selectExpr("block", "first + at AS place", "of.pairs AS pair", "of.counts AS n")
     totals = seen.groupBy("pair").agg(F.sum("n").alias("total"))
     totals = totals.withColumn("b", F.expr("pair & 4294967295L"))
     top = totals.groupBy("b").agg(F.max("total").alias("top"))
@@ -442,12 +457,13 @@ def link_statistics(
     answers = seen.join(facts, "pair").selectExpr("block AS of_block", "place", "total", "best")
 
     def finish(key, block: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        block = block.sort_values("seq")
         row = block.iloc[0]
         order = found["place"].to_numpy().argsort()
         totals = found["total"].to_numpy(np.int64)[order]
         best = found["best"].to_numpy(bool)[order]
-        planes = np.frombuffer(row["places"], np.uint8).reshape(4, -1)
-        places = np.ascontiguousarray(planes.T).view("<u4").ravel()
+        planes = [np.frombuffer(p, np.uint8).reshape(4, -1).T for p in block["places"].iloc[1:]]
+        places = np.concatenate([np.zeros(0, "<u4"), *(np.ascontiguousarray(p).view("<u4").ravel() for p in planes)])
         sums = np.frombuffer(row["sums"], np.int64).reshape(-1, 4)
         doc = np.repeat(np.arange(len(sums)), sums[:, 3])
         own_best = np.bincount(doc[best[places]], minlength=len(sums))
@@ -463,7 +479,7 @@ def link_statistics(
             }
         )
 
-    own = blocks.select("block", "doc_ids", "digests", "sums", "places")
+    own = blocks.where("seq IS NOT NULL").select("block", "seq", "doc_ids", "digests", "sums", "places")
     return own.groupBy("block").cogroup(answers.groupBy("of_block")).applyInPandas(finish, STATISTICS)
 
 
