@@ -88,6 +88,33 @@ def incr_numeric_footers(spark, sf_dir):
     return load.load(_path(sf_dir, "orders")).df
 
 
+def incr_timestamp_footers(spark, sf_dir):
+    load = _incremental(spark, "ts", "2024-01-10 00:00:00").option("footerStats", True)
+    return load.load(_path(sf_dir, "events")).df
+
+
+def incr_zone_map(spark, sf_dir):
+    """Two runs over a folder that grows, each opening the files past its offset by the zone map."""
+    events, path, zones = spark.read.parquet(_path(sf_dir, "events")), fresh_path(spark), fresh_path(spark)
+    horizon = F.lit("2024-01-20 06:00:00").cast("timestamp_ntz")
+    events.where(F.col("ts") <= horizon).repartitionByRange(6, "ts").write.parquet(path)
+    first = _incremental(spark, "ts", "2024-01-10 00:00:00").option("zoneMap", zones).load(path)
+    events.where(F.col("ts") > horizon).repartitionByRange(3, "ts").write.mode("append").parquet(path)
+    second = _incremental(spark, "ts", first.next_offset).option("zoneMap", zones).load(path)
+    return first.df.unionByName(second.df)
+
+
+def offset_outlives_files(spark, sf_dir):
+    """Two runs over a folder whose files are replaced between the first one's rows and its offset."""
+    events, path = spark.read.parquet(_path(sf_dir, "events")), fresh_path(spark)
+    horizon = F.lit("2024-01-20 06:00:00").cast("timestamp_ntz")
+    events.where(F.col("ts") <= horizon).write.parquet(path)
+    first = _incremental(spark, "ts", "2024-01-10 00:00:00").load(path)
+    rows = tm.stage(first.df)
+    events.write.mode("overwrite").parquet(path)
+    return rows.unionByName(_incremental(spark, "ts", first.next_offset).load(path).df)
+
+
 def incr_timestamp(spark, sf_dir):
     return _incremental(spark, "ts", "2024-01-10 00:00:00").load(_path(sf_dir, "events")).df
 
@@ -184,6 +211,21 @@ def stride_date(spark, sf_dir):
     return _summary(_full(spark, "d", 12).load(dated))
 
 
+def stride_balanced(spark, sf_dir):
+    """Strides of about equal rows over a skewed key, as one row of facts about them."""
+    lines = spark.read.parquet(_path(sf_dir, "lineitem"))
+    skewed = lines.withColumn("k", F.expr("l_orderkey * l_orderkey * 7 + l_linenumber"))
+    loaded = _full(spark, "k", 16).option("balancedStrides", True).load(skewed)
+    summary = tm.stride_summary(loaded.df, loaded.strides)
+    return summary.agg(
+        F.count("*").alias("strides"),
+        F.sum("row_count").alias("row_count"),
+        (F.max("row_count") <= 1.2 * F.avg("row_count")).alias("even"),
+        F.min("min_value").alias("min_value"),
+        F.max("max_value").alias("max_value"),
+    )
+
+
 def stride_predicates(spark, sf_dir):
     """Rows each condition of a parallel read selects, counted in one pass; -1: those without
     a value."""
@@ -243,6 +285,19 @@ def field_profile_footers(spark, sf_dir):
     return tm.field_profile(tm.footer_frame(spark, _path(sf_dir, "customer")))
 
 
+def auto_increment(spark, sf_dir):
+    """The profile of two tables with the columns that number their rows."""
+    shifted = spark.read.parquet(_path(sf_dir, "orders")).withColumn("k", F.expr("7 - o_orderkey"))
+    tables = {"orders": shifted, "lineitem": spark.read.parquet(_path(sf_dir, "lineitem"))}
+    profiles = [
+        tm.field_profile(df, auto_increment=True).select(
+            F.lit(table).alias("table"), "name", "type", "null_count", "auto_increment"
+        )
+        for table, df in tables.items()
+    ]
+    return profiles[0].unionByName(profiles[1])
+
+
 def avg_row_size(spark, sf_dir):
     return tm.avg_row_size(spark.read.parquet(_path(sf_dir, "orders")))
 
@@ -356,6 +411,9 @@ def queries() -> dict[str, Query]:
         full_ranged_nulls,
         incr_numeric,
         incr_numeric_footers,
+        incr_timestamp_footers,
+        incr_zone_map,
+        offset_outlives_files,
         incr_timestamp,
         incr_timestamp_t,
         incr_date,
@@ -370,12 +428,14 @@ def queries() -> dict[str, Query]:
         stride_numeric,
         stride_timestamp,
         stride_date,
+        stride_balanced,
         stride_predicates,
         stride_layout,
         provenance_rows,
         record_count,
         field_profile,
         field_profile_footers,
+        auto_increment,
         avg_row_size,
         key_check,
         normalise_timestamps,
@@ -460,6 +520,32 @@ def _oracle_sql() -> dict[str, str]:
             )
         )
 
+    def numbered(table: str, source: str, columns: tuple[tuple[str, str], ...]) -> str:
+        whole = "count(*) > 0 AND count(DISTINCT {0}) = count(*) AND max({0}) - min({0}) + 1 = count(*)"
+        return " UNION ALL ".join(
+            f"""SELECT '{table}' AS "table", '{name}' AS name, '{kind}' AS type,
+                       count(*) - count({name}) AS null_count,
+                       {whole.format(name) if kind in ("int", "bigint") else "false"} AS auto_increment
+                FROM {source}"""
+            for name, kind in columns
+        )
+
+    order_types = tuple(
+        zip(order_columns, ("bigint", "bigint", "string", "double", "timestamp_ntz", "string"))
+    )
+    line_types = (
+        ("l_orderkey", "bigint"),
+        ("l_partkey", "bigint"),
+        ("l_suppkey", "bigint"),
+        ("l_linenumber", "int"),
+        ("l_quantity", "double"),
+        ("l_extendedprice", "double"),
+        ("l_discount", "double"),
+        ("l_tax", "double"),
+        ("l_returnflag", "string"),
+        ("l_linestatus", "string"),
+        ("l_shipdate", "timestamp_ntz"),
+    )
     nulled_profile = profile(
         ("o_orderkey", "bigint", "19", "0", "true"),
         ("o_custkey", "bigint", "19", "0", "true"),
@@ -489,6 +575,9 @@ def _oracle_sql() -> dict[str, str]:
         "full_ranged_nulls": nulled,
         "incr_numeric": "SELECT * FROM orders WHERE o_orderkey > 2000",
         "incr_numeric_footers": "SELECT * FROM orders WHERE o_orderkey > 2000",
+        "incr_timestamp_footers": past_events,
+        "incr_zone_map": past_events,
+        "offset_outlives_files": past_events,
         "incr_timestamp": past_events,
         "incr_timestamp_t": "SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-15 12:00:00'",
         "incr_date": """
@@ -530,6 +619,11 @@ def _oracle_sql() -> dict[str, str]:
             12,
         )
         + f"SELECT {stride_columns} FROM s GROUP BY stride_id",
+        "stride_balanced": """
+            WITH t AS (SELECT l_orderkey * l_orderkey * 7 + l_linenumber AS k FROM lineitem)
+            SELECT CAST(16 AS BIGINT) AS strides, count(*) AS row_count, true AS even,
+                   min(k) AS min_value, max(k) AS max_value FROM t
+        """,
         "stride_predicates": _number_strides(
             f"SELECT k AS x, k AS v FROM ({nulled})", 9
         )
@@ -550,6 +644,11 @@ def _oracle_sql() -> dict[str, str]:
             {nulled_profile}
         """,
         "field_profile_footers": f"WITH t AS (SELECT * FROM customer) {customer_profile}",
+        "auto_increment": f"""
+            WITH o AS (SELECT *, 7 - o_orderkey AS k FROM orders)
+            {numbered("orders", "o", (*order_types, ("k", "bigint")))} UNION ALL
+            {numbered("lineitem", "lineitem", line_types)}
+        """,
         "avg_row_size": """
             SELECT CAST(sum(32 + strlen(o_orderstatus) + strlen(o_orderpriority)) // count(*)
                         AS BIGINT) AS avg_row_size

@@ -3,6 +3,7 @@
 from tidemark.errors import LoadError, OptionError
 from tidemark.functions import base64_binary_columns, is_splittable, normalise_timestamp
 from tidemark.operators import (
+    auto_increments,
     avg_row_size,
     dedup_any,
     dedup_latest,
@@ -24,12 +25,15 @@ from tidemark.plans.ranges import (
 )
 from tidemark.plans.strides import (
     StridePlan,
+    plan_balanced,
     plan_strides,
     stride_id,
     stride_predicates,
     stride_summary,
 )
+from tidemark.plans.zones import ZoneMap
 from tidemark.sinks import stage, stage_query, stage_table, write_files, write_jdbc
+from tidemark.sources.footers import file_facts
 from tidemark.sources.jdbc import jdbc_column_range, jdbc_record_count
 
 __all__ = [
@@ -39,12 +43,15 @@ __all__ = [
     "Loader",
     "OptionError",
     "StridePlan",
+    "ZoneMap",
+    "auto_increments",
     "avg_row_size",
     "base64_binary_columns",
     "column_range",
     "dedup_any",
     "dedup_latest",
     "field_profile",
+    "file_facts",
     "footer_frame",
     "footer_range",
     "is_splittable",
@@ -54,6 +61,7 @@ __all__ = [
     "loader",
     "next_offset_frame",
     "normalise_timestamp",
+    "plan_balanced",
     "plan_strides",
     "provenance_rows",
     "range_frame",

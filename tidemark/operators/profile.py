@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.types import is_splittable, quoted
+from tidemark.functions.types import WHOLE_NUMBERS, free_name, is_splittable, quoted
 from tidemark.operators.columns import column_facts
 from tidemark.operators.dedup import resolve_keys
 
@@ -49,10 +49,11 @@ def first_as_count(result: DataFrame) -> DataFrame:
     return counted.where("__rows > 0").select("record_count")
 
 
-def field_profile(df: DataFrame) -> DataFrame:
+def field_profile(df: DataFrame, auto_increment: bool = False) -> DataFrame:
     """One row per column: name, type, precision, scale, nullable, splittable, null_count.
 
     ``nullable`` is what the schema says (Parquet columns all are), ``null_count`` what the rows say.
+    With ``auto_increment`` there is a column of that name, by :func:`auto_increments`.
     """
     facts = [
         {
@@ -67,11 +68,59 @@ def field_profile(df: DataFrame) -> DataFrame:
         for i, f in enumerate(df.schema)
     ]
     fields = "name: string, type: string, precision: int, scale: int, nullable: boolean, splittable: boolean"
-    return (
+    profile = (
         column_facts(df, facts, fields)
         .withColumn("null_count", F.col("row_count") - F.col("value_count"))
         .drop("row_count", "value_count")
     )
+    if not auto_increment:
+        return profile
+    # at most one row a column
+    found = F.broadcast(auto_increments(df).selectExpr("name", "auto_increment AS counted"))
+    joined = profile.join(found, "name", "left")
+    return joined.withColumn("auto_increment", F.coalesce("counted", F.lit(False))).drop("counted")
+
+
+def auto_increments(df: DataFrame) -> DataFrame:
+    """``name, auto_increment`` of each whole-number column: whether it numbers the rows.
+
+    Such a column has a value in every row, no value twice, and none left out between the least and
+    the largest.  Extremes and counts rule out most columns first: without gaps and repeats
+    the range is as wide as the table has rows.  The values of those that are left go into bitmaps of
+    32,768 consecutive values each, whose set bits are counted: a bit a row, and exact.  Values are
+    shuffled to their bitmap before that, so that rows in any order build each bitmap once.
+    A table without rows has no such column.
+    """
+    columns = [f.name for f in df.schema if isinstance(f.dataType, WHOLE_NUMBERS)]
+    if not columns:
+        return df.sparkSession.createDataFrame([], "name string, auto_increment boolean")
+    wide = "decimal(38,0)"
+    dense = [
+        (F.count(quoted(c)) == F.count(F.lit(1)))
+        & (F.max(quoted(c)).cast(wide) - F.min(quoted(c)).cast(wide) + 1 == F.count(F.lit(1)).cast(wide))
+        for c in columns
+    ]
+    # one row, which the optimiser puts into the second pass as a value
+    candidates = df.agg(F.array(*[F.coalesce(d, F.lit(False)) for d in dense]).alias("dense")).scalar()
+    values = [
+        F.when(F.get(candidates, F.lit(i)), F.struct(F.lit(i).alias("at"), quoted(c).cast("bigint").alias("v")))
+        for i, c in enumerate(columns)
+    ]
+    listed = df.select(F.explode(F.array_compact(F.array(*values))).alias("of"))
+    bits = listed.select(
+        F.col("of.at").alias("at"),
+        F.bitmap_bucket_number("of.v").alias("bucket"),
+        F.bitmap_bit_position("of.v").alias("bit"),
+    )
+    bitmaps = bits.repartition("at", "bucket").groupBy("at", "bucket")
+    counted = bitmaps.agg(
+        F.bitmap_count(F.bitmap_construct_agg("bit")).alias("distinct"), F.count("*").alias("rows")
+    )
+    unique = counted.groupBy("at").agg((F.sum("distinct") == F.sum("rows")).alias("unique"))
+    names = F.array(*map(F.lit, columns))
+    every = unique.agg(F.map_from_entries(F.collect_list(F.struct("at", "unique"))).alias("u"))
+    listed = every.select("u", F.posexplode(names).alias("at", "name"))
+    return listed.select("name", F.coalesce(F.try_element_at("u", "at"), F.lit(False)).alias("auto_increment"))
 
 
 def _precision(dtype: T.DataType) -> int | None:
@@ -138,8 +187,9 @@ def key_check(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     ``surplus_rows`` (rows beyond the first of their key), ``is_key``.
     """
     names = resolve_keys(df, keys)
-    per_key = df.groupBy(*[quoted(k) for k in names]).agg(F.count("*").alias("__rows"))
-    rows = F.col("__rows")
+    counted = free_name(df, "__rows")
+    per_key = df.groupBy(*[quoted(k) for k in names]).agg(F.count("*").alias(counted))
+    rows = quoted(counted)
     missing = F.lit(False)
     for k in names:
         missing = missing | quoted(k).isNull()

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from tidemark.errors import SPARK_ERRORS, LoadError, OptionError
 from tidemark.functions.types import (
+    axis,
     check_years,
     in_zone,
     offset_literal,
@@ -37,9 +38,11 @@ from tidemark.plans.ranges import (
     footer_frame,
     footer_range,
 )
-from tidemark.plans.strides import StridePlan, plan_strides
+from tidemark.plans.strides import StridePlan, plan_balanced, plan_strides
+from tidemark.plans.zones import ZoneMap
 from tidemark.sinks.files import write_files
 from tidemark.sinks.staging import stage
+from tidemark.sources.footers import FILE_TYPES, facts_range, file_facts
 from tidemark.sources.frames import is_catalog_table, open_frame
 from tidemark.sources.jdbc import open_jdbc
 from tidemark.sources.spec import STRIDE, LoadSpec
@@ -48,8 +51,9 @@ from tidemark.sources.spec import STRIDE, LoadSpec
 class LoadResult:
     """A loaded frame and what was found out on the way.
 
-    ``range`` is None without a partition column.  A load of files, whose list is fixed when the
-    frame opens, looks its range up only when ``range``, ``strides`` or ``next_offset`` is first
+    ``range`` is None without a partition column.  It is looked up when the load is called, so that
+    the next offset outlives the files; with ``lateRange`` a load of files, whose list is
+    fixed when the frame opens, does so when ``range``, ``strides`` or ``next_offset`` is first
     asked for.  ``strides`` is None without a range, and when the range is empty or only its top
     is known.  ``partitions`` is the number of partitions of the stride layout, else None.
     """
@@ -61,20 +65,23 @@ class LoadResult:
         find: Callable[[], ColumnRange | None],
         requested: int,
         partitions: int | None = None,
+        plan: Callable[[ColumnRange, int], StridePlan | None] = plan_strides,
     ):
         self.df, self.partitions = df, partitions
-        self._offset, self._find, self._requested = offset, find, requested
+        self._offset, self._find, self._requested, self._plan = offset, find, requested, plan
 
     def with_frame(self, df: DataFrame) -> LoadResult:
-        return LoadResult(df, self._offset, lambda: self.range, self._requested, self.partitions)
+        return LoadResult(
+            df, self._offset, lambda: self.range, self._requested, self.partitions, lambda *_: self.strides
+        )
 
     @cached_property
     def range(self) -> ColumnRange | None:
         return self._find()
 
-    @property
+    @cached_property
     def strides(self) -> StridePlan | None:
-        return plan_strides(self.range, self._requested) if self.range else None
+        return self._plan(self.range, self._requested) if self.range else None
 
     @property
     def next_offset(self) -> str | None:
@@ -192,8 +199,11 @@ def _load(spark: SparkSession, spec: LoadSpec) -> LoadResult:
     # Footers come before the files are listed for the load: a file that arrives in
     # between is cut off by the range, where an older listing would miss it while the
     # next offset is already past it.
-    found = _range_from_footers(spark, spec) if spec.partition_column else None
-    df = open_frame(spark, spec)
+    if spec.zone_map:
+        df, found = _open_zones(spark, spec)
+    else:
+        found = _range_from_footers(spark, spec) if spec.partition_column else None
+        df = open_frame(spark, spec)
     if not spec.partition_column:
         df = with_provenance(df, details)
         df = stage(df, spec.tempdir) if spec.tempdir else df
@@ -211,7 +221,10 @@ def _load(spark: SparkSession, spec: LoadSpec) -> LoadResult:
             with _load_errors(spec):
                 return column_range(frame, field.name)
 
-        return LoadResult(with_provenance(rows, details), offset, look_up, spec.num_partitions)
+        # Files may be compacted or expired once their rows are used, and the offset with them.
+        find = look_up if spec.late_range else lambda early=look_up(): early
+        df = with_provenance(rows, details)
+        return LoadResult(df, offset, find, spec.num_partitions, None, _planner(spec, rows))
 
     if found is None:
         found = column_range(rows, field.name)
@@ -221,11 +234,32 @@ def _load(spark: SparkSession, spec: LoadSpec) -> LoadResult:
     else:
         # A full load keeps the rows without a value.
         rows = rows.where(c.isNull() if found.is_empty else c.isNull() | (c <= found.high_literal()))
-    strides, partitions = plan_strides(found, spec.num_partitions), None
-    if spec.layout == STRIDE and strides is not None:
-        rows, partitions = lay_out(rows, strides, spec.max_partition_rows)
+    plan, partitions = _planner(spec, rows), None
+    if spec.layout == STRIDE:
+        strides = plan(found, spec.num_partitions)
+        plan = lambda *_: strides
+        if strides is not None:
+            rows, partitions = lay_out(rows, strides, spec.max_partition_rows)
     df = with_provenance(rows, details)
-    return LoadResult(df, offset, lambda: found, spec.num_partitions, partitions)
+    return LoadResult(df, offset, lambda: found, spec.num_partitions, partitions, plan)
+
+
+def _planner(spec: LoadSpec, rows: DataFrame) -> Callable[[ColumnRange, int], StridePlan | None]:
+    """What makes strides of a range of ``rows``: equal steps, or steps of about equal rows."""
+    if spec.balanced:
+        return lambda found, requested: plan_balanced(rows, found, requested)
+    return plan_strides
+
+
+def _open_zones(spark: SparkSession, spec: LoadSpec) -> tuple[DataFrame, ColumnRange]:
+    """The files that the zone map picks, and their range."""
+    if spec.format != "parquet" or not _is_files(spark, spec) or spec.reader_options:
+        raise OptionError("zoneMap is for a path of Parquet files without reader options")
+    if spec.layout == STRIDE and spec.is_incremental:
+        raise OptionError("the strides of an increment need its least value, which zones do not know")
+    zones = ZoneMap(spark, spec.table, spec.partition_column, spec.zone_map).refresh()
+    offset = in_zone(spec.offset, spec.offset_zone, zones.field.dataType) if spec.is_incremental else ""
+    return zones.open(offset or None)
 
 
 def _is_files(spark: SparkSession, spec: LoadSpec) -> bool:
@@ -282,9 +316,18 @@ def _range_from_footers(spark: SparkSession, spec: LoadSpec) -> ColumnRange | No
         return _no_footers("the session cannot open a second one")
     footers = footer_frame(spark, spec.table)
     field = splittable_field(footers, spec.partition_column)
-    if not isinstance(field.dataType, FOOTER_TYPES):
+    if isinstance(field.dataType, FOOTER_TYPES):
+        return footer_range(footers, field.name, spec.offset or None)
+    if not isinstance(field.dataType, FILE_TYPES):
         return _no_footers(f"column {field.name!r} is a {field.dataType.simpleString()}")
-    return footer_range(footers, field.name, spec.offset or None)
+    past = _axis_position(spark, spec, field) if spec.offset else None
+    return facts_range(file_facts(spark, spec.table, field.name), field, past)
+
+
+def _axis_position(spark: SparkSession, spec: LoadSpec, field: T.StructField) -> int:
+    literal = offset_literal(in_zone(spec.offset, spec.offset_zone, field.dataType), field.dataType)
+    (row,) = spark.range(1).select(axis(literal, field.dataType).alias("position")).collect()
+    return int(row.position)
 
 
 def _no_footers(why: str) -> None:

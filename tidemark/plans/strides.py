@@ -1,6 +1,6 @@
-"""Stride plans: N equal steps over a column's range.
+"""Stride plans: N equal steps over a column's range, or N steps of about equal rows.
 
-The last stride is closed at the top of the range and takes the remainder of
+The last stride is closed at the top of the range; of equal steps it takes the remainder of
 the division.  A row's stride is a column expression, so it is computed inside
 the scan; the same plan rendered as SQL text drives parallel JDBC reads.
 """
@@ -18,6 +18,7 @@ from tidemark.functions.types import (
     LONG_MAX,
     LONG_MIN,
     MICROS,
+    axis,
     axis_literal,
     axis_text,
     is_number,
@@ -29,7 +30,10 @@ from tidemark.plans.ranges import ColumnRange
 
 @dataclass(frozen=True)
 class StridePlan:
-    """``count`` strides of ``step`` axis units from ``low``; the last ends at ``high``."""
+    """``count`` strides of ``step`` axis units from ``low``; the last ends at ``high``.
+
+    With ``starts`` the strides begin there instead, and ``step`` has no meaning.
+    """
 
     column: str
     dtype: T.DataType
@@ -37,10 +41,11 @@ class StridePlan:
     high: int
     step: int
     count: int
+    starts: tuple[int, ...] = ()
 
     def bounds(self) -> list[tuple[int, int]]:
         """Start and end of each stride; all ends are open but the last."""
-        starts = [self.low + i * self.step for i in range(self.count)]
+        starts = list(self.starts) or [self.low + i * self.step for i in range(self.count)]
         return list(zip(starts, starts[1:] + [self.high]))
 
 
@@ -66,11 +71,50 @@ def plan_strides(found: ColumnRange, requested: int) -> StridePlan | None:
     return StridePlan(found.column, found.dtype, found.low, found.high, step, count)
 
 
+#: Ranks that the sketch may be off, as a share of a stride.
+SKETCH_ERROR = 0.05
+
+
+def plan_balanced(df: DataFrame, found: ColumnRange, requested: int) -> StridePlan | None:
+    """At most ``requested`` strides of about equal rows over a range that was found.
+
+    One pass over the column builds a quantile sketch in each task and merges them; its ranks are
+    within SKETCH_ERROR of a stride, so a stride holds at most 1.1 times an even share, and the rows
+    that repeat its values.  A value that fills several strides gets one, so there may be
+    fewer.  Beyond 2^53 the sketch rounds values, which moves the bounds but loses no row.
+    Only the bounds reach the driver.
+    """
+    if requested < 1:
+        raise OptionError(f"numPartitions must be at least 1, not {requested}")
+    if found.low is None or found.high is None:
+        return None
+    shares = [i / requested for i in range(1, requested)]
+    cuts: set[int] = set()
+    if shares:
+        accuracy = max(10_000, round(requested / SKETCH_ERROR))
+        sketched = df.agg(F.percentile_approx(quoted(found.column), shares, accuracy).alias("cuts"))
+        placed = sketched.select(F.explode("cuts").alias("cut")).select(axis(F.col("cut"), found.dtype).alias("at"))
+        cuts = {int(r["at"]) for r in placed.collect()}
+    starts = (found.low, *sorted(c for c in cuts if found.low < c <= found.high))
+    return StridePlan(found.column, found.dtype, found.low, found.high, 0, len(starts), starts)
+
+
+def _by_cuts(c: Column, plan: StridePlan, first: int, last: int) -> Column:
+    """Stride of a value between two strides, by halving: a few comparisons in the column's type."""
+    if first == last:
+        return F.lit(first).cast("bigint")
+    middle = (first + last + 1) // 2
+    below = c < axis_literal(plan.starts[middle], plan.dtype)
+    return F.when(below, _by_cuts(c, plan, first, middle - 1)).otherwise(_by_cuts(c, plan, middle, last))
+
+
 def stride_id(plan: StridePlan) -> Column:
     """Stride of each row as a bigint; rows without a value belong to stride 0."""
     c = quoted(plan.column)
     if plan.count == 1:
         return F.lit(0).cast("bigint")
+    if plan.starts:
+        return F.when(c.isNull(), F.lit(0).cast("bigint")).otherwise(_by_cuts(c, plan, 0, plan.count - 1))
     if isinstance(plan.dtype, T.TimestampNTZType):
         # Interval arithmetic, in whole seconds, for the reason given in ``axis``.
         distance = (c - axis_literal(plan.low, plan.dtype)).cast("bigint")

@@ -23,6 +23,7 @@ DEFAULT_NUM_PARTITIONS = 100
 LAYOUT, FOOTER_STATS, MAX_PARTITION_ROWS = "layout", "footerStats", "maxPartitionRows"
 SALT_COLUMN, SALT_BUCKETS = "saltColumn", "saltBuckets"
 QUERY, TEMPDIR, OFFSET_ZONE = "query", "tempdir", "offsetZone"
+ZONE_MAP, BALANCED, LATE_RANGE = "zoneMap", "balancedStrides", "lateRange"
 SCAN, STRIDE = "scan", "stride"
 
 OWN_OPTIONS = (
@@ -42,6 +43,9 @@ OWN_OPTIONS = (
     QUERY,
     TEMPDIR,
     OFFSET_ZONE,
+    ZONE_MAP,
+    BALANCED,
+    LATE_RANGE,
 )
 CREDENTIALS = ("user", "password")
 
@@ -66,6 +70,9 @@ class LoadSpec:
     query: str = ""
     tempdir: str = ""
     offset_zone: str = ""
+    zone_map: str = ""
+    balanced: bool = False
+    late_range: bool = False
     reader_options: Mapping[str, str] = field(default_factory=dict)
 
     @property
@@ -130,6 +137,13 @@ class LoadSpec:
         if layout == STRIDE and not column:
             raise OptionError("the stride layout needs a partitionColumn")
 
+        zone_map = option(ZONE_MAP)
+        if zone_map and (not column or url is not None):
+            raise OptionError("zoneMap is for loads of a path of Parquet files with a partitionColumn")
+        balanced = _flag(BALANCED, option(BALANCED))
+        if balanced and (url is not None or not column):
+            raise OptionError("balancedStrides is for loads with a partitionColumn that Spark reads itself")
+
         offset_zone = option(OFFSET_ZONE)
         if offset_zone and not is_zone(offset_zone):
             raise OptionError(f"offsetZone is Z or +HH:mm, not {offset_zone!r}")
@@ -161,6 +175,9 @@ class LoadSpec:
             query=query,
             tempdir=option(TEMPDIR),
             offset_zone=offset_zone,
+            zone_map=zone_map,
+            balanced=balanced,
+            late_range=_flag(LATE_RANGE, option(LATE_RANGE)),
             reader_options={k: _text(v) for k, v in options.items() if k.lower() not in known},
         )
 
