@@ -25,6 +25,7 @@ from tidemark.llm.text import (
     text_bytes,
     words,
 )
+from tidemark.sinks.staging import stage
 
 SEQUENCE = 4096
 END_ID = 2
@@ -33,7 +34,7 @@ BITS = 10
 #: Buckets of the hashed document vector.
 BUCKETS = 1 << 14
 #: Chunks between white space whose ids a process remembers, and the characters of the longest.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 500_000
 LONGEST_CACHED = 64
 
 _PUNCTUATED = re.compile(r"(.*[^\W_])([!-&(-/:-@\[-`{-~]+)").fullmatch
@@ -91,18 +92,20 @@ def curve_keys(texts: pa.Array) -> np.ndarray:
 class Tokenizer:
     """Ids of texts by the tokenizers library, chunk by chunk.
 
-    The vocabulary's normaliser and pattern never join what white space parts, nor a letter
-    or digit with a mark of ASCII punctuation after it (an apostrophe aside), so the ids of a
-    text are those of its chunks, and a chunk met before is looked up.  An added token of the
-    vocabulary is matched before all that; a chunk that holds one is not parted.  The first
-    CACHE_ENTRIES chunks of a process are remembered, among them the frequent ones.
+    The vocabulary's normaliser and pattern never join what white space parts, so the ids of a text are
+    those of its chunks, and a chunk met before is looked up.  Nor do they join most letters and
+    digits with a mark of ASCII punctuation after them (an apostrophe aside); which characters are
+    parted from it, the library's own normaliser and pattern tell.  An added token of the
+    vocabulary is matched before all that; a chunk that holds one is not parted.  A process remembers
+    CACHE_ENTRIES chunks and then starts anew.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer as Library
 
         self.library = Library.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        self.known: dict[str, bytes] = {}
+        self.parted: dict[str, bool] = {}
         self.ends_word = np.zeros(self.library.get_vocab_size(), bool)
         for token, i in self.library.get_vocab().items():
             self.ends_word[i] = token.endswith("</w>")
@@ -127,6 +130,34 @@ class Tokenizer:
         new.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(rest, encodings))
         return new
 
+    def _parts(self, character: str) -> bool:
+        """Whether punctuation after this character is a piece of its own."""
+        if character not in self.parted:
+            normal = self.library.normalizer
+            written = f"{character}("
+            written = normal.normalize_str(written) if normal else written
+            pieces = self.library.pre_tokenizer.pre_tokenize_str(written)
+            self.parted[character] = len(pieces) > 1 and pieces[-1][0].removesuffix("</w>") == "("
+        return self.parted[character]
+
+    def _learn(self, missing: set[str]) -> None:
+        """Remember the ids of chunks, parted from the punctuation at their end where that may be."""
+        known = self.known
+        words = {c for c in missing if c.isalpha()}
+        pieces, parted = set(words), []
+        for chunk in missing - words:
+            found = _PUNCTUATED(chunk)
+            if found and self._parts(found[1][-1]) and not self.holds_added(chunk):
+                head, tail = found.groups()
+                parted.append((chunk, head, tail))
+                pieces.add(head)
+                pieces.add(tail)
+            else:
+                pieces.add(chunk)
+        new = self._encode_words([p for p in pieces if p not in known])
+        known.update(new)
+        known.update((chunk, known[head] + known[tail]) for chunk, head, tail in parted)
+
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as 32-bit integers, end to end."""
         rows = []
@@ -135,21 +166,18 @@ class Tokenizer:
                 if space in text:
                     text = text.replace(space, " ")
             rows.append(text.split(" "))
-        missing = set().union(*rows).difference(self.known)
-        if not missing:
-            return [b"".join(map(self.known.__getitem__, row)) for row in rows]
-        parts = {
-            c: m.groups() if (m := _PUNCTUATED(c)) and not self.holds_added(c) else (c,) for c in missing
-        }
-        pieces = list({p for ps in parts.values() for p in ps if p not in self.known})
-        new = self._encode_words(pieces)
-        for chunk, ps in parts.items():
-            if len(ps) > 1:
-                new[chunk] = b"".join([new[p] if p in new else self.known[p] for p in ps])
-        if len(self.known) < CACHE_ENTRIES:
-            self.known.update((c, ids) for c, ids in new.items() if len(c) <= LONGEST_CACHED)
         known = self.known
-        return [b"".join([new[c] if c in new else known[c] for c in row]) for row in rows]
+        missing = set().union(*rows).difference(known)
+        if missing and len(known) + len(missing) > CACHE_ENTRIES:
+            known.clear()
+            missing = set().union(*rows)
+        if missing:
+            self._learn(missing)
+        encoded = [b"".join(map(known.__getitem__, row)) for row in rows]
+        for chunk in missing:
+            if len(chunk) > LONGEST_CACHED:
+                del known[chunk]
+        return encoded
 
 
 def tokenizer(path: str) -> Tokenizer:
@@ -226,15 +254,6 @@ def pack(
     columns are not read.  Sequence ids are unique; ranges lie along the curve.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in batch_slices(batch, "text"):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(curve_keys(part.column("text"))), *part.columns],
-                    names=["curve_key", "doc_id", "text"],
-                )
-
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokenizer(tokenizer_path)
         end = np.array([end_id], "<u4").tobytes()
@@ -256,12 +275,49 @@ def pack(
         F.col(f"`{id_col}`").cast("bigint").alias("doc_id"),
         empty_if_null(F.col(f"`{text_col}`")).alias("text"),
     )
-    along = documents.mapInArrow(keyed, "curve_key bigint, doc_id bigint, text string")
-    tie = F.xxhash64("doc_id", F.length("text"))
-    ranges = along.repartitionByRange(n, "curve_key", tie).sortWithinPartitions(
-        "curve_key", tie, "text"
+    return _along_the_curve(documents, n).select("doc_id", "text").mapInArrow(packed, PIECES)
+
+
+#: Bits below the curve key that part documents with one key, and bytes that count as one place.
+TIE_BITS = 12
+PLACE_BYTES = 1024
+
+
+def _along_the_curve(documents: DataFrame, n: int) -> DataFrame:
+    """``doc_id, text`` in n partitions along the curve, each in the order of the curve and all of
+    about the same bytes.
+
+    Keys are computed once and staged with the texts.  A sketch of their quantiles, in which a document
+    counts for its bytes, gives the borders, n - 1 numbers; documents with one key are dealt by a hash
+    of their row, so that copies of one text do not pile up.
+    """
+
+    @F.arrow_udf("bigint")
+    def curve_key(texts: pa.Array) -> pa.Array:
+        slices = batch_slices(pa.RecordBatch.from_arrays([texts], ["text"]), "text")
+        keys = [curve_keys(part.column("text")) for part in slices]
+        return pa.array(np.concatenate([np.zeros(0, np.int64), *keys]))
+
+    tie = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << TIE_BITS))
+    keyed = stage(
+        documents.withColumn("row", tie).withColumn("key", curve_key("text")).select(
+            "doc_id", "text", F.expr(f"shiftleft(key, {TIE_BITS}) | row").alias("code")
+        )
     )
-    return ranges.select("doc_id", "text").mapInArrow(packed, PIECES)
+    places = F.expr(f"explode(sequence(0, octet_length(text) div {PLACE_BYTES}))").alias("place")
+    shares = [i / n for i in range(1, n)]
+    borders = np.zeros(0, np.int64)
+    if shares:
+        sketch = F.percentile_approx("code", shares, max(10_000, 20 * n)).alias("borders")
+        found = keyed.select("code", places).agg(sketch).first()
+        borders = np.array(found["borders"] or [], np.int64)
+
+    @F.arrow_udf("int")
+    def range_of(codes: pa.Array) -> pa.Array:
+        return pa.array(np.searchsorted(borders, codes.to_numpy(), "left"), pa.int32())
+
+    dealt = keyed.withColumn("range", range_of("code")).repartitionById(n, "range")
+    return dealt.sortWithinPartitions("code", "doc_id", "text")
 
 
 def _pieces(rows: list[tuple]) -> pa.RecordBatch:
