@@ -135,6 +135,30 @@ def test_pieces_follow_the_curve_in_ranges_of_even_bytes(spark, sf_dir, document
     assert len(sizes) == 12 and max(sizes.values()) <= 1.3 * sum(sizes.values()) / 12 + largest
 
 
+def test_bins_of_contexts_are_even_and_have_copies():
+    rng = np.random.default_rng(4)
+    keys = np.sort(rng.pareto(1.1, 3000) * 50).astype(np.int64)[::-1] + 1
+    suffixes = rng.permutation(1 << 16)[: len(keys)]
+    for parts in (1, 7, 51, 5000):
+        bins = ppm.Bins.of(suffixes, keys, parts)
+        held = np.bincount(bins.bin_of[suffixes], keys, len(bins.copies))
+        assert len(bins.copies) == min(parts, ppm.MOST_BINS) and held.sum() == keys.sum()
+        most = max(keys.sum() / parts, 0 if parts > ppm.MOST_BINS else keys.max())
+        assert (held / bins.copies).max() <= 2 * most and abs(bins.parts - parts) <= len(bins.copies)
+        found = {bins.part(chunk, b) for b in range(len(bins.copies)) for chunk in range(int(bins.copies[b]))}
+        assert found == set(range(bins.parts))
+
+
+def test_ppm_with_copies_of_bins(spark, sf_dir, monkeypatch):
+    frame = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id < 300").repartition(6)
+    plain = {r.doc_id: tuple(r) for r in ppm.score(frame).collect()}
+    monkeypatch.setattr(ppm, "MOST_BINS", 2)
+    copied = {r.doc_id: tuple(r) for r in ppm.score(frame).collect()}
+    assert set(plain) == set(copied)
+    for i, row in plain.items():
+        assert row[:5] == copied[i][:5] and copied[i][5:] == pytest.approx(row[5:], rel=1e-6)
+
+
 def test_hilbert_curve_visits_every_cell_by_single_steps():
     for n, bits in ((2, 4), (3, 3), (4, 2)):
         side = 1 << bits

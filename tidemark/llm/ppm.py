@@ -5,9 +5,11 @@ the training texts (bytes with A-Z folded, and the end of the text).  A symbol t
 not seen is coded as an escape, whose weight is the number of distinct symbols seen, and then
 by the next shorter context, without the symbols that the longer one excludes.  A document's
 score is its code length.  Every context of the training texts has a node.  The trie is a table in
-shards by the last two bytes of the contexts, so that a shard holds all suffixes of its contexts
-(those under two bytes, 257 at most, go to every shard).  A chunk of documents sends each of its
-distinct contexts with their symbols to their shards once, which answer with code lengths.
+bins by the last two bytes of the contexts, so that a bin holds all suffixes of its contexts
+(those under two bytes, 257 at most, go to every bin).  Bins are filled evenly, at most MOST_BINS of them
+at any size of the input; beyond that every bin has copies in proportion to the keys it holds, and
+chunks of documents are dealt over the copies.  A chunk sends each of its
+distinct contexts with their symbols to one copy of their bin, which answers with code lengths.
 
 The baseline needs the corpus count of every word.  Words stay with their chunk of documents:
 a chunk sends each of its distinct words once, as a 64-bit hash in one array for each
@@ -16,6 +18,7 @@ shard, shards sum the counts, and answer every chunk with an array in the same o
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,8 +46,10 @@ SHARD_BYTES = 2
 END = 256
 SYMBOLS = 257
 FOLDS, HELD_FOLD = 7, 2
+#: Bins that suffixes are dealt into, whatever the size of the input.
+MOST_BINS = 1024
 #: Bytes of text in a chunk of documents.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: The hash that stands for the end of a text among the words.
 END_WORD = np.uint64(0x5EED0FE2D)
 
@@ -199,15 +204,50 @@ class Shard:
         return np.log10(chance)
 
 
-def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
-    """The shard of each key, as :func:`_shard_column` has it."""
-    last = keys >> 9 & ((1 << 8 * SHARD_BYTES) - 1)
-    return (last * 2654435761 >> 16 & 65535) % shards
+@dataclass
+class Bins:
+    """Which bin each suffix of SHARD_BYTES belongs to, and the copies of each bin.
 
+    Copy k of bin b is part ``first[b] + k``; a chunk asks copy ``chunk mod copies``.
+    """
 
-def _shard_column(shards: int) -> F.Column:
-    last = f"(context & {(1 << 8 * SHARD_BYTES) - 1}L)"
-    return F.expr(f"CAST((shiftright({last} * 2654435761L, 16) & 65535L) % {shards} AS INT)")
+    bin_of: np.ndarray
+    first: np.ndarray
+    copies: np.ndarray
+
+    @classmethod
+    def of(cls, suffixes: np.ndarray, keys: np.ndarray, parts: int) -> Bins:
+        """Bins for about ``parts`` parts of even numbers of keys; suffixes that have none go anywhere."""
+        count = min(parts, MOST_BINS)
+        weight = np.zeros(1 << 8 * SHARD_BYTES, np.int64)
+        weight[suffixes] = keys
+        bin_of = np.arange(len(weight)) % count
+        loads = [(0, b) for b in range(count)]
+        for suffix in np.argsort(-weight, kind="stable")[: len(suffixes)].tolist():
+            load, b = heapq.heappop(loads)  # the emptiest bin
+            bin_of[suffix] = b
+            heapq.heappush(loads, (load + int(weight[suffix]), b))
+        held = np.bincount(bin_of, weight, count)
+        copies = np.maximum(np.rint(held / max(held.sum(), 1) * parts), 1).astype(np.int64)
+        return cls(bin_of, np.concatenate([[0], np.cumsum(copies)[:-1]]), copies)
+
+    @property
+    def parts(self) -> int:
+        return int(self.copies.sum())
+
+    def bins(self, keys: np.ndarray) -> np.ndarray:
+        """The bin of each ``context << 9 | symbol``."""
+        return self.bin_of[keys >> 9 & ((1 << 8 * SHARD_BYTES) - 1)]
+
+    def part(self, chunk: int, bin_: int) -> int:
+        return int(self.first[bin_] + chunk % self.copies[bin_])
+
+
+def _bins(counts: DataFrame, parts: int) -> Bins:
+    """From the keys of every suffix, 65,536 numbers at most."""
+    suffix = F.expr(f"context & {(1 << 8 * SHARD_BYTES) - 1}L").alias("suffix")
+    found = counts.groupBy(suffix).agg(F.count("*").alias("n")).toPandas()
+    return Bins.of(found["suffix"].to_numpy(np.int64), found["n"].to_numpy(np.int64), parts)
 
 
 def _short(counts: DataFrame, max_contexts: int | None) -> Short:
@@ -236,17 +276,28 @@ def _unpacked_keys(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view("<i8").ravel())
 
 
-def _lengths(counts: DataFrame, staged: DataFrame, short: Short, shards: int) -> DataFrame:
-    """``chunk, shard, logs``: code lengths of the keys of every chunk.
+def _lengths(counts: DataFrame, staged: DataFrame, short: Short, bins: Bins) -> DataFrame:
+    """``chunk, shard, logs``: code lengths of the keys of every chunk, by bin.
 
-    In a shard its counts come first, and the keys of the chunks are answered in passing.
+    In a part the counts of its bin come first, and the keys of the chunks are answered in passing.
     """
     broadcast = counts.sparkSession.sparkContext.broadcast(short)
+    own_bins = counts.sparkSession.sparkContext.broadcast(bins)
+
+    @F.arrow_udf("array<int>")
+    def parts_of(keys: pa.Array) -> pa.Array:
+        """Every part that holds a copy of the bin of a key."""
+        held = own_bins.value
+        of = held.bins(keys.to_numpy())
+        first, copies = held.first[of], held.copies[of]
+        ends = np.concatenate([[0], np.cumsum(copies)])
+        parts = np.arange(ends[-1]) + np.repeat(first - ends[:-1], copies)
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(parts, pa.int32()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, keys, counts, nodes = None, [], [], None
         for batch in batches:
-            shard_ids = batch.column("shard").to_numpy()
+            shard_ids = batch.column("part").to_numpy()
             trained = batch.column("keys").is_null().to_numpy(zero_copy_only=False)
             cuts = np.flatnonzero((np.diff(shard_ids) != 0) | (trained[1:] != trained[:-1])) + 1
             for start, stop in zip([0, *cuts], [*cuts, len(shard_ids)]):
@@ -260,27 +311,28 @@ def _lengths(counts: DataFrame, staged: DataFrame, short: Short, shards: int) ->
                 if nodes is None:
                     nodes = Shard(np.concatenate(keys), np.concatenate(counts), broadcast.value)
                     keys, counts = [], []
-                for chunk, wanted in zip(part.column("chunk"), part.column("keys")):
+                for chunk, bin_, wanted in zip(*(part.column(c) for c in ("chunk", "shard", "keys"))):
                     logs = nodes.lengths(_unpacked_keys(wanted.as_py())).astype("<f4").tobytes()
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([chunk.as_py()], pa.int64()), pa.array([at], pa.int32()), pa.array([logs], pa.binary())],
+                        [pa.array([chunk.as_py()], pa.int64()), pa.array([bin_.as_py()], pa.int32()), pa.array([logs], pa.binary())],
                         names=["chunk", "shard", "logs"],
                     )
 
-    known = counts.select(
-        _shard_column(shards).alias("shard"),
+    known = counts.withColumn("key", F.expr("shiftleft(context, 9) | symbol")).select(
+        F.explode(parts_of("key")).alias("part"),
+        F.lit(None).cast("int").alias("shard"),
         F.lit(None).cast("bigint").alias("chunk"),
-        F.expr("shiftleft(context, 9) | symbol").alias("key"),
+        "key",
         "n",
         F.lit(None).cast("binary").alias("keys"),
     )
     asked = staged.where("keys IS NOT NULL").selectExpr(
-        "shard", "chunk", "CAST(NULL AS bigint) AS key", "CAST(NULL AS bigint) AS n", "keys"
+        "part", "shard", "chunk", "CAST(NULL AS bigint) AS key", "CAST(NULL AS bigint) AS n", "keys"
     )
     return (
         known.unionByName(asked)
-        .repartition(shards, "shard")
-        .sortWithinPartitions("shard", F.asc_nulls_first("chunk"))
+        .repartitionById(bins.parts, "part")
+        .sortWithinPartitions("part", F.asc_nulls_first("chunk"), "shard")
         .mapInArrow(run, "chunk bigint, shard int, logs binary")
     )
 
@@ -299,19 +351,37 @@ def _slices(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray,
         start = stop
 
 
-def _dealt(known: list[np.ndarray], shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct keys of slices, their order by shard, and the n + 1 borders of the shards."""
+def _dealt(known: list[np.ndarray], bins: Bins) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys of slices, their order by bin, and the n + 1 borders of the bins."""
     keys = np.unique(np.concatenate(known))
-    shard = shard_of(keys, shards)
-    order = np.argsort(shard, kind="stable")
-    return keys, order, np.searchsorted(shard[order], np.arange(shards + 1))
+    of = bins.bins(keys)
+    order = np.argsort(of, kind="stable")
+    return keys, order, np.searchsorted(of[order], np.arange(len(bins.copies) + 1))
 
 
 STAGED = (
-    "chunk bigint, shard int, words binary, counts binary, keys binary, doc_ids array<bigint>, "
+    "chunk bigint, shard int, part int, words binary, counts binary, keys binary, doc_ids array<bigint>, "
     "held array<boolean>, text binary, sizes binary, before binary, places binary"
 )
-_NAMES = ["chunk", "shard", "words", "counts", "keys", "doc_ids", "held", "text", "sizes", "before", "places"]
+_STAGED = {
+    "chunk": pa.int64(),
+    "shard": pa.int32(),
+    "part": pa.int32(),
+    "words": pa.binary(),
+    "counts": pa.binary(),
+    "keys": pa.binary(),
+    "doc_ids": pa.list_(pa.int64()),
+    "held": pa.list_(pa.bool_()),
+    "text": pa.binary(),
+    "sizes": pa.binary(),
+    "before": pa.binary(),
+    "places": pa.binary(),
+}
+
+
+def _staged_row(**values) -> pa.RecordBatch:
+    columns = [pa.array([values.get(name)], kind) for name, kind in _STAGED.items()]
+    return pa.RecordBatch.from_arrays(columns, names=list(_STAGED))
 
 
 def _byte_planes(values: np.ndarray) -> bytes:
@@ -324,64 +394,65 @@ def _from_planes(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
-def _chunk_rows(
-    chunk: int, shards: int, hashes: np.ndarray, per_doc: np.ndarray, ids: list, held: np.ndarray, data: np.ndarray, sizes: np.ndarray
-) -> Iterator[pa.RecordBatch]:
-    """A chunk's own row, and a row for each shard with its words, their training counts, and the
-    keys of its contexts and symbols."""
+def _chunk_rows(chunk: int, shards: int, bins: Bins, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """A chunk's own row, a row for each shard with its words and their training counts, and
+    a row for each bin with the keys of its contexts and symbols; every row by itself.
+
+    ``rows`` are doc_ids, held, folded bytes, sizes, word hashes and words of each document, by slice.
+    """
+    ids = [i for r in rows for i in r[0]]
+    held, sizes, per_doc = (np.concatenate([r[k] for r in rows]) for k in (1, 3, 5))
+    known, place = np.unique(np.concatenate([r[4] for r in rows]), return_inverse=True)
+    data = np.concatenate([r[2] for r in rows])
+    rows.clear()
     count = np.uint64(shards)
-    known, place = np.unique(hashes, return_inverse=True)
     order = np.argsort(known % count, kind="stable")
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
     place, known = rank[place], known[order]
+    yield _staged_row(
+        chunk=chunk,
+        doc_ids=ids,
+        held=held.tolist(),
+        text=data.tobytes(),
+        sizes=sizes.astype("<i8").tobytes(),
+        before=per_doc.astype("<i8").tobytes(),
+        places=_byte_planes(place),
+    )
     trained = np.repeat(~held, per_doc)
     counts = np.bincount(place[trained], minlength=len(known))
+    del place, trained, rank, order
     ends = np.searchsorted(known % count, np.arange(shards + 1))
+    for s in np.flatnonzero(np.diff(ends)).tolist():
+        some = slice(ends[s], ends[s + 1])
+        yield _staged_row(chunk=chunk, shard=s, words=known[some].tobytes(), counts=counts[some].astype("<i8").tobytes())
     offsets = np.concatenate([[0], np.cumsum(sizes)])
-    keys, by_shard, borders = _dealt([k for k, _, _ in _slices(data, offsets)], shards)
-    rows = []
-    for s in range(shards):
-        (a, b), wanted = ends[s : s + 2], keys[by_shard[borders[s] : borders[s + 1]]]
-        of_words = (known[a:b].tobytes(), counts[a:b].astype("<i8").tobytes()) if a < b else (None, None)
-        if a < b or len(wanted):
-            rows.append((chunk, s, *of_words, _packed_keys(wanted) if len(wanted) else None, *[None] * 6))
-    rows.append(
-        (chunk, None, None, None, None, ids, held.tolist(), data.tobytes(), sizes.astype("<i8").tobytes(), per_doc.astype("<i8").tobytes(), _byte_planes(place))
-    )
-    types = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.binary()] * 4]
-    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=_NAMES)
+    keys, by_bin, borders = _dealt([k for k, _, _ in _slices(data, offsets)], bins)
+    for b in np.flatnonzero(np.diff(borders)).tolist():
+        wanted = keys[by_bin[borders[b] : borders[b + 1]]]
+        yield _staged_row(chunk=chunk, shard=b, part=bins.part(chunk, b), keys=_packed_keys(wanted))
 
 
-def _chunks(documents: DataFrame, shards: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = TaskContext.get().partitionId() << 24
-        hashes, per_doc, ids, held, folded, sizes, size = [], [], [], [], [], [], 0
-
-        def close():
-            return _chunk_rows(
-                chunk, shards, np.concatenate(hashes), np.concatenate(per_doc), ids, np.concatenate(held), np.concatenate(folded), np.concatenate(sizes)
-            )
+def _chunks(documents: DataFrame, shards: int, bins: Bins) -> DataFrame:
+    shared = documents.sparkSession.sparkContext.broadcast(bins)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, rows, size = TaskContext.get().partitionId() << 24, [], 0
         for batch in batches:
             for part in batch_slices(batch, "text"):
                 data, offsets = text_bytes(part.column("text"))
                 data = LOWER[data]
-                folded.append(data)
-                sizes.append(np.diff(offsets))
                 a, b, before = words(data, offsets)
-                found = span_hashes(data, a, b)
-                hashes.append(np.insert(found, before[1:], END_WORD))
-                per_doc.append(np.diff(before) + 1)
-                ids.extend(part.column("doc_id").to_pylist())
-                held.append(part.column("held").to_numpy(zero_copy_only=False))
+                hashes = np.insert(span_hashes(data, a, b), before[1:], END_WORD)
+                held = part.column("held").to_numpy(zero_copy_only=False)
+                ids = part.column("doc_id").to_pylist()
+                rows.append((ids, held, data, np.diff(offsets), hashes, np.diff(before) + 1))
                 size += len(data)
                 if size > CHUNK_BYTES:
-                    yield from close()
-                    chunk += 1
-                    hashes, per_doc, ids, held, folded, sizes, size = [], [], [], [], [], [], 0
-        if ids:
-            yield from close()
+                    yield from _chunk_rows(chunk, shards, shared.value, rows)
+                    chunk, rows, size = chunk + 1, [], 0
+        if rows:
+            yield from _chunk_rows(chunk, shards, shared.value, rows)
 
     return documents.select("doc_id", "held", "text").mapInArrow(run, STAGED)
 
@@ -443,17 +514,18 @@ def score(
     symbols = stage(symbol_counts(documents.where(~F.col("held"))))
     short = _short(symbols, max_contexts)
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    staged = stage(_chunks(documents, shards))
+    bins = _bins(symbols, shards)
+    staged = stage(_chunks(documents, shards, bins))
     answers = stage(
         staged.where("words IS NOT NULL")
         .select("chunk", "shard", "words", "counts")
-        .repartition(shards, "shard")
+        .repartitionById(shards, "shard")
         .mapInArrow(
             _answers, "chunk bigint, shard int, totals binary, tokens bigint, distinct bigint"
         )
     )
     sums = answers.agg(F.sum("tokens").alias("n"), F.sum("distinct").alias("v")).first()
-    lengths = _lengths(symbols, staged, short, shards)
+    lengths = _lengths(symbols, staged, short, bins)
     n, v = int(sums["n"] or 0), int(sums["v"] or 0)
 
     def finish(key, chunks: pd.DataFrame, totals: pd.DataFrame) -> pd.DataFrame:
@@ -467,9 +539,9 @@ def score(
         base = np.add.reduceat(np.log10(found + 1.0), at) - per_doc * np.log10(n + v + 1.0)
         sizes = np.frombuffer(row["sizes"], "<i8")
         slices = list(_slices(np.frombuffer(row["text"], np.uint8), np.concatenate([[0], np.cumsum(sizes)])))
-        keys, by_shard, _ = _dealt([k for k, _, _ in slices], shards)
+        keys, by_bin, _ = _dealt([k for k, _, _ in slices], bins)
         logs = np.empty(len(keys))
-        logs[by_shard] = np.concatenate([np.frombuffer(t, "<f4") for t in totals["logs"].dropna()])
+        logs[by_bin] = np.concatenate([np.frombuffer(t, "<f4") for t in totals["logs"].dropna()])
         scores = [
             np.add.reduceat(logs[np.searchsorted(keys, known)][place], starts[:-1])
             for known, place, starts in slices
@@ -487,7 +559,7 @@ def score(
         )
 
     both = answers.select("chunk", "shard", "totals").unionByName(lengths, allowMissingColumns=True)
-    chunks = staged.where("shard IS NULL").select("chunk", "doc_ids", "held", "text", "sizes", "before", "places")
+    chunks = staged.where("doc_ids IS NOT NULL").select("chunk", "doc_ids", "held", "text", "sizes", "before", "places")
     return (
         chunks.groupBy("chunk")
         .cogroup(both.groupBy("chunk"))
