@@ -49,7 +49,7 @@ FOLDS, HELD_FOLD = 7, 2
 #: Bins that suffixes are dealt into, whatever the size of the input.
 MOST_BINS = 1024
 #: Bytes of text in a chunk of documents.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 8 << 20
 #: The hash that stands for the end of a text among the words.
 END_WORD = np.uint64(0x5EED0FE2D)
 
@@ -266,14 +266,32 @@ def _short(counts: DataFrame, max_contexts: int | None) -> Short:
     return Short(keys, first["n"].to_numpy(np.int64), most)
 
 
+def _pressed(data: bytes) -> bytes:
+    """Compressed bytes, behind their length: what chunks stage and send is most of the disk."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def _unpressed(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers as planes of their bytes, which pack well, compressed."""
+    return _pressed(values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes())
+
+
+def _from_planes(data: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(_unpressed(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
 def _packed_keys(keys: np.ndarray) -> bytes:
-    """Sorted keys as planes of the bytes of their steps, which packs well."""
-    return np.diff(keys, prepend=0).astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Sorted keys by their steps."""
+    return _planes(np.diff(keys, prepend=0).astype("<i8"))
 
 
 def _unpacked_keys(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<i8").ravel())
+    return np.cumsum(_from_planes(data, "<i8"))
 
 
 def _lengths(counts: DataFrame, staged: DataFrame, short: Short, bins: Bins) -> DataFrame:
@@ -312,7 +330,7 @@ def _lengths(counts: DataFrame, staged: DataFrame, short: Short, bins: Bins) ->
                     nodes = Shard(np.concatenate(keys), np.concatenate(counts), broadcast.value)
                     keys, counts = [], []
                 for chunk, bin_, wanted in zip(*(part.column(c) for c in ("chunk", "shard", "keys"))):
-                    logs = nodes.lengths(_unpacked_keys(wanted.as_py())).astype("<f4").tobytes()
+                    logs = _planes(nodes.lengths(_unpacked_keys(wanted.as_py())).astype("<f4"))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([chunk.as_py()], pa.int64()), pa.array([bin_.as_py()], pa.int32()), pa.array([logs], pa.binary())],
                         names=["chunk", "shard", "logs"],
@@ -384,16 +402,6 @@ def _staged_row(**values) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=list(_STAGED))
 
 
-def _byte_planes(values: np.ndarray) -> bytes:
-    """32-bit values, plane by plane, which packs small values well."""
-    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
-
-
-def _from_planes(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
-
-
 def _chunk_rows(chunk: int, shards: int, bins: Bins, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
     """A chunk's own row, a row for each shard with its words and their training counts, and
     a row for each bin with the keys of its contexts and symbols; every row by itself.
@@ -414,10 +422,10 @@ def _chunk_rows(chunk: int, shards: int, bins: Bins, rows: list[tuple]) -> Itera
         chunk=chunk,
         doc_ids=ids,
         held=held.tolist(),
-        text=data.tobytes(),
+        text=_pressed(data.tobytes()),
         sizes=sizes.astype("<i8").tobytes(),
         before=per_doc.astype("<i8").tobytes(),
-        places=_byte_planes(place),
+        places=_planes(place.astype("<u4")),
     )
     trained = np.repeat(~held, per_doc)
     counts = np.bincount(place[trained], minlength=len(known))
@@ -425,7 +433,7 @@ def _chunk_rows(chunk: int, shards: int, bins: Bins, rows: list[tuple]) -> Itera
     ends = np.searchsorted(known % count, np.arange(shards + 1))
     for s in np.flatnonzero(np.diff(ends)).tolist():
         some = slice(ends[s], ends[s + 1])
-        yield _staged_row(chunk=chunk, shard=s, words=known[some].tobytes(), counts=counts[some].astype("<i8").tobytes())
+        yield _staged_row(chunk=chunk, shard=s, words=known[some].tobytes(), counts=_planes(counts[some].astype("<i8")))
     offsets = np.concatenate([[0], np.cumsum(sizes)])
     keys, by_bin, borders = _dealt([k for k, _, _ in _slices(data, offsets)], bins)
     for b in np.flatnonzero(np.diff(borders)).tolist():
@@ -463,7 +471,7 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     by_shard: dict[int, list[tuple[int, np.ndarray, np.ndarray]]] = {}
     for batch in batches:
         for chunk, shard, known, counts in zip(*(c.to_pylist() for c in batch.columns)):
-            row = chunk, np.frombuffer(known, np.uint64), np.frombuffer(counts, "<i8")
+            row = chunk, np.frombuffer(known, np.uint64), _from_planes(counts, "<i8")
             by_shard.setdefault(shard, []).append(row)
     for shard, rows in by_shard.items():
         every, back = np.unique(np.concatenate([r[1] for r in rows]), return_inverse=True)
@@ -474,7 +482,7 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [
                     pa.array([chunk], pa.int64()),
                     pa.array([shard], pa.int32()),
-                    pa.array([total[back[at : at + len(known)]].tobytes()], pa.binary()),
+                    pa.array([_planes(total[back[at : at + len(known)]])], pa.binary()),
                     pa.array([0 if i else int(total.sum())], pa.int64()),
                     pa.array([0 if i else int(np.count_nonzero(total))], pa.int64()),
                 ],
@@ -532,16 +540,16 @@ def score(
         row = chunks.iloc[0]
         totals = totals.sort_values("shard")
         held_parts = totals["totals"].dropna()
-        counts = np.concatenate([np.frombuffer(t, "<i8") for t in held_parts])
-        found = counts[_from_planes(row["places"])]
+        counts = np.concatenate([_from_planes(t, "<i8") for t in held_parts])
+        found = counts[_from_planes(row["places"], "<u4")]
         per_doc = np.frombuffer(row["before"], "<i8")
         at = np.concatenate([[0], np.cumsum(per_doc)[:-1]])
         base = np.add.reduceat(np.log10(found + 1.0), at) - per_doc * np.log10(n + v + 1.0)
         sizes = np.frombuffer(row["sizes"], "<i8")
-        slices = list(_slices(np.frombuffer(row["text"], np.uint8), np.concatenate([[0], np.cumsum(sizes)])))
+        slices = list(_slices(np.frombuffer(_unpressed(row["text"]), np.uint8), np.concatenate([[0], np.cumsum(sizes)])))
         keys, by_bin, _ = _dealt([k for k, _, _ in slices], bins)
         logs = np.empty(len(keys))
-        logs[by_bin] = np.concatenate([np.frombuffer(t, "<f4") for t in totals["logs"].dropna()])
+        logs[by_bin] = np.concatenate([_from_planes(t, "<f4") for t in totals["logs"].dropna()])
         scores = [
             np.add.reduceat(logs[np.searchsorted(keys, known)][place], starts[:-1])
             for known, place, starts in slices
