@@ -190,3 +190,24 @@ def test_pipeline_stages(spark, documents, labels, tmp_path):
         if name != "packing":
             result = stage(spark, docs, str(tmp_path))
             assert result.columns == documents.columns, name
+
+
+def test_columns_named_like_helpers_of_host_rules(documents):
+    names = ["__host", "__text", "__salt", "__part", "salt", "part", "rejected host", "text of the rules", "a.b"]
+    named = documents.select("doc_id", "text", "source", *[F.lit(f"own {n}").alias(n) for n in names])
+    kept = ["doc_id", "source", *names]
+    judged = host_rules.judge_hosts(host_rules.rule_statistics(named, kept))
+    assert judged.columns == [*kept, *host_rules.STATISTICS, "base_failed", "kept"]
+    plain = host_rules.judge_hosts(host_rules.rule_statistics(documents, ["doc_id", "source"]))
+    facts = [*host_rules.STATISTICS, "base_failed", "kept"]
+    for r in judged.collect():
+        assert all(r[n] == f"own {n}" for n in names)
+    key = lambda rows: sorted(str([r[c] for c in ("doc_id", *facts)]) for r in rows)
+    assert key(judged.collect()) == key(plain.collect())
+    again = host_rules.judge_hosts(judged.withColumn("kept", F.lit(None).cast("boolean")))
+    assert key(again.collect()) == key(plain.collect())
+
+
+def test_exact_dedup_resolves_names_in_any_case(documents):
+    renamed = documents.select(F.col("doc_id").alias("Doc_ID"), F.col("text").alias("TEXT"), "lang")
+    assert exact_dedup.drop_exact_duplicates(renamed).count() == 7

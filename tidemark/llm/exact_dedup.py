@@ -284,7 +284,9 @@ def drop_exact_duplicates(
     rows travel once, from the tasks that read them to the hash partitions.
     """
     shard, names = free_name(df, "shard"), list(df.columns)
-    id_at, text_at = names.index(id_col), names.index(text_col)
+    # names as Spark resolves them, in any case
+    exact, lower = {n: i for i, n in enumerate(names)}, {n.lower(): i for i, n in enumerate(names)}
+    id_at, text_at = (exact.get(c, lower[c.lower()]) for c in (id_col, text_col))
 
     def best(batches, schema):
         def records():

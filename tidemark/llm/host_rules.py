@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.types import free_name, quoted
 from tidemark.llm.text import (
     SPACE,
     batch_slices,
@@ -33,6 +34,8 @@ MAX_RATE = 0.5
 LARGEST_PRIOR = 1e6
 #: Parts that the documents of a host, of which one may have a third of all, are joined in.
 SALTS = 64
+#: Rows of the largest host that one part of it should hold, beyond SALTS parts.
+SALT_ROWS = 200_000
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -108,15 +111,15 @@ def rule_statistics(df: DataFrame, keep: Sequence[str], text_col: str = "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in batch_slices(batch, "__text"):
-                found = measure(part.column("__text"))
+            for part in batch_slices(batch, len(keep)):
+                found = measure(part.columns[-1])
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], *(pa.array(found[c]) for c in STATISTICS)],
                     names=[*keep, *STATISTICS],
                 )
 
     read = df.select(
-        *(F.col(f"`{c}`") for c in keep), empty_if_null(F.col(f"`{text_col}`")).alias("__text")
+        *map(quoted, keep), empty_if_null(quoted(text_col)).alias(free_name(df, "__text"))
     )
     schema = T.StructType(
         [*read.schema[:-1], *(T.StructField(c, T.LongType()) for c in STATISTICS)]
@@ -138,9 +141,9 @@ def host_rates(judged: DataFrame, host_col: str, failed_col: str) -> DataFrame:
     m (1 - m) / v - 1, of which m fails.  Rows without a host are left out.
     """
     hosts = (
-        judged.where(F.col(f"`{host_col}`").isNotNull())
-        .groupBy(F.col(f"`{host_col}`").alias("host"))
-        .agg(F.count("*").alias("n"), F.count_if(F.col(failed_col)).alias("failures"))
+        judged.where(quoted(host_col).isNotNull())
+        .groupBy(quoted(host_col).alias("host"))
+        .agg(F.count("*").alias("n"), F.count_if(quoted(failed_col)).alias("failures"))
     )
     prior = hosts.agg(
         F.avg(F.expr("failures / n")).alias("m"), F.var_pop(F.expr("failures / n")).alias("v")
@@ -158,22 +161,26 @@ def host_rates(judged: DataFrame, host_col: str, failed_col: str) -> DataFrame:
 def judge_hosts(
     measured: DataFrame, host_col: str = "source", max_rate: float = MAX_RATE
 ) -> DataFrame:
-    """``measured`` (of :func:`rule_statistics`) with ``base_failed`` and ``kept``.
+    """``measured`` (of :func:`rule_statistics`) with ``base_failed`` and ``kept``, which replace
+    columns of these names; all others stay.
 
     A document is kept if it passes the rules and its host is not rejected; without a host
     (NULL) its rules alone decide.  An empty table stays empty.
     """
-    judged = stage(measured.withColumn("base_failed", base_failed()))
-    rejected = host_rates(judged, host_col, "base_failed").where(F.col("rate") > max_rate)
-    verdicts = rejected.select(
-        F.col("host").alias("__host"),
-        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__part"),
+    judged = stage(measured.drop("base_failed", "kept").withColumn("base_failed", base_failed()))
+    rates = stage(host_rates(judged, host_col, "base_failed"))
+    largest = rates.agg(F.max("n").alias("n")).first()["n"] or 0
+    salts = max(SALTS, -(-largest // SALT_ROWS))
+    host, part, salt = (free_name(judged, name) for name in ("rejected host", "part", "salt"))
+    verdicts = rates.where(F.col("rate") > max_rate).select(
+        F.col("host").alias(host),
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias(part),
     )
-    salt = F.pmod(F.xxhash64(*judged.columns, F.spark_partition_id()), F.lit(SALTS)).cast("int")
-    salted = judged.withColumn("__salt", salt)
-    same = (F.col(f"`{host_col}`") == F.col("__host")) & (F.col("__salt") == F.col("__part"))
+    row = F.xxhash64(*map(quoted, judged.columns), F.spark_partition_id())
+    salted = judged.withColumn(salt, F.pmod(row, F.lit(salts)).cast("int"))
+    same = (quoted(host_col) == quoted(host)) & (quoted(salt) == quoted(part))
     return (
         salted.join(verdicts, same, "left")
-        .withColumn("kept", ~F.col("base_failed") & F.col("__host").isNull())
-        .drop("__host", "__part", "__salt")
+        .withColumn("kept", ~F.col("base_failed") & quoted(host).isNull())
+        .drop(host, part, salt)
     )
