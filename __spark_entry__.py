@@ -5,7 +5,9 @@ Every query goes through the library's public API and reads whole tables.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
+from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,11 +15,11 @@ from pyspark.sql import functions as F
 import tidemark as tm
 from tidemark.sinks.staging import fresh_path
 
-try:  # the operators for training data are an optional part
+try:  # the operators for training data are an optional part, with libraries of their own
     import tidemark.llm.queries as training_data
 except ModuleNotFoundError as missing:
     if not (missing.name or "").startswith(("tidemark.llm", "corpus_pipeline")):
-        raise
+        warnings.warn(f"no queries for training data: {missing}", stacklevel=2)
     training_data = None
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -306,6 +308,16 @@ def key_check(spark, sf_dir):
     return tm.key_check(spark.read.parquet(_path(sf_dir, "lineitem")), LINE_KEYS)
 
 
+NUMBERED_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+
+
+def key_candidates(spark, sf_dir):
+    """The minimal keys of lineitem among its whole-number columns."""
+    lines = spark.read.parquet(_path(sf_dir, "lineitem"))
+    found = tm.key_candidates(lines, NUMBERED_COLUMNS, max_columns=4)
+    return found.select(F.array_join("key_columns", ",").alias("key_columns"))
+
+
 # --- row transforms ---------------------------------------------------------
 
 
@@ -438,6 +450,7 @@ def queries() -> dict[str, Query]:
         auto_increment,
         avg_row_size,
         key_check,
+        key_candidates,
         normalise_timestamps,
         dedup_keys,
         dedup_latest,
@@ -546,6 +559,12 @@ def _oracle_sql() -> dict[str, str]:
         ("l_linestatus", "string"),
         ("l_shipdate", "timestamp_ntz"),
     )
+    unique_sets = " UNION ALL ".join(
+        f"""SELECT {list(s)} AS s, count(*) > 0 AND count(DISTINCT ({", ".join(s)},)) = count(*)
+                   AND {" AND ".join(f"count({c}) = count(*)" for c in s)} AS is_key FROM lineitem"""
+        for size in range(1, 5)
+        for s in combinations(NUMBERED_COLUMNS, size)
+    )
     nulled_profile = profile(
         ("o_orderkey", "bigint", "19", "0", "true"),
         ("o_custkey", "bigint", "19", "0", "true"),
@@ -667,6 +686,12 @@ def _oracle_sql() -> dict[str, str]:
                                                    OR l_linenumber IS NULL) = 0 AS is_key
             FROM g
         """,
+        "key_candidates": f"""
+            WITH u AS ({unique_sets})
+            SELECT array_to_string(s, ',') AS key_columns FROM u
+            WHERE is_key AND NOT EXISTS (
+                SELECT 1 FROM u AS v WHERE v.is_key AND len(v.s) < len(u.s) AND list_has_all(u.s, v.s))
+        """,
         "normalise_timestamps": """
             SELECT event_id, TRY_CAST(CASE event_id % 4
                 WHEN 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S.%f')

@@ -279,3 +279,50 @@ def test_writer_gets_mode_and_properties():
         (MYSQL, "booking"),
         {"mode": "append", "properties": {"batchsize": "500"}},
     )
+
+
+def counting_queries(session):
+    return [entry["query"] for entry in session.log if "row_count" in entry.get("query", "")]
+
+
+@pytest.mark.parametrize("url", [MYSQL, OTHER])
+@pytest.mark.parametrize("column", ["k", "moment", "day"])
+@pytest.mark.parametrize("most", [1, 7, 100])
+def test_hot_strides_are_bisected(spark, url, column, most):
+    rows = spark.range(400).selectExpr(
+        "id * id * id AS k",
+        "timestamp_ntz'2020-01-01 00:00:00.5' + make_dt_interval(0, 0, 0, id * id * id * 0.01) AS moment",
+        "date_add(date'2020-01-01', CAST(id * id AS INT)) AS day",
+    )
+    rows.createOrReplaceTempView("skewed")
+    session = StandInSession(spark)
+    options = {"url": url, "partitionColumn": column, "loadType": "full", "numPartitions": 6, "maxPartitionRows": most}
+    loaded = tm.loader(session).options(**options).load("skewed")
+    assert loaded.df.count() == 400 and loaded.df.exceptAll(rows).count() == 0
+    predicates = session.log[-1]["predicates"]
+    counted = rows.agg(*[F.count_if(F.expr(spark_sql(p))) for p in predicates]).first()
+    assert sum(counted) == 400 and max(counted) <= most and loaded.strides.count == len(predicates) - 1
+    # one grouped count a level, and later ones ask about fewer rows
+    asked = counting_queries(session)
+    assert 1 <= len(asked) <= 40 and len(asked) < len(predicates)
+
+
+def test_bisected_strides_of_an_increment(spark):
+    spark.range(1000).selectExpr("CASE WHEN id % 3 = 0 THEN 500 ELSE id END AS k").createOrReplaceTempView("hot_key")
+    session = StandInSession(spark)
+    loaded = load(session, partitionColumn="k", offset="100", numPartitions=4, maxPartitionRows=50).load("hot_key")
+    want = spark.table("hot_key").where("k > 100")
+    assert loaded.df.exceptAll(want).count() == 0 and loaded.df.count() == want.count()
+    predicates = session.log[-1]["predicates"]
+    counted = list(want.agg(*[F.count_if(F.expr(spark_sql(p))) for p in predicates]).first())
+    hot = [n for n in counted if n > 50]
+    assert hot == [335] and any("`k` >= 500 AND `k` < 501" in p for p in predicates)
+    assert all("> 100" in q for q in counting_queries(session))
+
+
+def test_bisecting_a_table_of_one_value_or_none(spark):
+    spark.range(90).selectExpr("7 AS k", "CAST(NULL AS BIGINT) AS n").createOrReplaceTempView("flat")
+    for column, rows in (("k", 90), ("n", 90)):
+        session = StandInSession(spark)
+        options = {"partitionColumn": column, "loadType": "full", "maxPartitionRows": 5}
+        assert load(session, **options).load("flat").df.count() == rows

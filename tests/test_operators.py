@@ -319,3 +319,43 @@ def test_where_and_any_white_space(spark):
     rows = spark.range(10).withColumnRenamed("id", "k")
     for text in ("where\tk > 3", "WHERE\n k > 3", "k > 3"):
         assert tm.range_frame(rows, "k", text).first().min_value == 4
+
+
+def plain_keys(rows, names, most):
+    """Minimal keys by counting the values of every set of columns."""
+    from itertools import combinations
+
+    found = []
+    for size in range(1, most + 1):
+        for some in combinations(range(len(names)), size):
+            values = [tuple(r[i] for i in some) for r in rows]
+            whole = rows and len(set(values)) == len(rows) and all(None not in v for v in values)
+            if whole and not any(set(k) <= set(some) for k in found):
+                found.append(some)
+    return {tuple(names[i] for i in k) for k in found}
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_key_candidates_are_all_minimal_keys(spark, seed):
+    import random
+
+    rng = random.Random(seed)
+    n, names = 300, ["a", "b", "c", "d", "e.f", "__rows"]
+    widths = [rng.choice([2, 20, 40, 300, 5000, 10**6]) for _ in names]
+    rows = [tuple(rng.randrange(w) if rng.random() > 0.0005 * (w == 40) else None for w in widths) for _ in range(n)]
+    rows = [(*r[:5], i if seed % 2 else i % 150) for i, r in enumerate(rows)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{c}` bigint" for c in names))
+    found = {tuple(r.key_columns) for r in tm.key_candidates(df, max_columns=3).collect()}
+    assert found == plain_keys(rows, names, 3)
+
+
+def test_key_candidates_of_odd_tables(spark):
+    rows = spark.range(50).selectExpr("id AS k", "map(id, 1) AS m", "CAST(NULL AS INT) AS n", "array(id) AS l", "'x' AS s")
+    listed = {tuple(r.key_columns) for r in tm.key_candidates(rows).collect()}
+    assert listed == {("k",), ("l",)}
+    assert tm.key_candidates(rows, ["S", "K"], 1).collect()[0].key_columns == ["K"]
+    assert tm.key_candidates(rows.where("false")).collect() == []
+    assert tm.key_candidates(rows.select("m")).collect() == []
+    assert tm.key_candidates(rows.unionByName(rows)).collect() == []
+    with pytest.raises(tm.OptionError):
+        tm.key_candidates(rows, max_columns=0)

@@ -8,6 +8,7 @@ from tidemark.operators import (
     dedup_any,
     dedup_latest,
     field_profile,
+    key_candidates,
     key_check,
     provenance_rows,
     record_count,
@@ -57,6 +58,7 @@ __all__ = [
     "is_splittable",
     "jdbc_column_range",
     "jdbc_record_count",
+    "key_candidates",
     "key_check",
     "loader",
     "next_offset_frame",

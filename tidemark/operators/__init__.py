@@ -1,6 +1,7 @@
 """DataFrame operators."""
 
 from tidemark.operators.dedup import dedup_any, dedup_latest
+from tidemark.operators.keys import key_candidates
 from tidemark.operators.layout import stride_layout
 from tidemark.operators.profile import (
     auto_increments,
@@ -17,6 +18,7 @@ __all__ = [
     "dedup_any",
     "dedup_latest",
     "field_profile",
+    "key_candidates",
     "key_check",
     "provenance_rows",
     "record_count",

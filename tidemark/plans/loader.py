@@ -192,10 +192,10 @@ def _load(spark: SparkSession, spec: LoadSpec) -> LoadResult:
     details = _details(spark, spec)
     offset = spec.offset or None
     if spec.is_jdbc:
-        df, found, _ = open_jdbc(spark, spec)
+        df, found, plan = open_jdbc(spark, spec)
         df = with_provenance(df, details)
         df = stage(df, spec.tempdir) if spec.tempdir else df
-        return LoadResult(df, offset, lambda: found, spec.num_partitions)
+        return LoadResult(df, offset, lambda: found, spec.num_partitions, None, lambda *_: plan)
     # Footers come before the files are listed for the load: a file that arrives in
     # between is cut off by the range, where an older listing would miss it while the
     # next offset is already past it.

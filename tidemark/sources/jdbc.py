@@ -26,12 +26,21 @@ from tidemark.functions.types import (
 )
 from tidemark.operators.profile import first_as_count
 from tidemark.plans.ranges import ColumnRange, bare_condition, read_range
-from tidemark.plans.strides import StridePlan, plan_strides, salted_predicates, stride_predicates
+from tidemark.plans.strides import (
+    StridePlan,
+    plan_strides,
+    salted_predicates,
+    sql_literal,
+    stride_predicates,
+)
 from tidemark.sources.spec import LoadSpec
 
 # URL prefixes of MySQL and MariaDB.
 MYSQL_URLS = ("jdbc:mysql:", "jdbc:mariadb:")
 
+# Strides that one counting query tells apart.
+COUNTED_AT_ONCE = 500
+
 # Rows per network round trip unless the caller says otherwise: most drivers would
 # by default hold a whole stride in memory.
 FETCH_SIZE = "10000"
@@ -138,6 +147,56 @@ def load_predicates(
     return salted_predicates(predicates, quote_name(spec.url, salt.name), spec.salt_buckets)
 
 
+def bisected(
+    spark: SparkSession, spec: LoadSpec, field: T.StructField, where: str | None, plan: StridePlan
+) -> StridePlan:
+    """A plan of which every stride holds at most ``spec.max_partition_rows`` rows.
+
+    The database counts the rows of all strides in one grouped query.  Strides that hold more are
+    halved and their halves counted by the next one, until none holds more or what is left is one
+    value, which no range can part (``saltColumn`` can).  A level asks only about the strides halved last,
+    and bounds the rows it reads by them.
+    """
+    name = quote_name(spec.url, field.name)
+
+    def literal(position: int) -> str:
+        return sql_literal(position, field.dataType, is_mysql(spec.url))
+
+    def condition(start: int, stop: int, closed: bool) -> str:
+        return f"{name} >= {literal(start)} AND {name} {'<=' if closed else '<'} {literal(stop)}"
+
+    def counts(strides: list[tuple[int, int, bool]]) -> dict[int, int]:
+        cases = " ".join(f"WHEN {condition(*s)} THEN {i}" for i, s in enumerate(strides))
+        within = condition(strides[0][0], *strides[-1][1:])
+        if where:
+            within = f"({bare_condition(where)}) AND {within}"
+        numbered = f"SELECT CASE {cases} END AS stride_number FROM {spec.table} WHERE {within}"
+        query = f"SELECT stride_number, COUNT(*) AS row_count FROM ({numbered}) counted GROUP BY stride_number"
+        found = _reader(spark, spec.url, spec.reader_options).option("query", query).load()
+        asked = found.where("stride_number IS NOT NULL").collect()  # COUNTED_AT_ONCE rows at most
+        return {int(r["stride_number"]): int(r["row_count"]) for r in asked}
+
+    settled: list[int] = []
+    bounds = plan.bounds()
+    open_ = [(start, stop, i == len(bounds) - 1) for i, (start, stop) in enumerate(bounds)]
+    while open_:
+        halves: list[tuple[int, int, bool]] = []
+        for at in range(0, len(open_), COUNTED_AT_ONCE):
+            some = open_[at : at + COUNTED_AT_ONCE]
+            held = counts(some)
+            for i, (start, stop, closed) in enumerate(some):
+                middle = (start + stop + 1) // 2
+                # the last stride is closed, so its top may be parted off as well
+                parts = start < middle and (middle < stop or closed)
+                if held.get(i, 0) <= spec.max_partition_rows or not parts:
+                    settled.append(start)
+                else:
+                    halves += [(start, middle, False), (middle, stop, closed)]
+        open_ = halves
+    starts = tuple(sorted(settled))
+    return StridePlan(plan.column, plan.dtype, plan.low, plan.high, 0, len(starts), starts)
+
+
 def read_properties(spec: LoadSpec) -> dict[str, str]:
     """Spark's JDBC properties: the caller's own, and a fetch size if there is none."""
     given = dict(spec.reader_options)
@@ -165,6 +224,8 @@ def open_jdbc(
         where = f"{quote_name(spec.url, field.name)} > {past}"
     found = _range(spark, spec.url, spec.table, field, where, spec.reader_options)
     plan = plan_strides(found, spec.num_partitions)
+    if spec.max_partition_rows and plan is not None:
+        plan = bisected(spark, spec, field, where, plan)
     predicates = load_predicates(spec, field, salt, plan)
     frame = spark.read.jdbc(spec.url, spec.table, predicates=predicates, properties=properties)
     return frame, found, plan
