@@ -118,11 +118,15 @@ def rule_statistics(df: DataFrame, keep: Sequence[str], text_col: str = "text")
                     names=[*keep, *STATISTICS],
                 )
 
+    # Spark passes columns to ``mapInArrow`` by names without dots
     read = df.select(
-        *map(quoted, keep), empty_if_null(quoted(text_col)).alias(free_name(df, "__text"))
+        *(quoted(c).alias(f"c{i}") for i, c in enumerate(keep)), empty_if_null(quoted(text_col)).alias("text")
     )
     schema = T.StructType(
-        [*read.schema[:-1], *(T.StructField(c, T.LongType()) for c in STATISTICS)]
+        [
+            *(T.StructField(c, f.dataType) for c, f in zip(keep, read.schema)),
+            *(T.StructField(c, T.LongType()) for c in STATISTICS),
+        ]
     )
     return read.mapInArrow(run, schema)
 
