@@ -117,6 +117,35 @@ def offset_outlives_files(spark, sf_dir):
     return rows.unionByName(_incremental(spark, "ts", first.next_offset).load(path).df)
 
 
+def merged_target(spark, sf_dir):
+    """Two loads merged into one target: the newest line of each order over both."""
+    lines, folder = spark.read.parquet(_path(sf_dir, "lineitem")), fresh_path(spark)
+    horizon = F.lit("1995-06-17 00:00:00").cast("timestamp_ntz")
+    at_first = lines.where(F.col("l_shipdate").isNull() | (F.col("l_shipdate") <= horizon))
+    offset = _full(spark, "l_shipdate").merge_into(folder, ["l_orderkey"], at_first)
+    _incremental(spark, "l_shipdate", offset).merge_into(folder, ["l_orderkey"], lines)
+    return tm.MergeTarget(spark, folder, ["l_orderkey"], "l_shipdate").read()
+
+
+def late_rows(spark, sf_dir):
+    """Three runs over a table of which every tenth row is committed a run too late, so that some of
+    them lie below the first offset."""
+    events, folder = spark.read.parquet(_path(sf_dir, "events")), fresh_path(spark)
+    found = []
+    for until, late_until in [
+        ("2024-01-15 00:00:00", "2024-01-01 00:00:00"),
+        ("2024-01-20 06:00:00", "2024-01-15 00:00:00"),
+        ("2100-01-01 00:00:00", "2100-01-01 00:00:00"),
+    ]:
+        horizon = F.when(F.col("event_id") % 10 == 0, late_until).otherwise(until)
+        there = events.where(F.col("ts") <= horizon.cast("timestamp_ntz"))
+        load = _incremental(spark, "ts", "2024-01-10 00:00:00")
+        run = load.load_late(["event_id"], folder, 30 * 86_400, there)
+        found.append(run.df)
+        run.confirm()
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 def incr_timestamp(spark, sf_dir):
     return _incremental(spark, "ts", "2024-01-10 00:00:00").load(_path(sf_dir, "events")).df
 
@@ -426,6 +455,8 @@ def queries() -> dict[str, Query]:
         incr_timestamp_footers,
         incr_zone_map,
         offset_outlives_files,
+        merged_target,
+        late_rows,
         incr_timestamp,
         incr_timestamp_t,
         incr_date,
@@ -475,6 +506,9 @@ LATEST_LINE = """
             l_tax DESC NULLS LAST, l_returnflag DESC NULLS LAST,
             l_linestatus DESC NULLS LAST) = 1
 """
+LATEST_OF_ORDER = LATEST_LINE.replace("l_orderkey, l_linenumber", "l_orderkey").replace(
+    "l_quantity DESC", "l_linenumber DESC NULLS LAST, l_quantity DESC"
+)
 
 
 def _number_strides(rows: str, n: int) -> str:
@@ -597,6 +631,11 @@ def _oracle_sql() -> dict[str, str]:
         "incr_timestamp_footers": past_events,
         "incr_zone_map": past_events,
         "offset_outlives_files": past_events,
+        "merged_target": f"SELECT * FROM lineitem {LATEST_OF_ORDER}",
+        "late_rows": """
+            SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-10 00:00:00'
+                OR (event_id % 10 = 0 AND ts > TIMESTAMP '2024-01-01 00:00:00')
+        """,
         "incr_timestamp": past_events,
         "incr_timestamp_t": "SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-15 12:00:00'",
         "incr_date": """

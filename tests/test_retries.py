@@ -52,6 +52,12 @@ def run(folder: str) -> None:
     assert same_rows(tm.dedup_latest(lossy, ["key"], "k"), tm.dedup_latest(sound, ["key"], "k"))
     assert same_rows(tm.stage(lossy, folder), sound)
     assert tm.key_check(lossy, ["id"]).first().is_key
+    target = tm.MergeTarget(spark, f"{folder}/target", ["key"], "k")
+    target.merge(sound.where("id < 900"))
+    target.merge(lossy)
+    assert same_rows(target.read(), tm.dedup_latest(sound, ["key"], "k"))
+    late = load.load_late(["id"], f"{folder}/delivered", 3, lossy)
+    assert same_rows(late.df, past) and late.confirm() == "1999"
     spark.stop()
 
 

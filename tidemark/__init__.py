@@ -15,7 +15,9 @@ from tidemark.operators import (
     stride_layout,
     with_provenance,
 )
+from tidemark.plans.late import LateLoad
 from tidemark.plans.loader import Loader, LoadResult, loader
+from tidemark.plans.merge import MergeTarget
 from tidemark.plans.ranges import (
     ColumnRange,
     column_range,
@@ -39,9 +41,11 @@ from tidemark.sources.jdbc import jdbc_column_range, jdbc_record_count
 
 __all__ = [
     "ColumnRange",
+    "LateLoad",
     "LoadError",
     "LoadResult",
     "Loader",
+    "MergeTarget",
     "OptionError",
     "StridePlan",
     "ZoneMap",

@@ -11,6 +11,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from dataclasses import replace
 from functools import cached_property
 from typing import Any
 
@@ -31,6 +32,8 @@ from tidemark.functions.types import (
 from tidemark.operators.dedup import dedup_any, dedup_latest
 from tidemark.operators.layout import lay_out
 from tidemark.operators.provenance import PROVENANCE_KEYS, with_provenance
+from tidemark.plans.late import DeliveredRows, LateLoad
+from tidemark.plans.merge import MergeTarget
 from tidemark.plans.ranges import (
     FOOTER_TYPES,
     ColumnRange,
@@ -41,11 +44,11 @@ from tidemark.plans.ranges import (
 from tidemark.plans.strides import StridePlan, plan_balanced, plan_strides
 from tidemark.plans.zones import ZoneMap
 from tidemark.sinks.files import write_files
-from tidemark.sinks.staging import stage
+from tidemark.sinks.staging import shared_dir, stage
 from tidemark.sources.footers import FILE_TYPES, facts_range, file_facts
 from tidemark.sources.frames import is_catalog_table, open_frame
 from tidemark.sources.jdbc import open_jdbc
-from tidemark.sources.spec import STRIDE, LoadSpec
+from tidemark.sources.spec import FULL, INCREMENTAL, STRIDE, LoadSpec
 
 
 class LoadResult:
@@ -171,6 +174,56 @@ class Loader:
         check_years(top, splittable_field(rows, spec.partition_column).dataType)
         return top or spec.offset or None
 
+    def merge_into(
+        self, folder: str, primary_keys: Sequence[str], source: str | DataFrame | None = None
+    ) -> str | None:
+        """Load, merge the newest row of each key into a :class:`MergeTarget`, and return the next offset.
+
+        The target keeps the offset with the version, so a run that is killed is made again from
+        ``MergeTarget.next_offset()``; rows that are merged twice change nothing.
+        """
+        spec = LoadSpec.of(self._options, source)
+        if not spec.partition_column:
+            raise OptionError("a merge needs a partitionColumn")
+        loaded = self._load(spec)
+        target = MergeTarget(self._spark, folder, primary_keys, spec.partition_column)
+        with _load_errors(spec):
+            target.merge(loaded.df, loaded.next_offset)
+        return loaded.next_offset
+
+    def load_late(
+        self,
+        primary_keys: Sequence[str],
+        delivered: str,
+        overlap: int,
+        source: str | DataFrame | None = None,
+    ) -> LateLoad:
+        """Load the rows past the offset, and those that were committed late, up to ``overlap`` below it.
+
+        ``delivered`` is a folder of this chain of runs alone; it keeps what was delivered, and the
+        offset: the option ``offset`` starts the first run, later ones go on from the folder.
+        ``overlap`` is in units of the column: numbers, days of a date, seconds of a timestamp.  See
+        :class:`LateLoad`.  For sources that Spark reads itself.
+        """
+        spec = LoadSpec.of(self._options, source)
+        if spec.is_jdbc or not spec.partition_column:
+            raise OptionError("late rows need a partitionColumn and a source that Spark reads itself")
+        if overlap < 0:
+            raise OptionError(f"overlap must not be negative, not {overlap}")
+        with _load_errors(spec):
+            field = splittable_field(open_frame(self._spark, spec), spec.partition_column)
+            chain = DeliveredRows(self._spark, delivered, primary_keys, field, overlap)
+            offset = chain.next_offset() or in_zone(spec.offset, spec.offset_zone, field.dataType) or None
+            below = chain.below(offset) if offset else None
+            wanted = replace(
+                spec,
+                load_type=INCREMENTAL if offset else FULL,
+                offset=below or "",
+                tempdir=spec.tempdir or shared_dir(self._spark),
+                late_range=True,
+            )
+            return chain.load(_load(self._spark, wanted).df, offset)
+
     def _load(self, spec: LoadSpec) -> LoadResult:
         with _load_errors(spec):
             return _load(self._spark, spec)

@@ -59,7 +59,7 @@ def facts_of(spark: SparkSession, path: str, column: str, files: DataFrame) -> D
         return told
     c = quoted(field.name)
     place = axis(c, field.dataType).cast("bigint")
-    scanned = open_files(spark, path, names).groupBy(_file_of_row().alias("file")).agg(
+    scanned = open_files(spark, path, names).groupBy(listed_name(F.col("_metadata.file_path")).alias("file")).agg(
         F.count("*").alias("row_count"),
         (F.count("*") - F.count(c)).alias("null_count"),
         F.min(place).alias("low"),
@@ -87,9 +87,9 @@ def open_files(spark: SparkSession, path: str, names: Sequence[str]) -> DataFram
     return reader.parquet(*names)
 
 
-def _file_of_row() -> Column:
-    """The file of a row by the name that :func:`list_files` gives it."""
-    encoded = F.regexp_replace(F.col("_metadata.file_path"), "\\+", "%2B")
+def listed_name(path: Column) -> Column:
+    """A ``_metadata.file_path`` as the name that :func:`list_files` gives the file."""
+    encoded = F.regexp_replace(path, "\\+", "%2B")
     return F.regexp_replace(F.url_decode(encoded), "^([A-Za-z][A-Za-z0-9+.-]*):///(?!/)", "$1:/")
 
 
