@@ -35,7 +35,15 @@ from tidemark.plans.strides import (
     stride_summary,
 )
 from tidemark.plans.zones import ZoneMap
-from tidemark.sinks import stage, stage_query, stage_table, write_files, write_jdbc
+from tidemark.sinks import (
+    hold_staged,
+    stage,
+    stage_query,
+    stage_table,
+    sweep_staged,
+    write_files,
+    write_jdbc,
+)
 from tidemark.sources.footers import file_facts
 from tidemark.sources.jdbc import jdbc_column_range, jdbc_record_count
 
@@ -59,6 +67,7 @@ __all__ = [
     "file_facts",
     "footer_frame",
     "footer_range",
+    "hold_staged",
     "is_splittable",
     "jdbc_column_range",
     "jdbc_record_count",
@@ -79,6 +88,7 @@ __all__ = [
     "stride_layout",
     "stride_predicates",
     "stride_summary",
+    "sweep_staged",
     "with_provenance",
     "write_files",
     "write_jdbc",

@@ -70,13 +70,15 @@ class MergeTarget:
         rows = stage(dedup_latest(rows, keys, self._order))
         first_key = _type_of(rows, keys[0])
         run = uuid.uuid4().hex
-        merged, taken = rows, None
-        if last is not None:
-            taken = stage(self._matched(rows, keys, first_key))
-            merged = self._open(taken, rows.schema).unionByName(rows)
         # Each key has two rows at most, so ranges of keys are even, and one shuffle serves the newest row
         # of a key as well as files that hold neighbouring keys.
-        merged = dedup_latest(merged.repartitionByRange(*[quoted(k) for k in keys]), keys, self._order)
+        in_order = [quoted(k) for k in keys]
+        if last is None:
+            merged, taken = rows.repartitionByRange(*in_order), None
+        else:
+            taken = stage(self._matched(rows, keys, first_key))
+            both = self._open(taken, rows.schema).unionByName(rows).repartitionByRange(*in_order)
+            merged = dedup_latest(both, keys, self._order)
         merged.write.parquet(f"{self._folder}/files/{run}")
         self._write_changes(run, rows.schema, keys[0], taken)
         version = last.version + 1 if last else 1
