@@ -88,6 +88,15 @@ def test_byte_bpe_is_tiktoken(documents):
     for t in texts:
         ids = coder.encode(t)
         assert ids == library.encode_ordinary(t) and coder.decode(ids) == t.encode()
+    # every character after a letter, a digit, a mark and a space, and before each of them
+    points = [c for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    for start in range(0, len(points), 512):
+        t = "".join(f"{a}{chr(c)}{b}" for c in points[start : start + 512] for a, b in ("k7", "7.", ". ", " k"))
+        assert coder.encode(t) == library.encode_ordinary(t)
+    rng = random.Random(3)
+    for _ in range(3000):
+        t = "".join(rng.choice("a7.' s") if rng.random() < 0.5 else chr(rng.choice(points)) for _ in range(12))
+        assert coder.encode(t) == library.encode_ordinary(t)
 
 
 def test_chunks_encode_as_whole_texts(documents):

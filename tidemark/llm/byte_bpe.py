@@ -5,13 +5,18 @@ become characters, one for each byte, its score is the negative rank, and the no
 the identity.  sentencepiece then merges the pair of the best score, the leftmost on ties,
 which is the rule of the rank file.  Pre-tokens are cut by the pattern and encoded one by
 one; ids are decoded by the inverse mapping.
+
+The pattern's letters and digits are those of tiktoken.  The ``regex`` package knows newer ones: where it takes
+a character for another class, the pattern sees a stand-in of tiktoken's class.
 """
 
 from __future__ import annotations
 
 import base64
 import struct
+import sys
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +48,34 @@ def as_characters(token: bytes) -> str:
     return token.decode("latin-1").translate(_TO_CHARACTER)
 
 
+@cache
+def classed_otherwise() -> dict[int, str]:
+    """Code points that tiktoken puts into another class than ``regex``, with a stand-in of tiktoken's class:
+    a letter, a digit or a mark that is neither.
+
+    Found by encoding every character with single bytes as tokens and a class as pattern, since
+    tiktoken passes over what a pattern does not match.
+    """
+    import tiktoken
+
+    single = {bytes([b]): b for b in range(256)}
+    every = "".join(chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000)
+    theirs, ours = {}, {}
+    for stand_in, pattern in (("x", r"\p{L}"), ("0", r"\p{N}")):
+        probe = tiktoken.Encoding("probe", pat_str=pattern, mergeable_ranks=single, special_tokens={})
+        held = bytes(probe.encode_ordinary(every)).decode()
+        theirs |= dict.fromkeys(map(ord, held), stand_in)
+        ours |= dict.fromkeys(map(ord, regex.findall(pattern, every)), stand_in)
+    return {c: theirs.get(c, "!") for c in theirs.keys() | ours.keys() if theirs.get(c) != ours.get(c)}
+
+
+@cache
+def _is_classed_otherwise() -> np.ndarray:
+    marked = np.zeros(sys.maxunicode + 1, bool)
+    marked[list(classed_otherwise())] = True
+    return marked
+
+
 def _varint(n: int) -> bytes:
     out = bytearray()
     while n > 0x7F:
@@ -91,9 +124,18 @@ class Encoder:
         )
         self.known: dict[str, bytes] = {}
 
+    def cut(self, text: str) -> list[str]:
+        """The pre-tokens of a text, as tiktoken finds them."""
+        if not text.isascii():
+            points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+            if _is_classed_otherwise()[points].any():
+                seen = text.translate(classed_otherwise())
+                return [text[slice(*m.span())] for m in self.pattern.finditer(seen)]
+        return self.pattern.findall(text)
+
     def encode_bytes(self, text: str) -> bytes:
         """The ids of a text as 32-bit integers, end to end."""
-        found = self.pattern.findall(text)
+        found = self.cut(text)
         missing = [t for t in set(found) if t not in self.known]
         if missing:
             if len(self.known) + len(missing) > CACHE_ENTRIES:
