@@ -42,6 +42,8 @@ class LateLoad:
     value of the ordered column, so a changed row with a newer value is a new row; NULL keys are equal to
     each other.  Copies in one run are all delivered, copies that come in a later run are not.
     Call :meth:`confirm` once the rows are used: a run that is not confirmed is delivered again.
+    A full start delivers rows without a value of the column too; increments never do.  A full start that
+    finds no value at all has no offset to record, and the next run starts in full again.
     """
 
     def __init__(self, df: DataFrame, next_offset: str | None, chain: DeliveredRows, store: DataFrame):
