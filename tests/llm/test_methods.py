@@ -409,6 +409,54 @@ def test_templates_reach_the_end_of_deep_paths(spark):
     assert found[122].template == "/*" * 40 and len(found) == len(rows)
 
 
+def test_templates_merge_alike_siblings(spark):
+    rows = [(f"http://h.com/{s}/item{i}", int(s in ("shop", "sale"))) for s in ("shop", "sale", "blog") for i in range(60)]
+    pages = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, label int")
+    found = url_filter.judge_urls(pages, [], label_col="label").collect()
+    assert {(r.path.split("/")[1], r.template, r.verdict) for r in found} == {
+        ("shop", "/{sale+1}/*", "block"), ("sale", "/{sale+1}/*", "block"), ("blog", "/blog/*", "allow")
+    }
+
+
+def test_deep_paths_take_no_more_jobs(spark):
+    def jobs(depth):
+        rows = [(i, f"http://h.com/{'s/' * depth}x{i}", i % 2) for i in range(10)]
+        pages = spark.createDataFrame(rows, "page_id long, url string, label int")
+        spark.sparkContext.setJobGroup(f"depth {depth}", "")
+        assert url_filter.judge_urls(pages, [], label_col="label").count() == 10
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"depth {depth}"))
+
+    try:
+        assert abs(jobs(3) - jobs(300)) <= 2  # adaptive execution may merge a job
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_rules_of_a_table_are_those_of_an_expression(spark):
+    rng = random.Random(3)
+    hosts = ["", "org", "a.org", "b.a.org", "aorg", "x..org", "a.org.", "com", "A.Com"]
+    paths = ["", "/", "/a", "/ab/", "/ab/c", "//", "/é/x"]
+    rules = [(rng.choice(["allow", "block"]), rng.choice(hosts).lower() + rng.choice(paths)) for _ in range(40)]
+    urls = [f"s://{h}{p}{q}" for h in hosts for p in paths for q in ("", "c", "?ab")] + [None, "ab"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    table = spark.createDataFrame(rules, "verdict string, rule string")
+    many = rules + [("block", f"nowhere{i}.net/") for i in range(url_filter.RULES_IN_QUERY)]
+    expected = sorted(map(str, url_filter.judge_urls(pages, rules).collect()))
+    assert sorted(map(str, url_filter.judge_urls(pages, table).collect())) == expected
+    assert sorted(map(str, url_filter.judge_urls(pages, many).collect())) == expected
+
+
+def test_hot_keys_are_joined_like_others(spark, monkeypatch):
+    rows = [(f"http://h.com/shop/item{i}", 1) for i in range(40)] + [(f"http://h.com/blog/post{i}", 0) for i in range(40)]
+    rows += [("http://h.com/", None)] * 40 + [(f"http://g{i}.com/x", i % 2) for i in range(30)]
+    pages = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, label int")
+    found = []
+    for hot in (1, 5, 10_000):  # no key is hot, some are, all are
+        monkeypatch.setattr(url_filter, "HOT", hot)
+        found.append(sorted(map(str, url_filter.judge_urls(pages, [], label_col="label").collect())))
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(rows)
+
+
 def test_chat_masks_and_escapes():
     rng = random.Random(9)
     pieces = ["<", "|", "\\", "<|im_end|>", "<|im_start|>", "assistant\n", " ", "\n", "é", "🙂", "ab"]

@@ -187,6 +187,80 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(x) AS text_sha256
             FROM t JOIN g USING (x)
         """,
+        "op3_url_filter": r"""
+            WITH u AS (
+                SELECT page_id,
+                       coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+                       coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+                FROM pages),
+            r(verdict, rule, rule_host, rest) AS (VALUES
+                ('allow', 'org/', 'org', '/'), ('block', 'example.org/es/', 'example.org', '/es/'),
+                ('block', 'example.org/en/1', 'example.org', '/en/1'), ('allow', 'com/fr/', 'com', '/fr/'),
+                ('block', 'com/de/', 'com', '/de/')),
+            d AS (SELECT host, path, count(*) AS pages FROM u GROUP BY ALL),
+            f AS (
+                SELECT host, path, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+                FROM d JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host))
+                             AND starts_with(path, rest)
+                GROUP BY ALL),
+            p AS MATERIALIZED (
+                SELECT host, path, pages, rule, verdict, string_split(trim(path, '/'), '/') AS segments,
+                       CASE WHEN verdict IS NULL THEN 0 ELSE pages END AS labelled,
+                       CASE WHEN verdict = 'block' THEN pages ELSE 0 END AS blocked
+                FROM d LEFT JOIN f USING (host, path)),
+            s AS (
+                SELECT host, path, pages, labelled, blocked, unnest(segments) AS segment,
+                       unnest(range(len(segments))) AS level
+                FROM p),
+            common AS (
+                SELECT host, level, segment FROM s WHERE NOT regexp_matches(segment, '[0-9]')
+                GROUP BY ALL HAVING sum(pages) >= 3),
+            g AS MATERIALIZED (
+                SELECT s.* REPLACE (CASE WHEN c.host IS NULL THEN '*' ELSE segment END AS segment)
+                FROM s LEFT JOIN common c USING (host, level, segment)),
+            x AS MATERIALIZED (
+                SELECT *, '/' || string_agg(segment, '/') OVER upto AS branch,
+                       coalesce('/' || string_agg(segment, '/') OVER before, '') AS node
+                FROM g
+                WINDOW upto AS (PARTITION BY host, path ORDER BY level),
+                       before AS (PARTITION BY host, path ORDER BY level
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+            n AS MATERIALIZED (
+                SELECT host, branch, node, segment, sum(pages) AS pages,
+                       CAST(sum(labelled) AS DOUBLE) AS l, CAST(sum(blocked) AS DOUBLE) AS b
+                FROM x GROUP BY ALL
+                UNION ALL
+                SELECT host, '', NULL, NULL, sum(pages), sum(labelled), sum(blocked) FROM p GROUP BY host),
+            a AS MATERIALIZED (
+                SELECT c.host, c.branch, c.node, c.segment, floor(8 * ((c.b + 1) / (c.l + 2))) AS step
+                FROM (SELECT host, branch AS node, (b + 1) / (l + 2) AS share FROM n WHERE b > 0 AND b < l) m
+                JOIN n c USING (host, node)
+                WHERE c.segment <> '*' AND c.pages >= 3
+                  AND abs(c.b - c.l * share) > 1.64::DOUBLE * sqrt(c.l * share * (1 - share))),
+            named AS (
+                SELECT a.host, a.branch, CASE WHEN k = 1 THEN least_one
+                       ELSE '{' || least_one || '+' || (k - 1) || '}' END AS name
+                FROM a JOIN (SELECT host, node, step, min(segment) AS least_one, count(*) AS k
+                             FROM a GROUP BY ALL) USING (host, node, step)),
+            t AS MATERIALIZED (
+                SELECT host, path, '/' || string_agg(coalesce(name, '*'), '/' ORDER BY level) AS template
+                FROM x LEFT JOIN named USING (host, branch) GROUP BY host, path),
+            q AS (
+                SELECT host, template, CAST(sum(labelled) AS DOUBLE) AS l, CAST(sum(blocked) AS DOUBLE) AS b
+                FROM t JOIN p USING (host, path) GROUP BY ALL),
+            h AS (SELECT host, sum(l) AS host_l, sum(b) AS host_b FROM q GROUP BY host),
+            o AS (SELECT (sum(host_b) + 1) / (sum(host_l) + 2) AS share FROM h),
+            v AS (
+                SELECT host, template,
+                       (b + 5::DOUBLE * ((host_b + 5::DOUBLE * share) / (host_l + 5::DOUBLE))) / (l + 5::DOUBLE)
+                           AS purity
+                FROM q JOIN h USING (host), o)
+            SELECT page_id, host, path, rule,
+                   coalesce(verdict, CASE WHEN purity > 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
+                   template, purity
+            FROM u JOIN p USING (host, path) JOIN t USING (host, path) JOIN v USING (host, template)
+        """,
         "op9_chat": r"""
             WITH c AS (
                 SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
