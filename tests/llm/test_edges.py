@@ -178,6 +178,8 @@ def test_chat(spark):
     assert found[None].learned == "x" * 300_000 and found[2].learned == ""
     assert chat.parse(found[3].formatted) == [("a\nb\\<|", "<|im_end|>\\<\\|")]
     assert chat.format_conversations(turns.where("false"), BYTES).count() == 0
+    alone = chat.format_conversations(turns.withColumn("conv_id", F.lit(None).cast("long")), BYTES).collect()
+    assert [(r.conv_id, r.n_turns) for r in alone] == [(None, 1)] * len(rows)
 
 
 def test_pipeline_stages(spark, documents, labels, tmp_path):

@@ -170,8 +170,9 @@ def format_conversations(
     """FORMATTED: the text of each conversation, its ids, its loss mask and the learned text.
 
     Turns are in the order of ``turn_col`` (NULL first), ties by role and text; NULL roles and texts
-    are empty; rows with a NULL conversation are one conversation.  Repeated rows are turns of
-    their own.  Other columns are not read; an empty table gives no rows.
+    are empty; a row with a NULL conversation is a conversation of its own, formatted where it
+    lies.  Repeated rows are turns of their own.  Very long conversations are encoded whole, a
+    block of turns at a time.  Other columns are not read; an empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,7 +181,7 @@ def format_conversations(
         open_: Formatter | None = None
         for batch in batches:
             for conv_id, role, text in zip(*(c.to_pylist() for c in batch.columns)):
-                if open_ is None or conv_id != current:
+                if open_ is None or conv_id is None or conv_id != current:
                     if open_ is not None:
                         rows.append(open_.finish(current))
                         size += len(rows[-1][2])
@@ -200,11 +201,15 @@ def format_conversations(
         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
     )
     n = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        read.repartition(n, "conv_id")
+    together = (
+        read.where("conv_id IS NOT NULL")
+        .repartition(n, "conv_id")
         .sortWithinPartitions("conv_id", "turn", "role", "text")
-        .select("conv_id", "role", "text")
-        .mapInArrow(run, FORMATTED)
+    )
+    alone = read.where("conv_id IS NULL")  # a third of all rows may be; they need no shuffle
+    columns = "conv_id", "role", "text"
+    return together.select(*columns).mapInArrow(run, FORMATTED).unionByName(
+        alone.select(*columns).mapInArrow(run, FORMATTED)
     )
 
 
