@@ -21,9 +21,10 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm import byte_bpe, chat, exact_dedup, minhash, packing, ppm, text, url_filter
+from tidemark.llm import byte_bpe, chat, exact_dedup, minhash, packing, ppm, quality_fm, text, toxicity, url_filter
 from tidemark.llm import queries as part
 from tidemark.llm.components import components
+from tidemark.llm.features import hashed_words, structure
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -315,21 +316,40 @@ def test_minhash_finds_every_link_of_a_hot_group(spark):
         assert found[i].kept == (root(i) == i)
 
 
-def test_block_products_are_set_similarities():
+@pytest.mark.parametrize("first", [None, 1, 35, 79])
+def test_forest_of_blocks_joins_what_all_links_join(monkeypatch, first):
+    monkeypatch.setattr(minhash, "STRIP", 7)
+    monkeypatch.setattr(minhash, "COLUMNS", 5)
     rng = np.random.default_rng(2)
     base = np.arange(60, dtype=np.uint64)
     sets = [
         np.unique(np.concatenate([rng.permutation(base)[:n], rng.integers(60, 90, 60 - n).astype(np.uint64)]))
         for n in rng.integers(48, 60, 80)
     ]
-    labels = rng.integers(0, 20, 80)
+    labels = rng.integers(0, 70, 80)
+
+    def joined(links):
+        root = list(range(80))
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        same = [(i, j) for i in range(80) for j in range(i) if labels[i] == labels[j]]
+        for i, j in [*links, *same]:
+            root[max(find(i), find(j))] = min(find(i), find(j))
+        return [find(i) for i in range(80)]
+
     want = {
         (i, j)
         for i in range(80)
         for j in range(i + 1, 80)
-        if labels[i] != labels[j] and minhash.similar(sets[i], sets[j], 80)
+        if minhash.similar(sets[i], sets[j], 80) and (first is None or i < first <= j)
     }
-    assert want and set(minhash.similar_in_block(sets, labels, 80)) == want
+    found = minhash.forest_of_blocks(sets, labels, 80, first)
+    assert want and {tuple(sorted(p)) for p in found} <= want and len(found) < 80
+    assert joined(found) == joined(want)
 
 
 def test_many_short_texts_in_one_bucket(spark, monkeypatch):
@@ -350,7 +370,7 @@ def test_many_short_texts_in_one_bucket(spark, monkeypatch):
     assert len(alike) == 1999
 
     monkeypatch.setattr(minhash, "MEMBERS", 500)
-    nodes = [(i, minhash._packed(s << np.uint64(4))) for i, s in enumerate(sets)]
+    nodes = [(i, minhash._packed(s)) for i, s in enumerate(sets)]
     held = spark.createDataFrame(nodes, "node long, held binary")
     labels = spark.createDataFrame([], "node long, label long")
     members = held.selectExpr("7L AS key", "node")
@@ -511,6 +531,102 @@ def test_classifiers_on_held_out_labels(spark, sf_dir, query, label, fewest, mos
     assert sum(ones) >= fewest * len(ones) and sum(zeros) <= most * len(zeros)
 
 
+def test_factorisation_machine_is_the_sum_over_pairs():
+    rng = np.random.default_rng(5)
+    size = quality_fm.BUCKETS + 11
+    machine = quality_fm.Machine(
+        0.3, rng.normal(size=size), rng.normal(size=(size, quality_fm.RANK)), np.zeros(11), np.ones(11)
+    )
+    for n in (0, 1, 2, 40):
+        place = rng.choice(size, n, replace=False)
+        value = rng.normal(size=n)
+        pairs = sum(
+            machine.factors[place[i]] @ machine.factors[place[j]] * value[i] * value[j]
+            for i in range(n)
+            for j in range(i)
+        )
+        want = 0.3 + sum(machine.linear[p] * v for p, v in zip(place, value)) + pairs
+        assert math.isclose(machine.raw(place, value)[0], want, rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_quality_scores_are_those_of_one_text(spark):
+    """Scores of a fitted machine over a table, against pair sums text by text."""
+    good = [f"the house of number {i} has a red door and a small garden" for i in range(60)]
+    bad = [f"buy now $$$ {i} ### click <here> $$$ win" for i in range(60)]
+    texts = pa.array(sorted(good + bad))
+    labels = np.array([float(t.startswith("the")) for t in texts.to_pylist()])
+    machine = quality_fm.fit(texts, np.array([len(t) for t in texts.to_pylist()]), labels)
+    rows = spark.createDataFrame(list(enumerate([*texts.to_pylist(), "", None])), "doc_id long, text string")
+    for r in quality_fm.score(rows, machine.dumps()).collect():
+        own = pa.array([r.text or ""])
+        ((place, count),) = hashed_words(own, quality_fm.BUCKETS)
+        stated = np.array([len(r.text or "")])
+        dense = np.column_stack([structure(own, np.array([len(place)])), np.log1p(stated)])[0]
+        at, value = machine.inputs(place, count, dense)
+        v = machine.factors[at] * value[:, None]
+        raw = machine.bias + machine.linear[at] @ value + np.triu(v @ v.T, 1).sum()
+        assert math.isclose(r.score, 1 / (1 + math.exp(-raw)), rel_tol=1e-6, abs_tol=1e-9)
+        if r.text:
+            assert (r.score > 0.5) == r.text.startswith("the")
+
+
+def _cumulative_loss(rows, grades, top, weights, thresholds):
+    """The mean log loss of all thresholds and the penalty, summed term by term."""
+    total = 0.0
+    for places, grade in zip(rows, grades):
+        for k in range(top):
+            p = 1 / (1 + math.exp(-(sum(weights[j] for j in places) - thresholds[k])))
+            total -= math.log(p if grade > k else 1 - p)
+    return total / len(rows) + toxicity.SPARSITY * sum(weights.values())
+
+
+def test_ordinal_fit_is_the_least_loss():
+    """Explicit loss on a small set: the fit is no worse than any small step from it, and its
+    thresholds are in order."""
+    rng = np.random.default_rng(8)
+    rows, grades = [], []
+    for i in range(300):
+        grade = int(rng.choice([0, 0, 0, 1, 2, 3]))
+        telling = [k for k in range(4) if rng.random() < (0.25 * grade if grade else 0.005)]
+        rows.append(np.unique(np.array([*telling, *(100 + rng.choice(50, 6))], np.int32)))
+        grades.append(grade)
+    grades = np.array(grades)
+    model = toxicity.fit(rows, grades, 3)
+    used = np.flatnonzero(model.weights)
+    assert len(used) and set(used) <= {0, 1, 2, 3} and (model.weights >= 0).all()
+    assert (np.diff(model.thresholds) >= 0).all()
+    weights = dict.fromkeys(range(150), 0.0) | {int(j): model.weights[j] for j in used}
+
+    def loss(step_of=None, by=0.0):
+        w, t = dict(weights), model.thresholds.copy()
+        if step_of is not None and step_of < 0:
+            t[-1 - step_of] += by
+        elif step_of is not None:
+            w[step_of] = max(w[step_of] + by, 0)
+        return _cumulative_loss([r.tolist() for r in rows], grades, 3, w, t)
+
+    least = loss()
+    for at in [*used.tolist(), -1, -2, -3]:
+        for by in (-0.05, 0.05):
+            assert loss(at, by) > least - 1e-4
+
+
+def test_expected_severity_is_the_sum_over_grades(spark):
+    model = toxicity.Regression(np.zeros(toxicity.BUCKETS), np.array([0.5, 1.5, 2.5]))
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{k}" for k in rng.choice(40, n)) for n in (0, 1, 5, 30)] + [None]
+    for places, _ in hashed_words(pa.array([" ".join(f"w{k}" for k in range(40))]), toxicity.BUCKETS, toxicity.STEMS):
+        model.weights[places] = rng.random(len(places))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in toxicity.score(rows, model.dumps()).collect():
+        ((places, _),) = hashed_words(pa.array([r.text or ""]), toxicity.BUCKETS, toxicity.STEMS)
+        above = [1.0, *(1 / (1 + math.exp(t - model.weights[places].sum())) for t in model.thresholds), 0.0]
+        each = [above[k] - above[k + 1] for k in range(4)]
+        assert math.isclose(r.severity, sum(k * p for k, p in enumerate(each)), rel_tol=1e-9)
+        assert math.isclose(r.toxic_probability, above[1], rel_tol=1e-9)
+        assert r.grade == each.index(max(each)) and r.predicted == int(above[1] >= toxicity.THRESHOLD)
+
+
 def test_byte_bpe_query_round_trips(spark, sf_dir, documents):
     for r in part.op2_byte_bpe(spark, sf_dir).collect():
         assert r.decoded_sha256 == hashlib.sha256(documents[r.doc_id].encode()).hexdigest()

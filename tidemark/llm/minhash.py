@@ -44,8 +44,8 @@ BLOCK = 500_000
 MEMBERS = 4_000
 #: Members of a block that meet those of another at once.
 STRIP = 1_024
-#: Bytes of a shingle's hash that confirmed sets keep.
-KEPT_BYTES = 6
+#: Shared values whose part of the 0-1 matrix is held at once.
+COLUMNS = 4_096
 
 _RANDOM = np.random.default_rng(1010)
 _SHIFT = _RANDOM.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64)[:, None] * np.uint64(2)
@@ -127,14 +127,11 @@ def _identified(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _packed(found: np.ndarray) -> bytes:
-    kept = np.unique(found >> np.uint64(64 - 8 * KEPT_BYTES))
-    return kept.view(np.uint8).reshape(-1, 8)[:, :KEPT_BYTES].tobytes()
+    return found.tobytes()
 
 
 def _unpacked(held: bytes) -> np.ndarray:
-    wide = np.zeros((len(held) // KEPT_BYTES, 8), np.uint8)
-    wide[:, :KEPT_BYTES] = np.frombuffer(held, np.uint8).reshape(-1, KEPT_BYTES)
-    return wide.view(np.uint64).ravel()
+    return np.frombuffer(held, np.uint64)
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -243,25 +240,15 @@ def _strips(
     for top in range(0, rows, STRIP):
         end = min(top + STRIP, rows)
         common = np.zeros((end - top, len(sets) - columns), np.float32)
-        for start in range(0, int(shared.sum()), 4096):
-            a, b = np.searchsorted(column, [start, start + 4096])
-            matrix = np.zeros((len(sets), min(4096, int(shared.sum()) - start)), np.float32)
+        for start in range(0, int(shared.sum()), COLUMNS):
+            a, b = np.searchsorted(column, [start, start + COLUMNS])
+            matrix = np.zeros((len(sets), min(COLUMNS, int(shared.sum()) - start)), np.float32)
             matrix[row[a:b], column[a:b] - start] = 1
             common += matrix[top:end] @ matrix[columns:].T
         union = sizes[top:end, None] + sizes[None, columns:] - common
         yield top, 100 * common >= percent * union
 
 
-def similar_in_block(sets: list[np.ndarray], labels: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Places of all similar pairs with different labels."""
-    found = []
-    for top, linked in _strips(sets, percent, len(sets), 0):
-        linked &= labels[top : top + len(linked), None] != labels[None, :]
-        x, y = np.nonzero(np.triu(linked, top + 1))
-        found += zip((x + top).tolist(), y.tolist())
-    return found
-
-
 def forest_of_blocks(
     sets: list[np.ndarray], labels: np.ndarray, percent: int, first: int | None = None
 ) -> list[tuple[int, int]]:
@@ -292,7 +279,7 @@ def _settled(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: in
         .select("key", "node", F.coalesce("label", "node").alias("label"))
         .distinct()
     )
-    sizes = sets.select("node", (F.octet_length("held") / KEPT_BYTES).alias("size"))
+    sizes = sets.select("node", (F.octet_length("held") / 8).alias("size"))
     mixed = (
         labelled.join(sizes, "node")
         .groupBy("key")
