@@ -45,7 +45,7 @@ MEMBERS = 4_000
 #: Members of a block that meet those of another at once.
 STRIP = 1_024
 #: Shared values whose part of the 0-1 matrix is held at once.
-COLUMNS = 4_096
+COLUMNS = 1_024
 
 _RANDOM = np.random.default_rng(1010)
 _SHIFT = _RANDOM.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64)[:, None] * np.uint64(2)
