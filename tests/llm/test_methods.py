@@ -274,6 +274,43 @@ def test_ppm_keeps_every_context(spark):
         assert math.isclose(found[i], want, rel_tol=1e-5)
 
 
+def test_ppm_counts_a_task_in_bounded_memory(spark):
+    """8 MB of letters at random, in which nearly every key is new: sums go out on the way, and none is lost."""
+
+    class Frame:
+        def select(self, *_):
+            return self
+
+        groupBy = agg = select
+
+        def mapInArrow(self, run, schema):  # noqa: N802
+            self.run = run
+            return self
+
+    rng = np.random.default_rng(11)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz0123456789", np.uint8)
+    lines = letters[rng.integers(0, 36, (8000, 1000), np.uint8)]
+    batch = pa.record_batch({"text": pa.array([row.tobytes().decode() for row in lines])})
+    frame, buckets = Frame(), 65_521
+    ppm.symbol_counts(frame)
+    found, largest = np.zeros(buckets), 0
+    tracemalloc.start()
+    for out in frame.run(iter([batch])):
+        context, symbol, n = (c.to_numpy() for c in out.columns)
+        found += np.bincount((context << 9 | symbol) % buckets, n, buckets)
+        largest = max(largest, int(n.max()))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 250e6 and largest > 100  # every letter at the start has some 222
+
+    symbols = np.pad(lines.astype(np.int64), ((0, 0), (ppm.ORDER, 1)))
+    symbols[:, -1] = ppm.END
+    keys = symbols[:, ppm.ORDER :].copy()
+    for back in range(1, ppm.ORDER + 1):
+        keys += symbols[:, ppm.ORDER - back : -back] << (9 + 8 * (back - 1))
+    assert (found == np.bincount(keys.ravel() % buckets, minlength=buckets)).all()
+
+
 def test_components_of_a_long_chain(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 102), (102, 100)]
     found = components(spark.createDataFrame(links, "a long, b long")).collect()

@@ -50,6 +50,8 @@ FOLDS, HELD_FOLD = 7, 2
 MOST_BINS = 1024
 #: Bytes of text in a chunk of documents.
 CHUNK_BYTES = 8 << 20
+#: Keys that a task keeps summed while it counts symbols; up to twice as many, with 50 bytes each, meet in a sum.
+TASK_KEYS = 1 << 20
 #: The hash that stands for the end of a text among the words.
 END_WORD = np.uint64(0x5EED0FE2D)
 
@@ -82,33 +84,51 @@ def contexts_and_symbols(
 
 
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    key, back = np.unique(np.concatenate(keys), return_inverse=True)
-    return key, np.bincount(back, np.concatenate(counts)).astype(np.int64)
+    every = np.concatenate(keys)
+    order = np.argsort(every, kind="stable")
+    every = every[order]
+    new = np.ones(len(every), bool)
+    new[1:] = every[1:] != every[:-1]
+    return every[new], np.add.reduceat(np.concatenate(counts)[order], np.flatnonzero(new))
 
 
-def symbol_counts(documents: DataFrame) -> DataFrame:
-    """``context, symbol, n`` over all texts of ``documents``, summed in each task first."""
+def _task_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the symbols after the contexts of a task's texts.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for batch in batches:
-            for part in batch_slices(batch, "text"):
-                contexts, symbols, _ = contexts_and_symbols(*text_bytes(part.column("text")))
-                key, n = np.unique(contexts << 9 | symbols, return_counts=True)
-                keys.append(key)
-                counts.append(n)
-                if len(keys) > 32:
-                    key, n = _summed(keys, counts)
-                    keys, counts = [key], [n]
-        key, n = _summed(keys, counts)
-        for start in range(0, len(key), 100_000):
-            k = key[start : start + 100_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(k >> 9), pa.array((k & 511).astype(np.int32)), pa.array(n[start : start + 100_000])],
-                names=["context", "symbol", "n"],
-            )
+    Slices are summed whenever they hold 2 * TASK_KEYS keys; sums of more than TASK_KEYS go out, and
+    the same keys may come again.
+    """
+    keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for batch in batches:
+        for part in batch_slices(batch, "text"):
+            contexts, symbols, _ = contexts_and_symbols(*text_bytes(part.column("text")))
+            contexts <<= 9
+            contexts |= symbols
+            key, n = np.unique(contexts, return_counts=True)
+            del contexts, symbols
+            keys.append(key)
+            counts.append(n)
+            if sum(map(len, keys)) > 2 * TASK_KEYS:
+                key, n = _summed(keys, counts)
+                keys, counts = [key], [n]
+                if len(key) > TASK_KEYS:
+                    yield from _count_rows(key, n)
+                    keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    yield from _count_rows(*_summed(keys, counts))
+
+
+def _count_rows(key: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for start in range(0, len(key), 100_000):
+        k = key[start : start + 100_000]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(k >> 9), pa.array((k & 511).astype(np.int32)), pa.array(n[start : start + 100_000])],
+            names=["context", "symbol", "n"],
+        )
 
-    counted = documents.select("text").mapInArrow(run, "context bigint, symbol int, n bigint")
+
+def symbol_counts(documents: DataFrame) -> DataFrame:
+    """``context, symbol, n`` over all texts of ``documents``, summed in each task first."""
+    counted = documents.select("text").mapInArrow(_task_counts, "context bigint, symbol int, n bigint")
     return counted.groupBy("context", "symbol").agg(F.sum("n").alias("n"))
 
 
